@@ -23,24 +23,32 @@ FLOOR_PRICE = 3000.0
 PLAUSIBLE_MULTIPLIER = (0.9, 2.0)
 
 
+def with_pick_fields(df: DataFrame, grammar: str) -> DataFrame:
+    """Parsed year, round, tier and kind, null where the name is no pick.
+
+    The struct is unpacked by a generator, so the patterns run once per row even when later filters
+    use several of the fields.
+    """
+    return df.select("*", F.inline(F.array(parse_pick_name(F.col("name"), grammar))))
+
+
 def native_picks(list_a: DataFrame, list_b: DataFrame, years: Sequence[int] = PICK_YEARS,
                  rounds: Sequence[int] = PICK_ROUNDS) -> DataFrame:
     """Parsed pick prices of both sources in scope.
 
     ``list_a``: format, team_size, name, value. ``list_b``: name, sf_value, oneqb_value (no size).
     """
-    scope = F.col("p.year").isin(*years) & F.col("p.round").isin(*rounds)
-    fields = [F.col(f"p.{c}").alias(c) for c in ("year", "round", "tier", "kind")]
-    a = list_a.where(F.col("format").isin(*DYNASTY_FORMATS)).withColumn(
-        "p", parse_pick_name(F.col("name"), "round_first")
-    ).where(scope & (F.col("p.kind") != "slot"))
-    b = list_b.withColumn("p", parse_pick_name(F.col("name"), "tier_first")).where(scope)
+    scope = F.col("year").isin(*years) & F.col("round").isin(*rounds)
+    fields = ["year", "round", "tier", "kind"]
+    a = with_pick_fields(list_a.where(F.col("format").isin(*DYNASTY_FORMATS)), "round_first").where(
+        scope & (F.col("kind") != "slot"))
+    b = with_pick_fields(list_b, "tier_first").where(scope)
     routed = F.array(
         F.struct(F.lit("sf_dynasty").alias("format"), F.col("sf_value").alias("value")),
         F.struct(F.lit("oneqb_dynasty").alias("format"), F.col("oneqb_value").alias("value")),
     )
     return a.select(F.lit("a").alias("source"), "format", F.col("team_size").cast("int").alias("team_size"), *fields, "value").unionByName(
-        b.select("p", F.inline(routed)).select(
+        b.select(*fields, F.inline(routed)).select(
             F.lit("b").alias("source"), "format", F.lit(None).cast("int").alias("team_size"), *fields, "value")
     )
 
@@ -59,10 +67,8 @@ def tier_ratios(native: DataFrame, year: int = TIERED_YEAR) -> DataFrame:
 
 def format_multiplier(list_a: DataFrame, top: str = "sf_dynasty", base: str = "oneqb_dynasty") -> DataFrame:
     """Mean price ratio of the same pick in two formats: one row overall (round null) and one per round."""
-    named = list_a.where(F.col("format").isin(top, base)).withColumn("p", parse_pick_name(F.col("name"), "round_first")).where(
-        F.col("p.kind") != "slot"
-    )
-    pairs = named.groupBy("team_size", "name", F.col("p.round").alias("round")).agg(
+    named = with_pick_fields(list_a.where(F.col("format").isin(top, base)), "round_first").where(F.col("kind") != "slot")
+    pairs = named.groupBy("team_size", "name", "round").agg(
         F.max(F.when(F.col("format") == top, F.col("value"))).alias("top"),
         F.max(F.when(F.col("format") == base, F.col("value"))).alias("base"),
     ).where(F.col("top").isNotNull() & F.col("base").isNotNull()).select("round", safe_ratio(F.col("top"), F.col("base")).alias("ratio"))
