@@ -25,10 +25,9 @@ def blend_consensus(a: DataFrame, b: DataFrame, boards: Sequence[str], b_boards:
     keeps its own percentile.
     """
     boards, b_boards = list(boards), list(b_boards)
-    pool = row_positions(a, boards, [F.col(value_a), F.col(asset)], "_at")
+    pool = row_positions(a, boards, [F.col(value_a), F.col(asset)], "_at", "_total")
     levels = pool.groupBy(*boards, value_a).agg(F.min("_at").alias("_first"), F.count("*").alias("_ties"))
-    totals = pool.groupBy(*boards).agg(F.count("*").alias("_total"))
-    ranked = pool.join(levels, [*boards, value_a]).join(totals, boards).withColumn(
+    ranked = pool.join(levels, [*boards, value_a]).withColumn(
         "pct_a", (F.col("_first") + (F.col("_ties") + 1) / 2.0) / F.col("_total")
     )
     second = average_rank(b.where(F.col(value_b).isNotNull()), b_boards, value_b, "_rank_b", "pct_b").select(

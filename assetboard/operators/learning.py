@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from assetboard.operators.metrics import roc_auc
 from assetboard.operators.ordering import hash_positions, prefix_sums
 from assetboard.operators.quality import fit_imputer, usable_features
+from assetboard.session import land
 
 # Seed, folds, leaf size, quantile of assets without history, hidden layers.
 SEED = 474
@@ -101,7 +104,7 @@ def encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=[f"i_{c}" for c in categorical],
                                     handleInvalid="error" if drop_first else "keep", stringOrderType=order))
         stages.append(OneHotEncoder(inputCols=[f"i_{c}" for c in categorical], outputCols=[f"h_{c}" for c in categorical],
-                                    dropLast=True, handleInvalid="error" if drop_first else "keep"))
+                                    dropLast=True))
     inputs = [f"s_{c}" for c in numeric] + [f"h_{c}" for c in categorical]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=out))
     return Pipeline(stages=stages).fit(train)
@@ -283,9 +286,8 @@ def fit_quantile_forest(train: DataFrame, log_target: str, weight: str | None, n
         F.posexplode(vector_to_array("_leaf")).alias("tree", "leaf"), F.col(log_target).alias("y"), "_w")
     # Equal targets in a leaf act as one step of the cumulative weight, so they are combined first.
     steps = placed.groupBy("tree", F.col("leaf").cast("int").alias("leaf"), "y").agg(F.sum("_w").alias("w"))
-    running = prefix_sums(steps, ["tree", "leaf"], [F.col("y")], {"before": "w"})
-    totals = running.groupBy("tree", "leaf").agg(F.sum("w").alias("total"))
-    reached = running.join(totals, ["tree", "leaf"]).where(F.col("before") + F.col("w") >= F.col("total") * F.lit(quantile) - 1e-12)
+    running = prefix_sums(steps, ["tree", "leaf"], [F.col("y")], {"before": "w"}, {"total": "before"})
+    reached = running.where(F.col("before") + F.col("w") >= F.col("total") * F.lit(quantile) - 1e-12)
     found = reached.groupBy("tree", "leaf").agg(F.min("y").alias("q")).collect()
     table = [[0.0] * (1 + max((r["leaf"] for r in found if r["tree"] == i), default=0)) for i in range(settings.trees)]
     for r in found:
@@ -340,20 +342,81 @@ def fit_board(train: DataFrame, target: str, weight: str | None, numeric: Sequen
     return BoardFit(mean, low, num, cat)
 
 
+def fit_boards(train: DataFrame, boards: Sequence[tuple], keys: Sequence[str], target: str, weight: str | None,
+               numeric: Sequence[str], categorical: Sequence[str], ids: Sequence[str], settings: TreeSettings = TreeSettings(),
+               parallel: int = 3) -> dict[tuple, BoardFit]:
+    """One fit per board. Each fit is a distributed job; a few run at a time so that their stages overlap."""
+
+    def one(board: tuple) -> BoardFit:
+        return fit_board(train.where(board_is(keys, board)), target, weight, numeric, categorical, ids, settings)
+
+    return dict(zip(boards, overlapped(one, boards, parallel)))
+
+
+def overlapped(job: Callable, items: Sequence, parallel: int = 3) -> list:
+    """Results of ``job`` per item; a few independent Spark jobs run at a time."""
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(items)))) as pool:
+        return list(pool.map(job, items))
+
+
+def stacked(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def board_is(keys: Sequence[str], board: Sequence) -> Column:
+    condition = F.lit(True)
+    for k, v in zip(keys, board):
+        condition = condition & (F.col(k) == F.lit(v))
+    return condition
+
+
+def predict_boards(features: DataFrame, members: DataFrame, fits: Mapping[tuple, BoardFit], keys: Sequence[str], asset: str,
+                   history: str = "career_games") -> DataFrame:
+    """Score every board with its own fitted models, on the assets it was fitted for."""
+    columns = [*members.columns, "mean_prediction", "quantile_prediction", "is_rookie", "model_value"]
+    return stacked([
+        fit.predict(members.where(board_is(keys, board)).join(features, asset), history).select(*columns)
+        for board, fit in fits.items()
+    ])
+
+
+def save_fit(fit: BoardFit, path: str, spark) -> None:
+    """Write both pipelines and their settings under one folder."""
+    fit.mean_model.write().overwrite().save(f"{path}/mean")
+    fit.quantile_model.model.write().overwrite().save(f"{path}/quantile")
+    row = (fit.numeric, fit.categorical, fit.quantile_model.leaf_values)
+    spark.createDataFrame([row], "numeric array<string>, categorical array<string>, leaf_values array<array<double>>").write.mode(
+        "overwrite").parquet(f"{path}/settings")
+
+
+def load_fit(path: str, spark) -> BoardFit:
+    row = spark.read.parquet(f"{path}/settings").first()
+    forest = QuantileForest(PipelineModel.load(f"{path}/quantile"), [list(x) for x in row["leaf_values"]])
+    return BoardFit(PipelineModel.load(f"{path}/mean"), forest, list(row["numeric"]), list(row["categorical"]))
+
+
+def fit_groups(train: DataFrame, group: str, value: str, target: str, weight: str | None, numeric, categorical, ids: Sequence[str],
+               settings: TreeSettings = TreeSettings()) -> DataFrame:
+    """Separate fits for one group and for the rest, scored on their own rows and stacked."""
+
+    def one(part: tuple[str, DataFrame]) -> DataFrame:
+        fit = fit_board(part[1], target, weight, numeric, categorical, ids, settings)
+        return fit.predict(part[1]).withColumn("fit_group", F.lit(part[0]))
+
+    parts = [(value, train.where(F.col(group) == value)), ("rest", train.where(~F.col(group).eqNullSafe(F.lit(value))))]
+    return stacked(overlapped(one, parts, 2))
+
+
 def out_of_fold(df: DataFrame, ids: Sequence[str], fit: Callable[[DataFrame], Transformer], k: int = FOLDS, fold: str = "fold",
                 prediction: str = "log_prediction", out: str = "oof_prediction", seed: int = SEED) -> DataFrame:
     """Prediction of every row by a model that has not seen it; empty when there are fewer than two rows."""
-    rows = assign_folds(df, ids, k, seed=seed, out=fold).persist()
-    held_out = []
-    for i in (r[fold] for r in rows.select(fold).distinct().orderBy(fold).collect()):
-        others = rows.where(F.col(fold) != i)
-        if others.isEmpty():
-            continue
-        model = fit(ordered_for_fit(others, ids))
-        held_out.append(model.transform(rows.where(F.col(fold) == i)).select(*rows.columns, F.exp(prediction).alias(out)))
-    if not held_out:
+    rows = land(assign_folds(df, ids, k, seed=seed, out=fold), "folds")
+    folds = [r[fold] for r in rows.select(fold).distinct().orderBy(fold).collect()]
+    if len(folds) < 2:
         return rows.withColumn(out, F.lit(None).cast("double")).where(F.lit(False))
-    result = held_out[0]
-    for part in held_out[1:]:
-        result = result.unionByName(part)
-    return result
+
+    def one(i: int) -> DataFrame:
+        model = fit(ordered_for_fit(rows.where(F.col(fold) != i), ids))
+        return model.transform(rows.where(F.col(fold) == i)).select(*rows.columns, F.exp(prediction).alias(out))
+
+    return stacked(overlapped(one, folds))

@@ -45,45 +45,60 @@ def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
     return left.join(renamed, _matches(left, renamed, keys)).drop(*[f"_k_{k}" for k in keys])
 
 
-def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "position") -> DataFrame:
-    """0-based place of each row inside its group. ``order`` must be total within the group."""
+def _offsets(pieces: DataFrame, keys: Sequence[str], sums: Mapping[str, str], kept: Sequence[str]) -> DataFrame:
+    """Totals before each (group, range partition) and of the whole group.
+
+    A group spans consecutive partitions, so there are at most groups + partitions rows. They are
+    written, which gives the planner their true size: it broadcasts them only below its threshold.
+    """
+    group = Window.partitionBy(*keys)
+    earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return land(pieces.select(
+        *keys, "_part", *kept,
+        *[F.coalesce(F.sum(src).over(earlier), F.lit(0)).alias(f"_off_{out}") for out, src in sums.items()],
+        *[F.sum(src).over(group).alias(f"_total_{out}") for out, src in sums.items()],
+    ), "offsets")
+
+
+def row_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str = "position",
+                  size: str | None = None) -> DataFrame:
+    """0-based place of each row inside its group, optionally with the group's row count.
+
+    ``order`` must be total within the group.
+    """
     keys = list(keys)
     rows = _tagged_sort(df, keys, order)
     pieces = rows.groupBy(*keys, "_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
-    # One row per (group, range partition): a group spans consecutive partitions, so this stays small.
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
-        *keys, "_part", "_first",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
-    )
-    joined = _attach(rows, offsets, [*keys, "_part"])
-    return joined.withColumn(out, F.col("_offset") + F.col("_place") - F.col("_first")).drop(
-        "_part", "_place", "_first", "_offset"
+    joined = _attach(rows, _offsets(pieces, keys, {"n": "_n"}, ["_first"]), [*keys, "_part"])
+    return joined.select(
+        *df.columns,
+        (F.col("_off_n") + F.col("_place") - F.col("_first")).alias(out),
+        *([F.col("_total_n").alias(size)] if size else []),
     )
 
 
-def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], measures: Mapping[str, str]) -> DataFrame:
-    """Totals of all earlier rows of the group. ``measures`` maps a new column to a summed one."""
+def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], measures: Mapping[str, str],
+                totals: Mapping[str, str] | None = None) -> DataFrame:
+    """Totals of all earlier rows of the group, and group totals.
+
+    ``measures`` maps a new column to the column summed before each row; ``totals`` maps a new
+    column to one of those new columns, for its sum over the whole group.
+    """
     keys = list(keys)
     rows = _tagged_sort(df, keys, order)
     pieces = rows.groupBy(*keys, "_part").agg(
         *[F.sum(src).alias(f"_sum_{out}") for out, src in measures.items()]
     )
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
-        *keys, "_part",
-        *[F.sum(f"_sum_{out}").over(earlier).alias(f"_off_{out}") for out in measures],
-    )
+    offsets = _offsets(pieces, keys, {out: f"_sum_{out}" for out in measures}, [])
     inside = Window.partitionBy(*keys, "_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
     local = rows.select(
         "*", *[F.sum(src).over(inside).alias(f"_in_{out}") for out, src in measures.items()]
     )
     joined = _attach(local, offsets, [*keys, "_part"])
-    kept = [c for c in df.columns]
     return joined.select(
-        *kept,
-        *[(F.coalesce(F.col(f"_off_{out}"), F.lit(0)) + F.coalesce(F.col(f"_in_{out}"), F.lit(0))).alias(out)
-          for out in measures],
+        *df.columns,
+        *[(F.col(f"_off_{out}") + F.coalesce(F.col(f"_in_{out}"), F.lit(0))).alias(out) for out in measures],
+        *[F.col(f"_total_{of}").alias(name) for name, of in (totals or {}).items()],
     )
 
 
@@ -101,45 +116,77 @@ def average_rank(df: DataFrame, keys: Sequence[str], value: str, rank: str = "av
     """
     keys = list(keys)
     levels = value_levels(df.select(*keys, value), keys, value)
-    placed = prefix_sums(levels, keys, [F.col(value)], {"_below": "n"})
-    ranks = placed.select(
-        *keys, value, (F.col("_below") + (F.col("n") + 1) / 2.0).alias(rank),
-    )
-    if percentile:
-        totals = placed.groupBy(*keys).agg(F.sum("n").alias("_total"))
-        ranks = _attach(ranks, totals, keys) if keys else ranks.withColumn("_total", totals.scalar())
-        ranks = ranks.withColumn(percentile, F.col(rank) / F.col("_total")).drop("_total")
+    placed = prefix_sums(levels, keys, [F.col(value)], {"_below": "n"}, {"_total": "_below"})
+    place = F.col("_below") + (F.col("n") + 1) / 2.0
+    ranks = placed.select(*keys, value, place.alias(rank),
+                          *([(place / F.col("_total")).alias(percentile)] if percentile else []))
     renamed = ranks.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(value).alias("_v"),
                            rank, *([percentile] if percentile else []))
     condition = _matches(df, renamed, keys) & (df[value] == renamed["_v"])
     return df.join(renamed, condition, "left").drop("_v", *[f"_k_{k}" for k in keys])
 
 
+BRACKET_ACCURACY = 10_000  # the sketch's rank error is at most rows / accuracy
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
-    """Linear-interpolation quantiles per group, exact at any group size."""
+    """Linear-interpolation quantiles per group, exact at any group size.
+
+    A sketch brackets each quantile; the rows below the bracket are only counted, and only the
+    distinct values inside it are ordered. If a bracket should miss its place, all distinct values
+    are ordered instead.
+    """
+    if not keys:
+        return exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, probs).drop("_all")
     keys = list(keys)
-    levels = value_levels(df.select(*keys, value), keys, value)
-    placed = prefix_sums(levels, keys, [F.col(value)], {"_below": "n"})
-    totals = placed.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    placed = _attach(placed, totals, keys) if keys else placed.withColumn("_total", totals.scalar())
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    slack = 4.0 / BRACKET_ACCURACY
+    edges = [min(max(p + side * slack, 0.0), 1.0) for p in probs.values() for side in (-1, 1)]
+    sketch = F.percentile_approx("_v", F.array(*[F.lit(e) for e in edges]), F.lit(BRACKET_ACCURACY))
+    brackets = land(rows.groupBy(*keys).agg(sketch.alias("_edges")), "brackets")
+    marked = _attach(rows, brackets, keys)
+    edge = lambda i, side: F.get("_edges", F.lit(2 * i + side))
+    names = list(probs)
+    counts = marked.groupBy(*keys).agg(
+        F.count("*").alias("_total"),
+        *[F.count_if(F.col("_v") < edge(i, 0)).alias(f"_under{i}") for i in range(len(names))],
+    )
+    hits = F.filter(
+        F.array(*[F.when(F.col("_v").between(edge(i, 0), edge(i, 1)), F.lit(i)) for i in range(len(names))]),
+        lambda i: i.isNotNull(),
+    )
+    levels = marked.select(*keys, "_v", F.explode(hits).alias("_q")).groupBy(*keys, "_q", "_v").agg(F.count("*").alias("n"))
+    placed = prefix_sums(levels, [*keys, "_q"], [F.col("_v")], {"_below": "n"})
+    placed = _attach(placed, land(counts, "counts"), keys)
+    under = F.get(F.array(*[F.col(f"_under{i}") for i in range(len(names))]), F.col("_q"))
+    found = _pick_quantiles(placed.withColumn("_below", F.col("_below") + under), keys, names, probs, by_index=True)
+    found = land(found, "quantiles")
+    if found.where(F.array_contains(F.array(*[F.col(n).isNull() for n in names]), True)).isEmpty():
+        return found
+    levels = value_levels(rows, keys, "_v")
+    placed = prefix_sums(levels, keys, [F.col("_v")], {"_below": "n"}, {"_total": "_below"})
+    return _pick_quantiles(placed, keys, names, probs, by_index=False)
+
+
+def _pick_quantiles(placed: DataFrame, keys: Sequence[str], names: Sequence[str], probs: Mapping[str, float], by_index: bool) -> DataFrame:
+    """Interpolate between the two values around each quantile's place."""
     upto = F.col("_below") + F.col("n")
-    bounds = []
-    for name, p in probs.items():
-        at = (F.col("_total") - 1) * F.lit(float(p))
+    last = F.col("_total") - 1
+    picks = []
+    for i, name in enumerate(names):
+        at = last * F.lit(float(probs[name]))
+        mine = (F.col("_q") == i) if by_index else F.lit(True)
         for side, place in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            inside = (F.col("_below") <= place) & (place < upto)
-            bounds.append(F.max(F.when(inside, F.col(value).cast("double"))).alias(f"_{side}_{name}"))
-    picked = placed.groupBy(*keys).agg(F.max("_total").alias("_total"), *bounds)
+            picks.append(F.max(F.when(mine & (F.col("_below") <= place) & (place < upto), F.col("_v"))).alias(f"_{side}{i}"))
+    picked = placed.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks)
+    fraction = lambda p: last * F.lit(float(p)) - F.floor(last * F.lit(float(p)))
     return picked.select(
-        *keys,
-        *[lerp(F.col(f"_lo_{name}"), F.col(f"_hi_{name}"),
-               (F.col("_total") - 1) * F.lit(float(p)) - F.floor((F.col("_total") - 1) * F.lit(float(p)))).alias(name)
-          for name, p in probs.items()],
+        *keys, *[lerp(F.col(f"_lo{i}"), F.col(f"_hi{i}"), fraction(probs[name])).alias(name) for i, name in enumerate(names)]
     )
 
 
 def hash_positions(df: DataFrame, keys: Sequence[str], ids: Sequence[str], seed: int,
-                   out: str = "position", size_out: str = "group_size", bits: int = 12) -> DataFrame:
+                   out: str = "position", size_out: str = "group_size", bits: int = 14) -> DataFrame:
     """Seeded shuffle: 0-based place of each row in the order of a hash of its id, and its group size.
 
     The hash is uniform, so its top ``bits`` bits cut every group into even slices: slice counts give

@@ -58,7 +58,7 @@ def missing_fractions(df: DataFrame) -> dict[str, float]:
 def value_share(df: DataFrame, column: str) -> DataFrame:
     """Count and share of each non-null value."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    total = df.agg(F.count(column)).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share", F.col("n").cast("double") / total)
 
 

@@ -1 +1,295 @@
-"""Queries."""
+"""Splits, encoders, classifiers and board models on table rows."""
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from assetboard.functions.numeric import grid_round
+from assetboard.operators import boards, learning, marts, metrics, picks, quality, refresh
+from assetboard.operators.consensus import rank_power_weights
+from assetboard.plans.panels import feature_frame, to_date_frame
+from assetboard.plans.profiles import labelled_reps
+from assetboard.plans.registry import query
+from assetboard.session import land
+from assetboard.sources.stand_ins import Inputs
+
+BOARD = ["format", "team_size"]
+BOARDS = [(f, s) for f in ("sf_dynasty", "oneqb_dynasty", "redraft") for s in (10, 12)]
+ROW = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+NUMERIC = ["games", "points", "yards", "share_a", "share_b", "career_games", "seasons_played", "career_ppg", "current_age",
+           "current_age_squared", "current_distance_from_peak_age", "round", "pick", "forty_time", "combine_weight", "speed_score",
+           "dominator_rating", "breakout_age"]
+CATEGORICAL = ["position"]
+QUICK = learning.TreeSettings(iterations=4, depth=3, trees=8)
+DELAY_NUMERIC = ["distance", "fare", "booked_month"]
+DELAY_CATEGORICAL = ["carrier", "cabin"]
+
+
+# --- splits and encoders ------------------------------------------------------------------------
+
+def labelled_flights(t: Inputs):
+    return t["flights"].where(F.col("arr_del15").isNotNull()).select(*ROW, F.col("arr_del15").alias("label"), *DELAY_NUMERIC, *DELAY_CATEGORICAL)
+
+
+def split_flights(t: Inputs):
+    return learning.stratified_split(labelled_flights(t), "label", [*ROW, "fare"], learning.DELAY_SPLIT)
+
+
+@query("stratified_split")
+def stratified_split(t: Inputs):
+    return split_flights(t)
+
+
+@query("stratified_split_sizes", """
+    with c as (select arr_del15 as label, count(*) as n from @flights where arr_del15 is not null group by arr_del15)
+    select label, 'train' as split, cast(floor(n * 0.7::double + 0.5) as bigint) as n from c
+    union all select label, 'val', cast(floor(n * (0.7::double + 0.15::double) + 0.5) - floor(n * 0.7::double + 0.5) as bigint) from c
+    union all select label, 'test', cast(n - floor(n * (0.7::double + 0.15::double) + 0.5) as bigint) from c""")
+def stratified_split_sizes(t: Inputs):
+    return split_flights(t).groupBy("label", "split").agg(F.count("*").alias("n"))
+
+
+@query("exact_sample")
+def exact_sample(t: Inputs):
+    return learning.exact_sample(labelled_flights(t), 3000, [*ROW, "fare"])
+
+
+@query("exact_sample_size", "select least(3000, count(*)) as n, least(3000, count(*)) as n_known from @flights where arr_del15 is not null")
+def exact_sample_size(t: Inputs):
+    sample = learning.exact_sample(labelled_flights(t), 3000, [*ROW, "fare"])
+    return sample.agg(F.count("*").alias("n"), F.count("label").alias("n_known"))
+
+
+@query("fold_sizes", """
+    with c as (select format, team_size, count(*) as n from @price_a group by format, team_size), f as (select * from (values (0), (1), (2), (3), (4), (5), (6), (7), (8), (9)) v(fold))
+    select format, team_size, fold, cast(n // 10 + case when fold < n % 10 then 1 else 0 end as bigint) as n from c cross join f""")
+def fold_sizes(t: Inputs):
+    rows = t["price_a"].select(*BOARD, "true_id")
+    return learning.assign_folds(rows, ["true_id"], 10, BOARD).groupBy(*BOARD, "fold").agg(F.count("*").alias("n"))
+
+
+@query("one_hot", """
+    select c_custkey as rep_id, case c_mktsegment {known} else '0,0,0,0,0' end as encoded, case c_mktsegment {first} end as drop_first
+    from @customer""".replace("{known}", " ".join(f"when '{s}' then '{c}'" for s, c in (
+        ("AUTOMOBILE", "1,0,0,0,0"), ("BUILDING", "0,1,0,0,0"), ("FURNITURE", "0,0,1,0,0"), ("HOUSEHOLD", "0,0,0,1,0"), ("MACHINERY", "0,0,0,0,1"))))
+    .replace("{first}", " ".join(f"when '{s}' then '{c}'" for s, c in (
+        ("AUTOMOBILE", "0,0,0,0"), ("BUILDING", "0,0,0,1"), ("FURNITURE", "0,0,1,0"), ("HOUSEHOLD", "0,1,0,0"), ("MACHINERY", "1,0,0,0")))))
+def one_hot(t: Inputs):
+    rows = t["customer"].select(F.col("c_custkey").alias("rep_id"), "c_mktsegment")
+    both = learning.encoder(rows, [], ["c_mktsegment"]).transform(rows).select("rep_id", "c_mktsegment", F.col("features").alias("all"))
+    both = learning.encoder(both, [], ["c_mktsegment"], drop_first=True).transform(both)
+    text = lambda c: F.array_join(F.transform(vector_to_array(c), lambda x: x.cast("int").cast("string")), ",")
+    return both.select("rep_id", text("all").alias("encoded"), text("features").alias("drop_first"))
+
+
+# --- classifiers --------------------------------------------------------------------------------
+
+def delay_frames(t: Inputs):
+    """Imputed, encoded and class-weighted train and validation rows; everything is fitted on train."""
+    rows = land(split_flights(t), "delay")
+    train = rows.where("split = 'train'")
+    fills = quality.fit_imputer(train, DELAY_NUMERIC, DELAY_CATEGORICAL)
+    train, validation = (quality.impute(rows.where(F.col("split") == s), fills) for s in ("train", "val"))
+    model = learning.encoder(train, DELAY_NUMERIC, DELAY_CATEGORICAL)
+    keep = [*ROW, "label", "features"]
+    weighted = learning.with_class_weights(model.transform(train).select(*keep), "label")
+    return land(weighted, "train"), land(model.transform(validation).select(*keep), "validation")
+
+
+@query("fit_logistic")
+def fit_logistic(t: Inputs):
+    train, validation = delay_frames(t)
+    scored = None
+    for name, weight in (("plain", None), ("balanced", "class_weight")):
+        model = learning.fit_logistic(train, "label", weight)
+        part = learning.positive_probability(model.transform(validation)).select(F.lit(name).alias("model"), *ROW, "label", "score")
+        scored = part if scored is None else scored.unionByName(part)
+    return scored
+
+
+@query("fit_mlp")
+def fit_mlp(t: Inputs):
+    train, validation = delay_frames(t)
+    width = len(learning.feature_names(validation))
+    balanced = learning.replicate_by_weight(train, "class_weight", ROW)
+    model, _ = learning.fit_network(balanced, validation, "label", width, rounds=3, iterations=10)
+    return learning.positive_probability(model.transform(validation)).select(*ROW, "label", "score")
+
+
+@query("fit_sales")
+def fit_sales(t: Inputs):
+    reps = labelled_reps(t)
+    rows = land(learning.stratified_split(quality.drop_listed(reps, ["nps", "feedback"]), "high_performer", ["rep_id"], learning.SALES_SPLIT, seed=13), "reps")
+    model = learning.encoder(rows, ["age", "years"], ["business", "nation"], drop_first=True)
+    encoded = model.transform(rows)
+    train = learning.with_class_weights(encoded.where("split = 'train'"), "high_performer")
+    fitted = learning.fit_logistic(train, "high_performer", "class_weight")
+    scored = learning.positive_probability(fitted.transform(encoded.where("split = 'test'")))
+    return metrics.threshold_sweep(scored, "high_performer", "score", metrics.SALES_THRESHOLDS)
+
+
+def churn_model(t: Inputs):
+    rows = land(marts.member_weather(marts.curated_members(t["members"]), t["weather"]), "churn")
+    numeric = ["tenure_days", "age", "avg_daily_temperature_c", "avg_daily_wind_speed_kph", "avg_daily_relative_humidity", "day_proportion"]
+    rows = quality.impute(rows.select("member_id", "churn_label", *[F.col(c).cast("double").alias(c) for c in numeric], "gender", "membership_type"),
+                          quality.fit_imputer(rows, numeric, ["gender", "membership_type"]))
+    encoded = learning.encoder(rows, numeric, ["gender", "membership_type"]).transform(rows)
+    return learning.fit_logistic(encoded, "churn_label", c=None), encoded
+
+
+@query("feature_weights")
+def feature_weights(t: Inputs):
+    model, encoded = churn_model(t)
+    return learning.weights_table(model, learning.feature_names(encoded), t.spark)
+
+
+@query("churn_sweep")
+def churn_sweep(t: Inputs):
+    model, encoded = churn_model(t)
+    scored = learning.positive_probability(model.transform(encoded))
+    return metrics.threshold_sweep(scored, "churn_label", "score", metrics.CHURN_THRESHOLDS)
+
+
+# --- board models -------------------------------------------------------------------------------
+
+_SHARED: dict[tuple, object] = {}
+
+
+def shared(step):
+    """Keep a step's result per session and folder: several queries start from the same fits."""
+
+    def once(t: Inputs):
+        key = (t.spark.sparkContext.applicationId, t.folder, step.__name__)
+        if key not in _SHARED:
+            _SHARED[key] = step(t)
+        return _SHARED[key]
+
+    return once
+
+
+@shared
+def training(t: Inputs):
+    """Features and weighted targets of every board, written once since every fit reads them."""
+    feats = land(feature_frame(t).drop("college"), "features")
+    targets = rank_power_weights(t["price_a"].select(*BOARD, F.col("true_id").alias("asset_id"), F.col("value").alias("consensus_value")), BOARD, "consensus_value")
+    targets = land(targets.join(feats.select("asset_id"), "asset_id"), "targets")
+    return feats, targets
+
+
+def training_rows(t: Inputs):
+    feats, targets = training(t)
+    return targets.join(feats, "asset_id").withColumn("_log_target", F.ln("consensus_value"))
+
+
+@shared
+def fitted(t: Inputs):
+    feats, targets = training(t)
+    fits = learning.fit_boards(targets.join(feats, "asset_id"), BOARDS, BOARD, "consensus_value", "sample_weight", NUMERIC, CATEGORICAL,
+                               ["asset_id"], QUICK, parallel=6)
+    return feats, targets, fits
+
+
+@query("fit_board_gbt")
+def fit_board_gbt(t: Inputs):
+    feats, targets, fits = fitted(t)
+    return learning.predict_boards(feats, targets, fits, BOARD, "asset_id")
+
+
+@query("fit_board_rf")
+def fit_board_rf(t: Inputs):
+    rows = training_rows(t)
+
+    def one(board):
+        mine = learning.ordered_for_fit(rows.where(learning.board_is(BOARD, board)), ["asset_id"])
+        model = learning.fit_forest(mine, "_log_target", "sample_weight", NUMERIC, CATEGORICAL, QUICK)
+        return model.transform(mine).select(*BOARD, "asset_id", "consensus_value", F.exp("log_prediction").alias("model_value"))
+
+    return learning.stacked(learning.overlapped(one, BOARDS, 6))
+
+
+@query("fit_quantile")
+def fit_quantile(t: Inputs):
+    rows = training_rows(t)
+    rows = rows.withColumn("board", F.concat_ws("_", *BOARD))
+    forest = learning.fit_quantile_forest(learning.ordered_for_fit(rows, [*BOARD, "asset_id"]), "_log_target", "sample_weight", NUMERIC,
+                                          [*CATEGORICAL, "board"], [*BOARD, "asset_id"], QUICK)
+    scored = forest.transform(rows)
+    return scored.groupBy(*BOARD).agg(
+        F.count("*").alias("n"),
+        (F.sum(F.when(F.col("_log_target") <= F.col("log_quantile"), F.col("sample_weight")).otherwise(0.0)) / F.sum("sample_weight")).alias("weighted_share_below"))
+
+
+@shared
+def out_of_fold(t: Inputs):
+    rows = training_rows(t)
+    fit = lambda train: learning.fit_boosted(train, "_log_target", "sample_weight", NUMERIC, CATEGORICAL, QUICK)
+
+    def one(board):
+        part = learning.out_of_fold(rows.where(learning.board_is(BOARD, board)), ["asset_id"], fit, k=2)
+        return part.select(*BOARD, "asset_id", "consensus_value", "fold", "oof_prediction")
+
+    return land(learning.stacked(learning.overlapped(one, BOARDS, 4)), "oof")
+
+
+@query("oof_predictions")
+def oof_predictions(t: Inputs):
+    return out_of_fold(t)
+
+
+@query("oof_coverage", """
+    select format, team_size, count(*) as n_rows, count(*) as n_assets, count(*) as n_predicted from @price_a
+    where true_id in (select asset_id from @asset_panel) or true_id in (select asset_id from @draft where draft_year = 2002) group by format, team_size""")
+def oof_coverage(t: Inputs):
+    """Every asset of a board is predicted exactly once."""
+    return out_of_fold(t).groupBy(*BOARD).agg(
+        F.count("*").alias("n_rows"), F.countDistinct("asset_id").alias("n_assets"),
+        F.count_if(F.col("oof_prediction") > 0).alias("n_predicted"))
+
+
+@query("oof_metrics")
+def oof_metrics(t: Inputs):
+    return metrics.regression_metrics(out_of_fold(t), BOARD, "consensus_value", "oof_prediction", "asset_id")
+
+
+@query("fit_split_groups")
+def fit_split_groups(t: Inputs):
+    rows = training_rows(t)
+
+    def one(board):
+        part = learning.fit_groups(rows.where(learning.board_is(BOARD, board)), "position", "ECONOMY", "consensus_value", None,
+                                   NUMERIC, CATEGORICAL, ["asset_id"], QUICK)
+        return part.select(*BOARD, "asset_id", "fit_group", "is_rookie", "model_value", "consensus_value")
+
+    return learning.stacked(learning.overlapped(one, BOARDS, 3))
+
+
+REFRESHED = ["games", "points", "yards", "share_a"]
+
+
+@shared
+def pick_prices(t: Inputs):
+    return land(picks.pick_universe(t["pick_list_a"], t["pick_list_b"]), "picks")
+
+
+def refreshed(t: Inputs, through_week: int | None):
+    feats, targets, fits = fitted(t)
+    names = t["crosswalk"].select(F.col("mfl_id").alias("asset_id"), "name")
+    partial = None if through_week is None else to_date_frame(t, through_week).drop("ppg")
+    return refresh.recompute_board(feats, partial, fits, targets, names, pick_prices(t), "asset_id", REFRESHED)
+
+
+@query("recompute_board")
+def recompute_board(t: Inputs):
+    return refreshed(t, 10).select(*BOARD, "asset_id", "name", "asset_type", "model_value", "consensus_value", "board_rank")
+
+
+@query("rescore", """
+    select format, team_size, count(*) + case when format = 'redraft' then 0 else 27 end as n_assets, 0::bigint as n_moved from @price_a
+    where true_id in (select asset_id from @asset_panel) or true_id in (select asset_id from @draft where draft_year = 2002) group by format, team_size""")
+def rescore(t: Inputs):
+    """Scoring unchanged features again moves nothing."""
+    return boards.board_movement(refreshed(t, None), refreshed(t, None), more_than=0.0)
+
+
+@query("refresh_movement")
+def refresh_movement(t: Inputs):
+    return boards.board_movement(refreshed(t, None), refreshed(t, 10))

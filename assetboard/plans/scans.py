@@ -36,7 +36,7 @@ def curated_members(t: Inputs):
     return mart.where(F.col("last_visit_date").between("2024-01-05", "2024-01-20"))
 
 
-@query("export_csv")
+@query("export_csv", f"select {MEMBER_COLUMNS} from @members")
 def export_csv(t: Inputs):
     path = scratch_path(t.spark, "members-csv")
     sinks.export_csv(t["members"], path)
@@ -68,7 +68,8 @@ def html_embedded_json(t: Inputs):
     select cast(ts as date) as day, ts as event_timestamp, value as temperature_c, event_id % 37 as wind from @events""")
 def arrays_to_rows(t: Inputs):
     # One payload of parallel hourly arrays per event block, as a weather service would send it.
-    payload = t["events"].groupBy(F.to_date("ts").alias("day"), F.hour("ts").alias("hr"), (F.col("event_id") % 64).alias("block")).agg(
+    # A payload holds at most 100 readings.
+    payload = t["events"].groupBy(F.to_date("ts").alias("day"), F.floor(F.col("event_id") / 100).alias("block")).agg(
         F.array_sort(F.collect_list(F.struct("ts", "value", (F.col("event_id") % 37).alias("wind")))).alias("r"))
     arrays = payload.select("day", F.col("r.ts").alias("event_timestamp"), F.col("r.value").alias("temperature_c"), F.col("r.wind").alias("wind"))
     return readers.parallel_arrays(arrays, ["event_timestamp", "temperature_c", "wind"], ["day"])
@@ -113,22 +114,31 @@ def _published(t: Inputs):
     return published(board, directory)
 
 
-@query("board_sink")
+@query("board_sink", f"""
+    select b.format, b.team_size, b.asset_id, c.sleeper_id, b.name, b.position, c.team, b.asset_type, {r('model_value', 4)} as model_value, consensus_value,
+           {r('model_value - consensus_value', 4)} as residual,
+           {r('case when consensus_value = 0 then 0 else (model_value - consensus_value) / consensus_value * 100 end', 4)} as residual_pct,
+           current_age, college_seasons_found, cast(null as int) as year, cast(null as int) as round, cast(null as varchar) as tier
+    from @board b left join @crosswalk_raw c on b.asset_id = c.mfl_id""")
 def board_sink(t: Inputs):
     path = scratch_path(t.spark, "boards")
     board = _published(t)
+    board = board.select(*[grid_round(F.col(c), 4).alias(c) if c in ("model_value", "residual", "residual_pct") else F.col(c) for c in board.columns])
     sinks.write_boards(board, path)
     fields = [f for f in board.schema if f.name not in ("format", "team_size")] + [board.schema["format"], board.schema["team_size"]]
     return readers.read_board(t.spark, path, StructType(fields))
 
 
-@query("snapshot_sink")
+@query("snapshot_sink", f"""
+    select d.snapshot_date, format, team_size, asset_id, model_value, row_number() over (partition by d.snapshot_date, format, team_size order by model_value desc, asset_id) as board_rank
+    from (select format, team_size, asset_id, {r('model_value', 4)} as model_value from @board) b
+    cross join (values (date '2026-08-18'), (date '2026-08-19')) d(snapshot_date)""")
 def snapshot_sink(t: Inputs):
     path = scratch_path(t.spark, "snapshots")
-    board = ranked(t["board"])
+    board = ranked(t["board"].select("format", "team_size", "asset_id", grid_round(F.col("model_value"), 4).alias("model_value")))
     for day in ("2026-08-18", "2026-08-19"):
         sinks.write_snapshot(board, path, day)
-    return t.spark.read.csv(path, header=True, schema="board_rank bigint, asset_id string, snapshot_date date, format string, team_size int")
+    return t.spark.read.csv(path, header=True, schema="asset_id string, model_value double, board_rank bigint, snapshot_date date, format string, team_size int")
 
 
 @query("board_metadata", """
