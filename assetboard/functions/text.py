@@ -28,15 +28,19 @@ def normalize_name(name: Column) -> Column:
     """Lower case, no punctuation, no generational suffix, formal first name; null becomes ''."""
     letters = F.regexp_replace(F.lower(name), r"(?U)[^a-z0-9\s]", "")
     words = F.filter(
-        F.split(letters, r"(?U)\s+"),
+        F.split(F.regexp_replace(letters, r"(?U)\s+", " "), " "),
         lambda w: (w != "") & ~w.isin(*NAME_SUFFIXES),
     )
-    first = F.get(words, F.lit(0))
     formal = F.create_map(*[F.lit(x) for x in chain.from_iterable(FORMAL_FIRST_NAMES.items())])
-    head = F.coalesce(F.try_element_at(formal, first), first)
-    rest = F.slice(words, 2, F.greatest(F.size(words), F.lit(1)))
-    joined = F.array_join(F.concat(F.array(head), rest), " ")
-    return F.coalesce(F.when(F.size(words) > 0, joined), F.lit(""))
+
+    def joined(w: Column) -> Column:
+        first = F.get(w, F.lit(0))
+        head = F.coalesce(F.try_element_at(formal, first), first)
+        return F.array_join(F.concat(F.array(head), F.slice(w, 2, F.greatest(F.size(w), F.lit(1)))), " ")
+
+    # Bound to a lambda variable, the word list is computed once per row instead of once per use.
+    whole = F.get(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, joined(w))), F.lit(0))
+    return F.coalesce(whole, F.lit(""))
 
 
 def lenient_number(text: Column, kind: str = "double") -> Column:

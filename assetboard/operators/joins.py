@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,19 +17,21 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> Dat
     null cannot match, so they are spread over salts instead of meeting in one shuffle partition.
     Hot non-null keys are left to AQE, which splits the left side of the join.
     """
-    missing = F.lit(False)
-    for key in on:
-        missing = missing | left[key].isNull()
-    salted = left.withColumn(
-        "_salt",
-        F.when(missing, F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SALTS)) + 1).otherwise(F.lit(0)).cast("bigint"),
-    )
-    renamed = right.select(
+    nullable = [key for key in on if left.schema[key].nullable]
+    salted, keyed = left, right
+    if nullable:
+        missing = reduce(lambda a, b: a | b, [left[key].isNull() for key in nullable])
+        salted = left.withColumn(
+            "_salt",
+            F.when(missing, F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SALTS)) + 1).otherwise(F.lit(0)).cast("int"),
+        )
+        # Always 0, but from a generator: a literal would be folded out of the join key.
+        keyed = right.select("*", F.explode(F.array(F.lit(0))).alias("_rsalt"))
+    renamed = keyed.select(
         *[F.col(r).alias(f"_r_{r}") for r in on.values()],
-        *[c for c in right.columns if c not in on.values()],
-        F.lit(0).cast("bigint").alias("_rsalt"),
+        *[c for c in keyed.columns if c not in on.values()],
     )
-    condition = salted["_salt"] == renamed["_rsalt"]
+    condition = salted["_salt"] == renamed["_rsalt"] if nullable else F.lit(True)
     for l, r in on.items():
         condition = condition & (salted[l] == renamed[f"_r_{r}"])
     return salted.join(renamed, condition, "left").drop("_salt", "_rsalt", *[f"_r_{r}" for r in on.values()])
@@ -37,8 +40,7 @@ def lookup_join(left: DataFrame, right: DataFrame, on: Mapping[str, str]) -> Dat
 def safe_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join that keeps the row count: a repeated right key fails the job.
 
-    The right side is reduced by key on the same partitioning the join needs, so the check costs no
-    extra shuffle.
+    The right side is reduced by key, map-side first, before it meets the left side.
     """
     values = [c for c in right.columns if c not in keys]
     checked = right.groupBy(*keys).agg(

@@ -16,7 +16,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 FORMAT = "case l_returnflag when 'A' then 'sf_dynasty' when 'N' then 'oneqb_dynasty' else 'redraft' end"
 SIZE = "case l_linestatus when 'F' then 10 else 12 end"
-CENTS = "cast(round(l_extendedprice * 100) as bigint)"
+CENTS = "cast(floor(l_extendedprice * 100 + 0.5) as bigint)"
 YEAR = "cast(year(l_shipdate) as int)"
 WORD = "case {r} when 1 then '1st' when 2 then '2nd' when 3 then '3rd' else cast({r} as string) || 'th' end"
 TIER = "case {t} when 0 then 'Early' when 1 then 'Mid' else 'Late' end"
@@ -29,8 +29,8 @@ VIEWS = {
                cast(count(distinct cast(l_shipdate as date)) as bigint) as games,
                cast(sum(cast(l_quantity as bigint)) as bigint) as points,
                cast(sum({CENTS}) as bigint) as yards,
-               cast(sum(cast(round(l_discount * 100) as bigint)) as double) / cast(count(*) as double) as share_a,
-               cast(sum(cast(round(l_tax * 100) as bigint)) as double) / cast(count(*) as double) as share_b
+               cast(sum(cast(floor(l_discount * 100 + 0.5) as bigint)) as double) / cast(count(*) as double) as share_a,
+               cast(sum(cast(floor(l_tax * 100 + 0.5) as bigint)) as double) / cast(count(*) as double) as share_b
         from @lineitem join @part on l_partkey = p_partkey
         where l_partkey % 9 <> 8
         group by l_partkey, p_type, {YEAR}""",
@@ -39,12 +39,12 @@ VIEWS = {
         select l_partkey as asset_id, cast(floor((dayofyear(l_shipdate) - 1) / 7.0) as int) + 1 as week,
                cast(sum(cast(l_quantity as bigint)) as bigint) as points,
                cast(sum({CENTS}) as bigint) as yards,
-               cast(sum(cast(round(l_discount * 100) as bigint)) as double) / cast(count(*) as double) as share_a
+               cast(sum(cast(floor(l_discount * 100 + 0.5) as bigint)) as double) / cast(count(*) as double) as share_a
         from @lineitem where {YEAR} = 2001
         group by l_partkey, cast(floor((dayofyear(l_shipdate) - 1) / 7.0) as int) + 1""",
     "game_share": f"""
         select 'P' || cast(l_partkey as string) as pfr_player_id, {YEAR} as season,
-               cast(round(l_discount * 100) as double) as offense_pct
+               cast(floor(l_discount * 100 + 0.5) as double) as offense_pct
         from @lineitem""",
     "draft": """
         select p_partkey as asset_id, cast(1994 + p_partkey % 9 as int) as draft_year,
@@ -168,7 +168,7 @@ VIEWS = {
         from @flights where arr_del15 is not null""",
     "reps": """
         select c_custkey as rep_id, c_acctbal as nps, feedback, years, age, c_mktsegment as business, n_name as nation
-        from (select o_custkey, cast(sum(cast(round(o_totalprice * 100) as bigint)) as bigint) as feedback,
+        from (select o_custkey, cast(sum(cast(floor(o_totalprice * 100 + 0.5) as bigint)) as bigint) as feedback,
                      cast(count(*) as bigint) as years, cast(20 + max(o_orderkey) % 40 as bigint) as age
               from @orders group by o_custkey) o
         join @customer on c_custkey = o_custkey join @nation on c_nationkey = n_nationkey""",
