@@ -39,10 +39,10 @@ def _matches(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return condition
 
 
-def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _attach(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     renamed = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
                            *[c for c in right.columns if c not in keys])
-    return left.join(renamed, _matches(left, renamed, keys)).drop(*[f"_k_{k}" for k in keys])
+    return left.join(renamed, _matches(left, renamed, keys), how).drop(*[f"_k_{k}" for k in keys])
 
 
 def _offsets(pieces: DataFrame, keys: Sequence[str], sums: Mapping[str, str], kept: Sequence[str]) -> DataFrame:
@@ -157,7 +157,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     )
     levels = marked.select(*keys, "_v", F.explode(hits).alias("_q")).groupBy(*keys, "_q", "_v").agg(F.count("*").alias("n"))
     placed = prefix_sums(levels, [*keys, "_q"], [F.col("_v")], {"_below": "n"})
-    placed = _attach(placed, land(counts, "counts"), keys)
+    placed = _attach(land(counts, "counts"), placed, keys, "left")  # a group without hits must show as missing
     under = F.get(F.array(*[F.col(f"_under{i}") for i in range(len(names))]), F.col("_q"))
     found = _pick_quantiles(placed.withColumn("_below", F.col("_below") + under), keys, names, probs, by_index=True)
     found = land(found, "quantiles")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from assetboard.functions.numeric import grid_round
 from assetboard.operators import metrics
+from assetboard.operators.features import latest_season
 from assetboard.plans.registry import query, r
 from assetboard.sources.stand_ins import Inputs
 
@@ -113,9 +114,8 @@ FEATURES = ["season", "games", "points", "yards", "share_a", "share_b", "round",
     u as ({' union all '.join(f"select '{c}' as feature, cast({c} as double) as v, value from m where {c} is not null" for c in FEATURES)}),
     k as (select feature, {AVG_RANK.format(by='feature', v='v')} as rx, {AVG_RANK.format(by='feature', v='value')} as ry from u),
     s as (select feature, case when var_pop(rx) > 0 then corr(rx, ry) end as c, count(*) as n from k group by feature)
-    select feature, {r('c', 8)} as spearman, n as n_pairs from s where n >= 10 and c is not null""")
+    select feature, {r('c', 8)} as spearman, n as n_pairs from s where n >= 10""")
 def feature_spearman(t: Inputs):
-    from assetboard.operators.features import latest_season
     latest = latest_season(t["asset_panel"], "asset_id", "season")
     target = t["price_a"].where("format = 'sf_dynasty' AND team_size = 12").select(F.col("true_id").alias("asset_id"), "value")
     rows = latest.join(t["draft"].drop("position"), "asset_id", "left").join(target, "asset_id")
