@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from assetboard.functions.numeric import null_if_nan, safe_ratio
+from assetboard.functions.numeric import safe_ratio
 from assetboard.operators.ordering import average_rank, prefix_sums, top_per_group, value_levels
 from assetboard.operators.quality import unpivot
 
@@ -149,8 +149,9 @@ def spearman(df: DataFrame, keys: Sequence[str], x: str, y: str, out: str = "spe
     """Rank correlation with average ties over the complete pairs of each group."""
     pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, x, y)
     ranked = average_rank(average_rank(pairs, keys, x, "_rx"), keys, y, "_ry")
-    # A constant side has no correlation; Spark reports that as NaN.
-    return ranked.groupBy(*keys).agg(null_if_nan(F.corr("_rx", "_ry")).alias(out), F.count("*").alias("n_pairs"))
+    # A constant side has no correlation; merged partial sums would report rounding noise for it.
+    varies = (F.min("_rx") < F.max("_rx")) & (F.min("_ry") < F.max("_ry"))
+    return ranked.groupBy(*keys).agg(F.when(varies, F.corr("_rx", "_ry")).alias(out), F.count("*").alias("n_pairs"))
 
 
 def regression_metrics(df: DataFrame, keys: Sequence[str], truth: str, pred: str, tie: str, top: int = 50) -> DataFrame:
