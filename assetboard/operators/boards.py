@@ -117,7 +117,7 @@ def index_coverage(index: DataFrame) -> DataFrame:
 
 
 def board_metadata(board: DataFrame, season: int, counted: tuple[str, int] = ("sf_dynasty", 12)) -> DataFrame:
-    """One row: the boards present and the player and pick count of the reference board."""
+    """One row: the boards present and the player and pick count of one of them."""
     here = (F.col("format") == counted[0]) & (F.col("team_size") == counted[1])
     return board.agg(
         F.lit(season).alias("season"),

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from assetboard.functions.numeric import safe_ratio
 from assetboard.operators.ordering import average_rank, prefix_sums, top_per_group, value_levels
 from assetboard.operators.quality import unpivot
+from assetboard.session import land
 
 # The threshold grids of the churn sweep, the sales table and the delay report.
 CHURN_THRESHOLDS = tuple(round(0.10 + 0.05 * i, 2) for i in range(17))
@@ -28,7 +30,7 @@ def threshold_counts(scored: DataFrame, label: str, score: str, thresholds: Sequ
     are then running sums over that histogram, which has one row more than there are thresholds.
     """
     grid = sorted(set(float(t) for t in thresholds))
-    reached = F.size(F.filter(F.array(*[F.lit(t) for t in grid]), lambda t: t <= F.col(score)))
+    reached = reduce(lambda a, b: a + b, [(F.col(score) >= F.lit(t)).cast("int") for t in grid])
     counts = scored.groupBy(*keys, reached.alias("_reached")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
@@ -147,7 +149,8 @@ def model_comparison(scored: DataFrame, model: str, label: str, score: str, thre
 
 def spearman(df: DataFrame, keys: Sequence[str], x: str, y: str, out: str = "spearman") -> DataFrame:
     """Rank correlation with average ties over the complete pairs of each group."""
-    pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, x, y)
+    # Written once, since both rankings read it twice.
+    pairs = land(df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, x, y), "pairs")
     ranked = average_rank(average_rank(pairs, keys, x, "_rx"), keys, y, "_ry")
     # A constant side has no correlation; merged partial sums would report rounding noise for it.
     varies = (F.min("_rx") < F.max("_rx")) & (F.min("_ry") < F.max("_ry"))

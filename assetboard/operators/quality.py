@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -130,6 +131,14 @@ def impute(df: DataFrame, fills: Mapping) -> DataFrame:
     ])
 
 
+def quantile_label(df: DataFrame, columns: Sequence[str], p: float = 0.80, out: str = "high_performer") -> DataFrame:
+    """1 where every column reaches its own ``p`` quantile, else 0; a null never reaches it."""
+    cutoffs = exact_quantiles(unpivot(df, [], columns, "metric", "v", "double"), ["metric"], "v", {"cutoff": p})
+    found = {row["metric"]: row["cutoff"] for row in cutoffs.collect()}
+    reached = reduce(lambda a, b: a & b, [F.col(c) >= F.lit(found.get(c)).cast("double") for c in columns])
+    return df.withColumn(out, F.when(reached, 1).otherwise(0))
+
+
 def target_consistency(df: DataFrame, minutes: str, flag: str, threshold: float = 15) -> DataFrame:
     """Share of rows, both values present, where ``minutes >= threshold`` agrees with the flag."""
     both = df.where(F.col(minutes).isNotNull() & F.col(flag).isNotNull()).select(

@@ -7,6 +7,7 @@ from assetboard.operators import features
 from assetboard.operators.ordering import average_rank, exact_quantiles
 from assetboard.plans.identity import combine_rows
 from assetboard.plans.registry import query, r
+from assetboard.session import land
 from assetboard.sources.stand_ins import Inputs
 
 POSITIONS = ("ECONOMY", "PROMO", "STANDARD", "SMALL")
@@ -84,12 +85,10 @@ def latest_season(t: Inputs):
     return features.latest_season(t["asset_panel"], "asset_id", "season")
 
 
-def aged(t: Inputs):
-    return features.with_age(t["asset_panel"], t["draft"], "asset_id").withColumn("ppg", safe_ratio(F.col("points"), F.col("games")))
-
-
-def curves(t: Inputs):
-    return features.aging_curves(aged(t), "position", "ppg", min_games=2)
+def curves(t: Inputs, panel=None):
+    rows = t["asset_panel"] if panel is None else panel
+    aged = features.with_age(rows, t["draft"], "asset_id").withColumn("ppg", safe_ratio(F.col("points"), F.col("games")))
+    return features.aging_curves(aged, "position", "ppg", min_games=2)
 
 
 @query("aging_curve", f"select position, cast(n as bigint) as n_rows, {r('a')} as a, {r('peak_age', 3)} as peak_age, concave from ({CURVES}) q")
@@ -142,7 +141,8 @@ def dominator_breakout(t: Inputs):
 
 def snapshot(t: Inputs):
     active = t["price_a"].select(F.col("true_id").alias("asset_id"))
-    return features.player_snapshot(t["asset_panel"], t["draft"].drop("round", "pick", "college"), curves(t), "asset_id", "position", "season",
+    panel = land(t["asset_panel"], "panel")  # read by the curves, the latest season, the careers and the rookie filter
+    return features.player_snapshot(panel, t["draft"].drop("round", "pick", "college"), curves(t, panel), "asset_id", "position", "season",
                                     "points", VALUATION_SEASON, per_game="career_ppg", active=active)
 
 

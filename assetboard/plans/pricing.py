@@ -8,6 +8,7 @@ from assetboard.operators import consensus, identity, picks
 from assetboard.operators.boards import ranked
 from assetboard.plans.identity import RESOLVED_A, TWO_KEYS, resolved_a
 from assetboard.plans.registry import query, r
+from assetboard.session import land
 from assetboard.sources.stand_ins import Inputs
 
 BOARD = ["format", "team_size"]
@@ -89,7 +90,9 @@ def routed_second_source(t: Inputs):
 
 def consensus_frame(t: Inputs):
     a = resolved_a(t).where(F.col("mfl_id").isNotNull()).select(*BOARD, "mfl_id", "gsis_id", "value")
-    return consensus.blend_consensus(a, routed_second_source(t), BOARD, ["format"], "mfl_id", "value", "value_b").where(F.col("gsis_id").isNotNull())
+    # Written once: ranking reads the resolved second list twice.
+    second = land(routed_second_source(t), "second-source")
+    return consensus.blend_consensus(a, second, BOARD, ["format"], "mfl_id", "value", "value_b").where(F.col("gsis_id").isNotNull())
 
 
 @query("consensus_targets", f"""

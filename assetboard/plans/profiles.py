@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from assetboard.functions.numeric import grid_round
 from assetboard.operators import quality
 from assetboard.operators.learning import class_weights, fit_scaler, scale
-from assetboard.operators.ordering import exact_quantiles
 from assetboard.plans.registry import query, r
+from assetboard.session import land
 from assetboard.sources.stand_ins import Inputs
 
 # The leakage columns of the delay data and of the sales data that the stand-ins have.
@@ -83,7 +83,8 @@ def drop_leakage(t: Inputs):
            coalesce(arr_del15, (select l from m)) as arr_del15, coalesce(distance, (select dist from m)) as distance, fare,
            coalesce(carrier, (select carrier from c)) as carrier, cabin from f""")
 def impute(t: Inputs):
-    rows = flown(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *NUMERIC[:3], "fare", "carrier", "cabin")
+    # Written once: fitting reads the rows several times.
+    rows = land(flown(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *NUMERIC[:3], "fare", "carrier", "cabin"), "flown")
     fills = quality.fit_imputer(rows, NUMERIC, ["carrier", "cabin"])
     return quality.impute(rows, fills)
 
@@ -122,12 +123,7 @@ def quantile_label(t: Inputs):
 
 
 def labelled_reps(t: Inputs):
-    reps = t["reps"]
-    at_least = None
-    for c in ("nps", "feedback"):
-        cutoff = exact_quantiles(reps, [], c, {"cutoff": 0.80}).scalar()
-        at_least = (F.col(c) >= cutoff) if at_least is None else at_least & (F.col(c) >= cutoff)
-    return reps.withColumn("high_performer", F.when(at_least, 1).otherwise(0))
+    return quality.quantile_label(land(t["reps"], "reps"), ["nps", "feedback"])
 
 
 @query("class_weights", f"""
