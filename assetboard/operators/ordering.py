@@ -168,6 +168,39 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Mappi
     return _pick_quantiles(placed, keys, names, probs, by_index=False)
 
 
+def column_quantiles(df: DataFrame, columns: Sequence[str], p: float) -> dict[str, float | None]:
+    """The exact ``p`` quantile of several columns; null for a column without values.
+
+    As ``exact_quantiles``, but all columns share one sketch pass and one counting pass, and only the
+    values inside the brackets become rows.
+    """
+    values = [F.col(c).cast("double") for c in columns]
+    slack = 4.0 / BRACKET_ACCURACY
+    edges = F.array(F.lit(max(p - slack, 0.0)), F.lit(min(p + slack, 1.0)))
+    seen = df.agg(
+        *[F.count(v).alias(f"_n{i}") for i, v in enumerate(values)],
+        *[F.percentile_approx(v, edges, F.lit(BRACKET_ACCURACY)).alias(f"_e{i}") for i, v in enumerate(values)],
+    ).first()
+    totals = [seen[f"_n{i}"] for i in range(len(columns))]
+    brackets = [tuple(seen[f"_e{i}"] or (0.0, 0.0)) for i in range(len(columns))]
+    under = list(df.agg(*[F.count_if(v < F.lit(lo)) for v, (lo, _) in zip(values, brackets)]).first())
+    cells = F.filter(
+        F.array(*[F.when(v.between(lo, hi), F.struct(F.lit(i).alias("_c"), v.alias("_v")))
+                  for i, (v, (lo, hi)) in enumerate(zip(values, brackets))]),
+        lambda cell: cell.isNotNull(),
+    )
+    levels = df.select(F.inline(cells)).groupBy("_c", "_v").agg(F.count("*").alias("n"))
+    per_column = lambda numbers: F.get(F.array(*[F.lit(n).cast("bigint") for n in numbers]), F.col("_c"))
+    placed = prefix_sums(levels, ["_c"], [F.col("_v")], {"_below": "n"}).withColumn(
+        "_below", F.col("_below") + per_column(under)).withColumn("_total", per_column(totals))
+    found = {r["_c"]: r["q"] for r in _pick_quantiles(placed, ["_c"], ["q"], {"q": p}, by_index=False).collect()}
+    result = {c: found.get(i) for i, c in enumerate(columns)}
+    for i, c in enumerate(columns):
+        if totals[i] and result[c] is None:  # the bracket missed
+            result[c] = exact_quantiles(df, [], c, {"q": p}).first()[0]
+    return result
+
+
 def _pick_quantiles(placed: DataFrame, keys: Sequence[str], names: Sequence[str], probs: Mapping[str, float], by_index: bool) -> DataFrame:
     """Interpolate between the two values around each quantile's place."""
     upto = F.col("_below") + F.col("n")
@@ -190,7 +223,8 @@ def hash_positions(df: DataFrame, keys: Sequence[str], ids: Sequence[str], seed:
     """Seeded shuffle: 0-based place of each row in the order of a hash of its id, and its group size.
 
     The hash is uniform, so its top ``bits`` bits cut every group into even slices: slice counts give
-    the offsets and only one slice is ever sorted in a task. Lazy, and the same on every run.
+    the offsets and only one slice is ever sorted in a task. The same on every run. The offsets are
+    written, at most 2^bits rows per group, so that the planner knows their size.
     """
     keys = list(keys)
     hashed = df.withColumn("_hash", F.xxhash64(*[F.col(c) for c in ids], F.lit(seed))).withColumn(
@@ -199,11 +233,11 @@ def hash_positions(df: DataFrame, keys: Sequence[str], ids: Sequence[str], seed:
     counts = hashed.groupBy(*keys, "_slice").agg(F.count("*").alias("_n"))
     by_group = Window.partitionBy(*keys)
     earlier = by_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
+    offsets = land(counts.select(
         *keys, "_slice",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
         F.sum("_n").over(by_group).alias(size_out),
-    )
+    ), "slices")
     inside = Window.partitionBy(*keys, "_slice").orderBy("_hash", *ids)
     local = hashed.withColumn("_rank", F.row_number().over(inside) - 1)
     joined = _attach(local, offsets, [*keys, "_slice"])

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assetboard.functions.numeric import grid_round
-from assetboard.operators.ordering import exact_quantiles
+from assetboard.operators.ordering import column_quantiles
 
 
 def _stack(pairs: Sequence[tuple[str, Column]], name: str, value: str) -> Column:
@@ -103,14 +103,12 @@ def usable_features(df: DataFrame, columns: Sequence[str]) -> list[str]:
 def fit_imputer(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], unknown: str = "Unknown") -> dict:
     """Fill value per column: the exact median, or the most frequent value (smallest on a tie).
 
-    Medians are taken over distinct values with their counts and modes over value counts, both
-    combined map-side; what returns to the driver is one value per column.
+    Modes come from value counts that are combined map-side; what returns to the driver is one value
+    per column.
     """
     fills: dict = {}
     if numeric:
-        long = unpivot(df, [], numeric, "feature", "v", "double")
-        for row in exact_quantiles(long, ["feature"], "v", {"median": 0.5}).collect():
-            fills[row["feature"]] = row["median"]
+        fills.update({c: m for c, m in column_quantiles(df, numeric, 0.5).items() if m is not None})
     if categorical:
         long = unpivot(df, [], categorical, "feature", "v", "string").where(F.col("v").isNotNull())
         counts = long.groupBy("feature", "v").agg(F.count("*").alias("n"))
@@ -133,8 +131,7 @@ def impute(df: DataFrame, fills: Mapping) -> DataFrame:
 
 def quantile_label(df: DataFrame, columns: Sequence[str], p: float = 0.80, out: str = "high_performer") -> DataFrame:
     """1 where every column reaches its own ``p`` quantile, else 0; a null never reaches it."""
-    cutoffs = exact_quantiles(unpivot(df, [], columns, "metric", "v", "double"), ["metric"], "v", {"cutoff": p})
-    found = {row["metric"]: row["cutoff"] for row in cutoffs.collect()}
+    found = column_quantiles(df, columns, p)
     reached = reduce(lambda a, b: a & b, [F.col(c) >= F.lit(found.get(c)).cast("double") for c in columns])
     return df.withColumn(out, F.when(reached, 1).otherwise(0))
 

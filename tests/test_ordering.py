@@ -78,6 +78,16 @@ def test_exact_quantiles_when_the_bracket_misses(skewed, monkeypatch):
     assert np.isclose(ordering.exact_quantiles(df, [], "v", {"m": 0.5}).first()[0], pdf["v"].median())
 
 
+def test_column_quantiles(skewed, spark, monkeypatch):
+    df, pdf = skewed
+    wide = df.select("v", (F.col("id") % 7).alias("w"), F.lit(None).cast("double").alias("none"))
+    want = {"v": pdf["v"].quantile(0.8), "w": (pdf["id"] % 7).quantile(0.8)}
+    for _ in range(2):
+        got = ordering.column_quantiles(wide, ["v", "w", "none"], 0.8)
+        assert np.isclose(got["v"], want["v"]) and np.isclose(got["w"], want["w"]) and got["none"] is None
+        monkeypatch.setattr(ordering.F, "percentile_approx", lambda c, e, a: F.array(F.max(c) + 1, F.max(c) + 2))
+
+
 def test_hash_positions_are_a_stable_permutation(skewed):
     df, pdf = skewed
     first = ordering.hash_positions(df, ["g"], ["id"], 474).toPandas().sort_values("id")
