@@ -162,9 +162,14 @@ def rule_panel(rules: DataFrame, board: DataFrame) -> DataFrame:
 
     both = found(found(rules, "name", "rank"), "other", "other_rank")
     passed = F.when(F.col("kind") == "top_n", F.col("rank") <= F.col("n")).otherwise(F.col("rank") < F.col("other_rank"))
+    missing = F.when(F.col("rank").isNull(), F.col("name")).otherwise(F.col("other"))
+    detail = F.when(passed.isNull(), F.concat(missing, F.lit(" not on board"))).when(
+        F.col("kind") == "top_n", F.format_string("rank=%d (need <= %d)", "rank", "n")
+    ).otherwise(F.format_string("rank=%d vs rank=%d", "rank", "other_rank"))
     return both.select(
         "rule_id", "kind", *BOARD, "rank", "other_rank", passed.alias("passed"),
         F.when(passed.isNull(), "skipped").when(passed, "passed").otherwise("failed").alias("status"),
+        detail.alias("detail"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from assetboard.functions.numeric import safe_ratio
 from assetboard.functions.text import parse_pick_name
 from assetboard.operators.consensus import SECOND_SOURCE_WEIGHT
+from assetboard.session import land
 
 # Scope of the pick universe and the constants of the constructed price.
 PICK_YEARS = (2027, 2028, 2029)
@@ -101,7 +102,7 @@ def pick_universe(list_a: DataFrame, list_b: DataFrame, weight: float = SECOND_S
     First source: the tier price, else the round price times the tier ratio, else the constructed
     price. The second source is blended in where it prices the cell.
     """
-    native = native_picks(list_a, list_b)
+    native = land(native_picks(list_a, list_b), "native-picks")  # a few hundred prices, read by four branches
     first = native.where(F.col("source") == "a")
     whole = first.where(F.col("kind") == "aggregate").groupBy("format", "team_size", "year", "round").agg(
         F.max("value").alias("_whole"))

@@ -91,7 +91,9 @@ RULES_SQL = f"""
           left join b h on h.format = a.format and h.team_size = a.team_size and h.name = a.n1 left join b o on o.format = a.format and o.team_size = a.team_size and o.name = a.other)
     select rule_id, kind, format, team_size, rank, other_rank, case when kind = 'top_n' then rank <= n else rank < other_rank end as passed,
            case when (case when kind = 'top_n' then rank <= n else rank < other_rank end) is null then 'skipped'
-                when (case when kind = 'top_n' then rank <= n else rank < other_rank end) then 'passed' else 'failed' end as status from j"""
+                when (case when kind = 'top_n' then rank <= n else rank < other_rank end) then 'passed' else 'failed' end as status,
+           case when (case when kind = 'top_n' then rank <= n else rank < other_rank end) is null then (case when rank is null then name else other end) || ' not on board'
+                when kind = 'top_n' then 'rank=' || rank || ' (need <= ' || n || ')' else 'rank=' || rank || ' vs rank=' || other_rank end as detail from j"""
 
 
 def panel(t: Inputs):

@@ -108,3 +108,15 @@ def test_no_python_functions_in_plans(spark):
         plan = queries[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         assert not any(word in plan for word in ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas")), name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_ranking_a_board_needs_no_window_over_the_board(spark):
+    from assetboard import plans
+    from conftest import FOLDER
+
+    queries = plans.queries()
+    for name in ("board_rank", "consensus_board", "exact_sample"):
+        plan = queries[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+        windows = [line for line in plan.splitlines() if "Window [" in line]
+        assert all("_slice" in line for line in windows), name
+        assert "BroadcastHashJoin" in plan, name

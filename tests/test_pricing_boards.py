@@ -106,6 +106,8 @@ def test_rule_panel(spark):
         "rule_id int, kind string, format string, team_size int, name string, other string, n int")
     panel = boards.rule_panel(rules, board)
     assert {r["rule_id"]: r["status"] for r in panel.collect()} == {1: "passed", 2: "failed", 3: "passed", 4: "skipped", 5: "skipped"}
+    assert {r["rule_id"]: r["detail"] for r in panel.collect()} == {
+        1: "rank=2 (need <= 5)", 2: "rank=7 (need <= 5)", 3: "rank=2 vs rank=40", 4: "No One not on board", 5: "Bijan Robinson not on board"}
     assert tuple(boards.rule_tally(panel).first()) == (2, 1, 2)
 
 
