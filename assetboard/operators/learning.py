@@ -333,12 +333,9 @@ def fit_board(train: DataFrame, target: str, weight: str | None, numeric: Sequen
     """Mean and quantile models of one board on the log target; columns that do not vary are left out."""
     usable = usable_features(train, [*numeric, *categorical])
     num, cat = [c for c in numeric if c in usable], [c for c in categorical if c in usable]
-    rows = ordered_for_fit(train.withColumn("_log_target", F.ln(target)), ids).persist()
-    try:
-        mean = fit_boosted(rows, "_log_target", weight, num, cat, settings)
-        low = fit_quantile_forest(rows, "_log_target", weight, num, cat, ids, settings)
-    finally:
-        rows.unpersist()
+    rows = land(ordered_for_fit(train.withColumn("_log_target", F.ln(target)), ids), "fit-rows")
+    mean = fit_boosted(rows, "_log_target", weight, num, cat, settings)
+    low = fit_quantile_forest(rows, "_log_target", weight, num, cat, ids, settings)
     return BoardFit(mean, low, num, cat)
 
 
