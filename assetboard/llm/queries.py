@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from assetboard.llm import mixing, packing, sharding, suffix_lm
 from assetboard.llm import token_counts as tc
 from assetboard.llm.common import table
 
@@ -18,6 +20,29 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = sharding.assign_shards(table(spark, sf_dir, "documents"), shards=8)
+    return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                          F.lit(None).cast("int").alias("grown_shard"), "n_tokens")
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized, schedule = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.taken_words(sized, schedule).drop("row")
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.token_counts(table(spark, sf_dir, "documents"))
