@@ -70,10 +70,18 @@ def safe_cuts(raw: np.ndarray) -> np.ndarray:
     return at[(before > 32) & (before != 127) & ~doubtful]
 
 
+def bounds_at(size: int, *places: np.ndarray) -> np.ndarray:
+    """All given places in a buffer of ``size`` bytes, once each and in order."""
+    flags = np.zeros(size + 1, bool)
+    for some in places:
+        flags[some] = True
+    return np.flatnonzero(flags)
+
+
 def cut_texts(column: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """Every text cut at its safe positions: the parts, by a dictionary of distinct ones, and parts per row."""
     raw, starts = utf8_buffer(column)
-    bounds = np.unique(np.concatenate([starts, safe_cuts(raw)])) if len(raw) else np.zeros(1, np.int64)
+    bounds = bounds_at(len(raw), starts, safe_cuts(raw))
     parts = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(raw)])
     per_row = np.diff(np.searchsorted(bounds, starts))

@@ -29,7 +29,7 @@ from assetboard.session import land
 LENGTH = 4096
 MOST_SEGMENTS = 512
 PIECES_PER_PART = 4096
-CACHE_PARTS = 600_000
+CACHE_PARTS = 1_200_000
 SLICE_BYTES = 2_000_000
 _ENCODERS: dict[str, "IdEncoder"] = {}
 
@@ -140,25 +140,29 @@ def pieces_of(docs: DataFrame, tokenizer: str | None = None, length: int = LENGT
 
 def fill(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bin and place in it of every item; ``demand`` holds tokens first, then the other limited amounts."""
-    need = demand / limits
     order = np.argsort(-demand[:, 0], kind="stable")
-    need, whole = need[order], demand[order]
-    left = np.arange(len(order))
+    whole = np.ascontiguousarray(demand[order], dtype=np.float64)
+    need = whole / limits
+    smaller = -whole[:, 0]  # ascending, so the items that fit in tokens are a tail
+    free = np.ones(len(order), bool)
     bins = np.zeros(len(order), dtype=np.int64)
     offsets = np.zeros(len(order), dtype=np.int64)
-    number = 0
-    while len(left):
+    number, waiting = 0, len(order)
+    while waiting:
         residual = limits.astype(np.float64)
-        chosen = []
-        fits = np.arange(len(left))
-        while len(fits):
-            best = fits[int(np.argmax(need[left[fits]] @ (residual / limits)))]
-            item = left[best]
+        start = int(np.argmax(free))
+        while start < len(order):
+            fits = free[start:] & (whole[start:, 1:] <= residual[1:]).all(axis=1)
+            value = np.where(fits, need[start:] @ (residual / limits), -1.0)
+            best = int(np.argmax(value))
+            if value[best] < 0:
+                break
+            item = start + best
             bins[order[item]], offsets[order[item]] = number, limits[0] - residual[0]
             residual -= whole[item]
-            chosen.append(best)
-            fits = fits[(fits != best) & (whole[left[fits]] <= residual).all(axis=1)]
-        left = np.delete(left, chosen)
+            free[item] = False
+            waiting -= 1
+            start = int(np.searchsorted(smaller, -residual[0], side="left"))
         number += 1
     return bins, offsets
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetboard.llm import mixing, packing, sharding, suffix_lm
+from assetboard.llm import mixing, packing, sharding, suffix_lm, toxicity
 from assetboard.llm import token_counts as tc
 from assetboard.llm.common import table
 
@@ -20,6 +20,11 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_lm.score_documents(table(spark, sf_dir, "documents"))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assetboard.llm.common import is_gap, slices, utf8_buffer
+from assetboard.llm.common import bounds_at, is_gap, slices, utf8_buffer
 from assetboard.session import land
 
 BITS = 7
@@ -56,7 +56,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     raw, starts, gap = folded(texts)
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    bounds = np.unique(np.concatenate([starts, np.flatnonzero(gap[1:] != gap[:-1]) + 1]))
+    bounds = bounds_at(len(raw), starts, np.flatnonzero(gap[1:] != gap[:-1]) + 1)
     runs = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(raw)])
     is_word = ~gap[bounds[:-1]]
@@ -221,37 +221,34 @@ class Tree:
         width = 1 << BITS
         self.depth = depth
         # A context is its symbols, newest lowest, under a leading one that marks its length.
-        marked = lambda context, k: context | (1 << (BITS * k))
-        context = np.where(level > 0, marked(code >> BITS, level), 1)
-        kept = np.unique(np.concatenate([[1], context]))
-        states = set(kept.tolist())
-        for state in kept.tolist():  # a state is reached through the states of its first symbols
-            while state > 1:
-                state >>= BITS
-                states.add(state)
-        self.states = np.array(sorted(states), np.int64)
-        lengths = np.array([(s.bit_length() - 1) // BITS for s in self.states.tolist()])
-        place = np.searchsorted(self.states, context)
+        context = np.where(level > 0, code >> BITS | np.left_shift(1, BITS * level), 1)
+        states = [np.unique(np.concatenate([[1], context]))]
+        while states[-1].max() > 1:  # a state is reached through the states of its first symbols
+            states.append(np.unique(np.maximum(states[-1] >> BITS, 1)))
+        self.states = np.unique(np.concatenate(states))
+        lengths = np.searchsorted(np.left_shift(1, BITS * np.arange(depth + 2)), self.states, side="right") - 1
+        symbol = code & (width - 1)
+        width = self.width = int(max(symbol.max(initial=0), FIRST)) + 1
         counts = np.zeros((len(self.states), width))
-        np.add.at(counts, (place, code & (width - 1)), n)
-        totals = counts.sum(axis=1)
-        log = np.zeros((len(self.states), width), np.float32)
-        probability = np.zeros((len(self.states), width))
-        order = np.argsort(lengths, kind="stable")
+        np.add.at(counts, (np.searchsorted(self.states, context), symbol), n)
+        totals = counts.sum(axis=1, keepdims=True)
         live = np.arange(width) != PAD
-        for i in order.tolist():
-            if lengths[i] == 0:
-                probability[i] = live * (counts[i] + 1) / (totals[i] + live.sum())
-            else:
-                j = self._longest(self.states[i: i + 1], lengths[i: i + 1] - 1)[0]
-                probability[i] = (counts[i] + prior * probability[j]) / (totals[i] + prior) if totals[i] else probability[j]
+        probability = live * (counts + 1) / (totals + live.sum())
+        for k in range(1, depth + 1):
+            own = np.flatnonzero(lengths == k)
+            shorter = probability[self._longest(self.states[own], np.full(len(own), k - 1))]
+            # A state that only leads to others has no counts and says what its shorter context says.
+            probability[own] = (counts[own] + prior * shorter) / (totals[own] + prior)
+        log = np.zeros((len(self.states), width), np.float32)
         log[:, live] = np.log10(probability[:, live])
         log[:, OTHER] -= np.log10(max(other_members, 1))
         self.log = log.ravel()
-        grown = (self.states[:, None] ^ (1 << (BITS * lengths))[:, None]) << BITS | np.arange(width)
-        grown |= (1 << (BITS * (lengths + 1)))[:, None]
-        most = np.repeat(np.minimum(lengths + 1, depth), width)
-        self.next = (self._longest(grown.ravel(), most) * width).astype(np.int32)
+        most = np.minimum(lengths + 1, depth)
+        following = np.empty((len(self.states), width), np.int32)
+        for c in range(width):
+            grown = (self.states ^ np.left_shift(1, BITS * lengths)) << BITS | c
+            following[:, c] = self._longest(grown, most) * width
+        self.next = following.ravel()
 
     def _longest(self, contexts: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Place of the longest state that is a suffix of each context, of at most so many symbols."""
@@ -295,8 +292,8 @@ def frequent_words(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray,
     return top["key"].to_numpy(np.int64)[order], top["n"].to_numpy(np.int64)[order], least
 
 
-def score_documents(docs: DataFrame, depth: int = 5, least_share: float = 1e-5, least_count: int = 8,
-                    divergence: float = 3.0, prior: float = 4.0, frequent: int = FREQUENT_WORDS, modulus: int = 7,
+def score_documents(docs: DataFrame, depth: int = 6, least_share: float = 4e-6, least_count: int = 8,
+                    divergence: float = 2.0, prior: float = 40.0, frequent: int = FREQUENT_WORDS, modulus: int = 7,
                     remainder: int = 2, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_states) of every row."""
     spark = docs.sparkSession
