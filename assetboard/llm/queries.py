@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetboard.llm import mixing, packing, sharding, suffix_lm, toxicity
+from assetboard.llm import mixing, near_dedup, packing, sharding, suffix_lm, toxicity
 from assetboard.llm import token_counts as tc
 from assetboard.llm.common import table
 
@@ -48,6 +48,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(sized, schedule).drop("row")
 
 
+@query
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tc.token_counts(table(spark, sf_dir, "documents"))

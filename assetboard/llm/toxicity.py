@@ -94,7 +94,7 @@ def window_ids(places: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.nd
     steps = np.arange(WINDOW)
     at = np.minimum(first[:, None] + steps, max(len(places) - 1, 0))
     numbers = places[at] + 1 if len(places) else np.zeros(at.shape, np.int64)
-    return np.where(steps < size[:, None], numbers, 0)
+    return np.where(steps < size[:, None], numbers, 0).astype(np.int32)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -126,7 +126,9 @@ class Network:
         some = per_word > 0
         if some.any():
             sums[some] = np.add.reduceat(self.p["grams"][buckets], starts[some], axis=0)
-        return self.p["words"][own] + sums / np.maximum(per_word, 1)[:, None], own, buckets, per_word
+        sums /= np.maximum(per_word, 1)[:, None].astype(np.float32)
+        sums += self.p["words"][own]
+        return sums, own, buckets, per_word
 
     def inputs(self, vectors: np.ndarray) -> np.ndarray:
         """What each word adds to the gates, by direction; number 0 is no word and leaves the state alone."""
@@ -232,6 +234,26 @@ class Trainer:
             self.move(name, np.add.reduceat(d[order], first, axis=0), some)
 
 
+def gram_log_odds(places: np.ndarray, per_row: np.ndarray, buckets: np.ndarray, per_word: np.ndarray,
+                  labels: np.ndarray, most_words: int = 50_000) -> np.ndarray:
+    """Smoothed log odds of n-gram buckets by the documents that hold them, some documents at a time."""
+    toxic, all_of = np.zeros(GRAM_BUCKETS), np.zeros(GRAM_BUCKETS)
+    starts, stops = np.cumsum(per_word) - per_word, np.cumsum(per_row)
+    run = stops // most_words
+    for low, high in zip(*(lambda c: ([0, *c], [*c, len(per_row)]))((np.flatnonzero(np.diff(run)) + 1).tolist())):
+        words = places[stops[low] - per_row[low]: stops[high - 1]] if high > low else places[:0]
+        rows = np.repeat(np.arange(low, high), per_row[low:high])
+        pairs = np.unique(rows * len(per_word) + words)
+        rows, words = pairs // len(per_word), pairs % len(per_word)
+        repeat = per_word[words]
+        at = np.repeat(starts[words] - (np.cumsum(repeat) - repeat), repeat) + np.arange(repeat.sum())
+        pairs = np.unique(np.repeat(rows, repeat) * GRAM_BUCKETS + buckets[at])
+        toxic += np.bincount(pairs % GRAM_BUCKETS, labels[pairs // GRAM_BUCKETS], GRAM_BUCKETS)
+        all_of += np.bincount(pairs % GRAM_BUCKETS, minlength=GRAM_BUCKETS)
+    n1, n0 = max(labels.sum(), 1), max(len(labels) - labels.sum(), 1)
+    return np.log((toxic + 0.5) / (n1 + 1)) - np.log((all_of - toxic + 0.5) / (n0 + 1))
+
+
 def log_odds(rows: np.ndarray, keys: np.ndarray, size: int, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Smoothed log odds of each key by the documents that hold it, and its number of documents."""
     pairs = np.unique(rows.astype(np.int64) * size + keys)
@@ -260,21 +282,20 @@ def fit(texts: list[str | None], labels: list[int], width: int = 12, hidden: int
     word_table[0] = 0
     buckets, per_word = gram_buckets(plains)
     gram_table = rng.standard_normal((GRAM_BUCKETS, width)) * 0.05
-    starts = np.cumsum(per_word) - per_word
-    repeat = per_word[places]
-    at = np.repeat(starts[places] - (np.cumsum(repeat) - repeat), repeat) + np.arange(repeat.sum())
-    gram_odds, _ = log_odds(np.repeat(row_of, repeat), buckets[at], GRAM_BUCKETS, labels)
+    gram_odds = gram_log_odds(places, per_row, buckets, per_word, labels)
     gram_table[:, 0] += np.clip(gram_odds, -1, 5) / 2
     net = Network(vocabulary, word_table, gram_table, hidden, seed)
     trainer = Trainer(net, rate)
 
     first, size, row = window_places(per_row)
-    ids = window_ids(places, first, size)
+    ids = np.concatenate([window_ids(places, first[i: i + 8192], size[i: i + 8192])
+                          for i in range(0, len(first), 8192)])
     begins = np.searchsorted(row, np.arange(len(texts)))
     vectors = net.vectors(words)[0]
     # Before the first round the highest window is the one with the word of the highest first component.
     strength = np.concatenate([[-9.0], vectors[:, 0]])
-    highest = strength[ids].max(axis=1)
+    highest = np.concatenate([strength[ids[i: i + 8192]].max(axis=1) for i in range(0, len(ids), 8192)])
+    del buckets, per_word, vectors, plains
     for _ in range(rounds):
         best = np.array([b + int(np.argmax(highest[b:e])) for b, e in zip(begins, [*begins[1:], len(row)])])
         clean = np.flatnonzero(labels == 0)
