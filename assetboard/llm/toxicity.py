@@ -28,7 +28,7 @@ from assetboard.llm.common import bounds_at, is_gap, slices, utf8_buffer
 WINDOW, STRIDE = 32, 16
 GRAMS = (3, 4, 5)
 GRAM_BUCKETS = 1 << 16
-SAMPLE_DOCS = 1500
+SAMPLE_DOCS = 800
 SLICE_BYTES = 1_000_000
 CACHE_WORDS = 200_000
 THRESHOLD = 0.7
@@ -74,7 +74,7 @@ def gram_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             code = (code ^ raw[at + k]) * np.uint32(16777619)
         bucket.append(((code ^ (code >> np.uint32(15))) & np.uint32(GRAM_BUCKETS - 1)).astype(np.int64))
         place.append(at)
-    place, bucket = np.concatenate(place), np.concatenate(bucket)
+    place, bucket = np.concatenate(place), np.concatenate(bucket).astype(np.int64)
     word = np.searchsorted(stops, place, side="right")
     order = np.argsort(word, kind="stable")
     return bucket[order], np.bincount(word, minlength=len(words))
@@ -130,6 +130,10 @@ class Network:
         sums += self.p["words"][own]
         return sums, own, buckets, per_word
 
+    def all_vectors(self, words: list[bytes], some: int = 20_000) -> np.ndarray:
+        """Vectors of many words, some at a time."""
+        return np.concatenate([self.vectors(words[i: i + some])[0] for i in range(0, max(len(words), 1), some)])
+
     def inputs(self, vectors: np.ndarray) -> np.ndarray:
         """What each word adds to the gates, by direction; number 0 is no word and leaves the state alone."""
         h = self.hidden
@@ -291,7 +295,7 @@ def fit(texts: list[str | None], labels: list[int], width: int = 12, hidden: int
     ids = np.concatenate([window_ids(places, first[i: i + 8192], size[i: i + 8192])
                           for i in range(0, len(first), 8192)])
     begins = np.searchsorted(row, np.arange(len(texts)))
-    vectors = net.vectors(words)[0]
+    vectors = net.all_vectors(words)
     # Before the first round the highest window is the one with the word of the highest first component.
     strength = np.concatenate([[-9.0], vectors[:, 0]])
     highest = np.concatenate([strength[ids[i: i + 8192]].max(axis=1) for i in range(0, len(ids), 8192)])
@@ -305,7 +309,7 @@ def fit(texts: list[str | None], labels: list[int], width: int = 12, hidden: int
         for at in range(0, len(picked), batch):
             some = picked[at: at + batch]
             trainer.train(words, ids[some], labels[row[some]])
-        table = net.inputs(net.vectors(words)[0])
+        table = net.inputs(net.all_vectors(words))
         highest = np.concatenate([net.forward(table, ids[i: i + 4096]) for i in range(0, len(ids), 4096)])
     net.curve = logistic_curve(np.maximum.reduceat(highest, begins), labels)
     return net
