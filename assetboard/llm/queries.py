@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetboard.llm import mixing, near_dedup, packing, sharding, suffix_lm, toxicity
+from assetboard.llm import (cap_links, line_dedup, mixing, near_dedup, packing, sharding, suffix_lm, toxicity,
+                            vector_search)
 from assetboard.llm import token_counts as tc
 from assetboard.llm.common import table
 
@@ -25,6 +26,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op2_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_lm.score_documents(table(spark, sf_dir, "documents"))
@@ -37,6 +43,16 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.lit(None).cast("int").alias("grown_shard"), "n_tokens")
 
 
+@query
+def op5_cap_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_links.cap_links(table(spark, sf_dir, "embeddings"), 0.98)
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
