@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bits of a Bloom filter, whatever the input; it is the most that a filter can broadcast (2 MB).
+BLOOM_BITS = 1 << 24
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -93,3 +96,26 @@ def sums_per_row(values: np.ndarray, per_row: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(values)])
     ends = np.cumsum(per_row)
     return total[ends] - total[ends - per_row]
+
+
+def bloom(values: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray:
+    """A filter of fixed size: bits set for every value. When it fills up it passes more, never less."""
+    at = F.pmod(F.xxhash64(column), F.lit(bits))
+    words = values.select(F.floor(at / 32).cast("int").alias("word"), F.expr(
+        f"shiftleft(1L, cast(pmod(xxhash64({column}), {bits}) % 32 as int))").alias("bit")).groupBy("word").agg(
+        F.bit_or("bit").alias("bit")).toPandas()
+    out = np.zeros(bits // 32, np.uint32)
+    out[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def maybe_in(rows: DataFrame, column: str, words: np.ndarray) -> Column:
+    """Whether a row's value may be in a filter."""
+    shared, bits = rows.sparkSession.sparkContext.broadcast(words), 32 * len(words)
+
+    @F.pandas_udf("boolean")
+    def member(position: pd.Series) -> pd.Series:
+        p = position.to_numpy(np.int64)
+        return pd.Series((shared.value[p >> 5] >> (p & 31).astype(np.uint32)) & np.uint32(1) == 1)
+
+    return member(F.pmod(F.xxhash64(column), F.lit(bits)))

@@ -20,17 +20,15 @@ count as one document. Null ids come first in order. All columns are returned.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetboard.llm.common import is_gap, slices, utf8_buffer
+from assetboard.llm.common import bloom, is_gap, maybe_in, slices, utf8_buffer
 from assetboard.llm.suffix_lm import word_hashes
 from assetboard.session import land
 
 LINE_WORDS, WINDOW, LEAST_WORDS = 24, 27, 50
-BLOOM_BITS = 1 << 24
 SLICE_BYTES = 2_000_000
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -108,29 +106,6 @@ def marked(docs: DataFrame, line_words: int, window: int) -> DataFrame:
     return docs.select("id", "key", "text").mapInArrow(run, f"hash long, id {kind}, key long, place int")
 
 
-def bloom(values: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray:
-    """A filter of fixed size: bits set for every value. When it fills up it passes more, never less."""
-    at = F.pmod(F.xxhash64(column), F.lit(bits))
-    words = values.select(F.floor(at / 32).cast("int").alias("word"), F.expr(
-        f"shiftleft(1L, cast(pmod(xxhash64({column}), {bits}) % 32 as int))").alias("bit")).groupBy("word").agg(
-        F.bit_or("bit").alias("bit")).toPandas()
-    out = np.zeros(bits // 32, np.uint32)
-    out[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64).astype(np.uint32)
-    return out
-
-
-def maybe_in(rows: DataFrame, column: str, words: np.ndarray) -> Column:
-    """Whether a row's value may be in a filter."""
-    shared, bits = rows.sparkSession.sparkContext.broadcast(words), 32 * len(words)
-
-    @F.pandas_udf("boolean")
-    def member(position: pd.Series) -> pd.Series:
-        p = position.to_numpy(np.int64)
-        return pd.Series((shared.value[p >> 5] >> (p & 31).astype(np.uint32)) & np.uint32(1) == 1)
-
-    return member(F.pmod(F.xxhash64(column), F.lit(bits)))
-
-
 def extend(own: np.ndarray, start: int, stop: int, left: np.ndarray, right: np.ndarray) -> tuple[int, int]:
     """The run [start, stop) of a text, made longer while words equal those around the first occurrence."""
     for word in left:
@@ -168,10 +143,10 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def dedup_lines(docs: DataFrame, line_words: int = LINE_WORDS, window: int = WINDOW, least_words: int = LEAST_WORDS,
-                id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+                id_column: str = "doc_id", text_column: str = "text", report: bool = True) -> DataFrame:
     """All columns of the rows that keep words or had none, with the text cut, then ``spans`` and ``n_removed``.
 
-    ``spans`` lists (start, length) in words of the original text.
+    ``spans`` lists (start, length) in words of the original text. Without ``report`` the two are left out.
     """
     keyed = docs.withColumn("_key", F.xxhash64(id_column, text_column))
     plain = keyed.select(F.col(id_column).alias("id"), F.col("_key").alias("key"), F.col(text_column).alias("text"))
@@ -208,12 +183,12 @@ def dedup_lines(docs: DataFrame, line_words: int = LINE_WORDS, window: int = WIN
 
     touched = keyed.where(may_run).join(per_text.withColumnRenamed("key", "_key"), "_key", "left")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    extra = "spans array<struct<start:int,length:int>>, n_removed long"
+    extra = ", spans array<struct<start:int,length:int>>, n_removed long" if report else ""
     cut = touched.select(*docs.columns, "_runs").mapInArrow(
-        lambda batches: _cut(batches, text_column, least_words), f"{fields}, {extra}")
-    rest = keyed.where(~may_run).select(*docs.columns, F.expr(
-        "cast(array() as array<struct<start:int,length:int>>)").alias("spans"), F.lit(0).cast("long").alias("n_removed"))
-    return rest.unionByName(cut)
+        lambda batches: _cut(batches, text_column, least_words, report), f"{fields}{extra}")
+    none = [F.expr("cast(array() as array<struct<start:int,length:int>>)").alias("spans"),
+            F.lit(0).cast("long").alias("n_removed")]
+    return keyed.where(~may_run).select(*docs.columns, *(none if report else [])).union(cut)
 
 
 def _around(batches, most: int):
@@ -232,7 +207,7 @@ def _around(batches, most: int):
                                          names=["from_key", "from_start", "from_stop", "left", "right"])
 
 
-def _cut(batches, text_column: str, least_words: int):
+def _cut(batches, text_column: str, least_words: int, report: bool):
     """Rows with their repeated words deleted; the last column holds the runs."""
     kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
     for batch, first, texts in texts_of(batches, text_column):
@@ -252,6 +227,6 @@ def _cut(batches, text_column: str, least_words: int):
         columns = [batch.column(k).slice(first, n) for k in range(batch.num_columns - 1)]
         columns[batch.schema.get_field_index(text_column)] = pa.array(out, column.type)
         made = pa.RecordBatch.from_arrays(
-            [*columns, pa.array(spans, kind), pa.array(removed, pa.int64())],
-            names=[*batch.schema.names[:-1], "spans", "n_removed"])
+            [*columns, *([pa.array(spans, kind), pa.array(removed, pa.int64())] if report else [])],
+            names=[*batch.schema.names[:-1], *(["spans", "n_removed"] if report else [])])
         yield made.filter(pa.array(keep))

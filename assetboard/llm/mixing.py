@@ -86,7 +86,8 @@ def mix(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, most_repeats: int = 3
     """
     spark = docs.sparkSession
     rows = land(docs.select(
-        F.col(id_column).alias("id"), F.col(source_column).alias("source"),
+        F.col(id_column).alias("id"), F.xxhash64(id_column, text_column).alias("key"),
+        F.col(source_column).alias("source"),
         F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     ), "mix-rows")
     totals = rows.agg(F.count("*").alias("n"), F.sum("size").alias("words")).first()
@@ -122,7 +123,7 @@ def mix(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, most_repeats: int = 3
     schedule = slots.join(pieces, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block")))
     sized = laid.join(sources.select(F.col("source").alias("_source"), "source_size", "target"),
                       F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    return sized.select("row", F.col("id").alias(id_column), "size", "source_size", "target"), schedule.select(
+    return sized.select("row", "key", F.col("id").alias(id_column), "size", "source_size", "target"), schedule.select(
         "slot", "epoch", "row", "word_start", "n_words")
 
 
@@ -130,3 +131,16 @@ def taken_words(sized: DataFrame, schedule: DataFrame) -> DataFrame:
     """Add ``taken``: the words of each row that the schedule takes, repeats counted."""
     taken = schedule.groupBy("row").agg(F.sum("n_words").alias("taken"))
     return sized.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+
+
+def mix_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """All columns of every row, as often as the mix takes its words, to the nearest whole number.
+
+    A row that the mix takes less than half of leaves, as does one without words.
+    """
+    sized, schedule = mix(docs, id_column=id_column, text_column=text_column, **options)
+    copies = taken_words(sized, schedule).where("size > 0").groupBy("key").agg(
+        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_copies")).where("_copies > 0")
+    keyed = docs.withColumn("_key", F.xxhash64(id_column, text_column)).join(
+        copies.withColumnRenamed("key", "_key"), "_key")
+    return keyed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetboard.llm.common import slices
+from assetboard.llm.common import bloom, maybe_in, slices
 from assetboard.llm.components import components
 from assetboard.llm.suffix_lm import word_hashes
 from assetboard.session import land
@@ -79,10 +79,10 @@ def signatures(codes: np.ndarray, sizes: np.ndarray, values: int, seed: int = 11
 
 
 def sketch(docs: DataFrame, width: int, values: int, id_column: str, text_column: str) -> DataFrame:
-    """(id, n_shingles, set_a, set_b, signature) of every row; sets are null where empty."""
+    """(id, key, n_shingles, set_a, set_b, signature) of every row; sets are null where empty."""
     def run(batches):
         for batch in batches:
-            texts = pa.compute.fill_null(batch.column(1), "")
+            texts = pa.compute.fill_null(batch.column(2), "")
             for start, stop in slices(texts, SLICE_BYTES):
                 part = texts.slice(start, stop - start)
                 codes, sizes = shingles(part, width)
@@ -96,13 +96,13 @@ def sketch(docs: DataFrame, width: int, values: int, id_column: str, text_column
                 width_of = np.arange(0, (len(signs) + 1) * values, values, dtype=np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(width_of), pa.array(signs.view(np.int32).ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, stop - start), pa.array(sizes),
+                    [*(batch.column(i).slice(start, stop - start) for i in (0, 1)), pa.array(sizes),
                      *(pa.array(s.view(np.int64)).take(pick) for s in sums), lists.take(pick)],
-                    names=["id", "n_shingles", "set_a", "set_b", "signature"])
+                    names=["id", "key", "n_shingles", "set_a", "set_b", "signature"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, text_column).mapInArrow(
-        run, f"id {kind}, n_shingles long, set_a long, set_b long, signature array<int>")
+    return docs.select(id_column, F.xxhash64(id_column, text_column), text_column).mapInArrow(
+        run, f"id {kind}, key long, n_shingles long, set_a long, set_b long, signature array<int>")
 
 
 def needed_matches(values: int, batch: int, similarity: float, miss: float) -> list[int]:
@@ -136,10 +136,10 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return both.where(100 * shared >= similarity * (F.size("set_of_a") + F.size("set_of_b") - shared)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, bands: int = BANDS,
+def classified(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, bands: int = BANDS,
                     rows: int = ROWS, batch: int = BATCH, miss: float = MISS, id_column: str = "doc_id",
                     text_column: str = "text", block: int = BLOCK) -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row; ``similarity`` is in hundredths."""
+    """(id, key, n_shingles, component_id, kept) of every row; ``key`` hashes id and text."""
     values = bands * rows
     needed = needed_matches(values, batch, similarity / 100, miss)
     sketches = land(sketch(docs, width, values, id_column, text_column), "sketches")
@@ -177,12 +177,35 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, similarity: int = SIMIL
         "component", F.coalesce("component", "class")).select("set_a", "set_b", "n_shingles", "least", "component")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = land(named.join(least, "component").select("set_a", "set_b", "n_shingles", "component_id"), "named")
-    out = sketches.select("id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b", "n_shingles"], "left")
+    out = sketches.select("id", "key", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b", "n_shingles"], "left")
     component = F.when(F.col("set_a").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"),
+    return out.select("id", "key", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("id") == component, F.col("id").isNull() & component.isNull()).alias("kept"))
 
 
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every row; ``similarity`` is in hundredths."""
+    return classified(docs, id_column=id_column, **options).select(
+        F.col("id").alias(id_column), "n_shingles", "component_id", "kept")
+
+
+def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """All columns of one row of each group: the one with the least id. Repeated rows of it leave as well.
+
+    Only rows that a fixed-size Bloom filter can't clear are shuffled.
+    """
+    found = classified(docs, id_column=id_column, text_column=text_column, **options)
+    by_key = found.groupBy("key").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("rows"))
+    odd = land(by_key.where("not kept or rows > 1"), "dropped")
+    keyed = docs.withColumn("_key", F.xxhash64(id_column, text_column))
+    may = maybe_in(keyed, "_key", bloom(odd, "key"))
+    doubtful = keyed.where(may).join(odd.select(F.col("key").alias("_key"), "kept", F.col("rows").alias("_rows"))
+                                     .withColumnRenamed("kept", "_kept"), "_key", "left")
+    once = doubtful.where("_kept is null")
+    again = doubtful.where("_kept").dropDuplicates(["_key"])
+    return keyed.where(~may).select(docs.columns).union(once.select(docs.columns)).union(again.select(docs.columns))
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, id_column: str, text_column: str) -> DataFrame:
     """(class, shingles) from the texts of the ids in ``wanted`` (class, least, set_a)."""
     def run(batches):

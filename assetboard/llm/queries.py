@@ -61,7 +61,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized, schedule = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixing.taken_words(sized, schedule).drop("row")
+    return mixing.taken_words(sized, schedule).drop("row", "key")
 
 
 @query

@@ -18,6 +18,8 @@ gives an empty result. Labels other than 0 and 1 are ignored; of several for an
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -269,9 +271,10 @@ def log_odds(rows: np.ndarray, keys: np.ndarray, size: int, labels: np.ndarray)
 
 
 def fit(texts: list[str | None], labels: list[int], width: int = 12, hidden: int = 8, rounds: int = 8,
-        batch: int = 256, rate: float = 0.01, least_docs: int = 3, seed: int = 5) -> Network:
+        most_batch: int = 200, rate: float = 0.01, least_docs: int = 3, seed: int = 5) -> Network:
     """Train on a sample of documents."""
     labels = np.asarray(labels, np.float64)
+    batch = min(most_batch, max(16, len(texts) // 8))  # a small sample still gets a hundred steps
     words, places, per_row = split_words(pa.array(texts, pa.large_string()))
     rng = np.random.default_rng(seed)
     row_of = np.repeat(np.arange(len(texts)), per_row)
@@ -371,7 +374,7 @@ class Scorer:
         return sigmoid(a * np.maximum.reduceat(logits, begins).astype(np.float64) + b), np.bincount(row)
 
 
-_SCORERS: dict[int, Scorer] = {}
+_SCORERS: dict[str, Scorer] = {}
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int, id_column: str,
@@ -392,43 +395,63 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int, id_col
     return rows["text"].tolist(), rows["toxic"].tolist()
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, threshold: float = THRESHOLD,
-                   id_column: str = "doc_id", text_column: str = "text", keep: tuple[str, ...] = (),
-                   **options) -> DataFrame:
-    """(id, held_out, score, predicted, n_windows) of every row, with the columns in ``keep``."""
-    import uuid
+def worker_scorer(shared, name: str) -> Scorer | None:
+    """The worker's scorer of a broadcast network; tasks of one worker share its cache."""
+    if shared.value is None:
+        return None
+    if name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[name] = Scorer(shared.value)
+    return _SCORERS[name]
 
+
+def fitted(docs: DataFrame, labels: DataFrame, sample_docs: int, id_column: str, text_column: str, **options):
+    """A broadcast of the network trained on the sample (none without both labels), and a name for it."""
     texts, toxic = training_sample(docs, labels, sample_docs, id_column, text_column)
-    net = fit(texts, toxic, **options) if texts else None
-    shared, name = docs.sparkSession.sparkContext.broadcast(net), uuid.uuid4().hex
-    others = [c for c in keep if c not in (id_column, text_column)]
-    chosen = docs.select(id_column, text_column, held_out(id_column).alias("held_out"), *others)
+    net = fit(texts, toxic, **options) if len(set(toxic)) > 1 else None
+    return docs.sparkSession.sparkContext.broadcast(net), uuid.uuid4().hex
+
+
+def scored_slices(scorer: Scorer | None, column: pa.Array):
+    """(start, stop, scores, windows) of runs of rows."""
+    texts = pa.compute.fill_null(column, "")
+    for start, stop in slices(texts, SLICE_BYTES):
+        if scorer is None:
+            yield start, stop, np.zeros(stop - start), np.ones(stop - start, np.int64)
+        else:
+            yield start, stop, *scorer.scores(texts.slice(start, stop - start))
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, threshold: float = THRESHOLD,
+                   id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """(id, held_out, score, predicted, n_windows) of every row."""
+    shared, name = fitted(docs, labels, sample_docs, id_column, text_column, **options)
 
     def run(batches):
-        scorer = None
-        if shared.value is not None:
-            if name not in _SCORERS:
-                _SCORERS.clear()
-                _SCORERS[name] = Scorer(shared.value)
-            scorer = _SCORERS[name]
+        scorer = worker_scorer(shared, name)
         for batch in batches:
-            texts = pa.compute.fill_null(batch.column(1), "")
-            for start, stop in slices(texts, SLICE_BYTES):
-                size = stop - start
-                if scorer is None:
-                    score, windows = np.zeros(size), np.ones(size, np.int64)
-                else:
-                    score, windows = scorer.scores(texts.slice(start, size))
-                kept = [batch.column(i).slice(start, size) for i in (0, 2)]
-                extra = [batch.column(i if c != text_column else 1).slice(start, size)
-                         for i, c in [*enumerate(others, 3)] + [(1, text_column)] * (text_column in keep)]
+            for start, stop, score, windows in scored_slices(scorer, batch.column(1)):
+                kept = [batch.column(i).slice(start, stop - start) for i in (0, 2)]
                 yield pa.RecordBatch.from_arrays(
                     [*kept, pa.array(score), pa.array((score >= threshold).astype(np.int32)),
-                     pa.array(windows.astype(np.int64)), *extra],
-                    names=[id_column, "held_out", "score", "predicted", "n_windows",
-                           *others, *[text_column] * (text_column in keep)])
-
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    extra = "".join(f", `{c}` {kinds[c]}" for c in [*others, *[text_column] * (text_column in keep)])
-    return chosen.mapInArrow(run, f"`{id_column}` {kinds[id_column]}, held_out boolean, score double, predicted int, "
-                                  f"n_windows long{extra}")
+                     pa.array(windows.astype(np.int64))],
+                    names=[id_column, "held_out", "score", "predicted", "n_windows"])
+
+    kind = docs.schema[id_column].dataType.simpleString()
+    return docs.select(id_column, text_column, held_out(id_column).alias("held_out")).mapInArrow(
+        run, f"`{id_column}` {kind}, held_out boolean, score double, predicted int, n_windows long")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, threshold: float = THRESHOLD,
+               id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """All columns of the rows whose score is below the threshold."""
+    shared, name = fitted(docs, labels, sample_docs, id_column, text_column, **options)
+
+    def run(batches):
+        scorer = worker_scorer(shared, name)
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(text_column))
+            for start, stop, score, _ in scored_slices(scorer, column):
+                yield batch.slice(start, stop - start).filter(pa.array(score < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
