@@ -21,7 +21,6 @@ PLAYER_ID_FORMAT = r"^\d{2}-\d{7}$"
 PICK_SLOT_FORMAT = r"^(\d{4}) Pick \d+\.\d+$"
 PICK_ROUND_FORMAT = r"^(\d{4}) (\d)(?:st|nd|rd|th)(?: \((Early|Mid|Late)\))?$"
 PICK_TIER_FIRST_FORMAT = r"^(\d{4}) (Early|Mid|Late) (\d)(?:st|nd|rd|th)$"
-ROUND_WORDS = {1: "1st", 2: "2nd", 3: "3rd", 4: "4th"}
 
 
 def normalize_name(name: Column) -> Column:
@@ -44,15 +43,15 @@ def normalize_name(name: Column) -> Column:
 
 
 def lenient_number(text: Column, kind: str = "double") -> Column:
-    """Number or null, never an error; NaN counts as missing."""
+    """Number or null, never an error; NaN counts as missing. Whole numbers keep all their digits."""
     number = text.try_cast("double")
     number = F.when(~F.isnan(number), number)
-    return number if kind == "double" else number.try_cast(kind)
+    return number if kind == "double" else F.coalesce(text.try_cast(kind), number.try_cast(kind))
 
 
 def normalize_id(raw: Column) -> Column:
     """'9221.0' and '9221' become the same id; anything that is not a number is kept."""
-    whole = raw.try_cast("double").try_cast("bigint").cast("string")
+    whole = F.coalesce(raw.try_cast("bigint"), raw.try_cast("double").try_cast("bigint")).cast("string")
     return F.coalesce(whole, raw)
 
 

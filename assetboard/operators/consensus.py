@@ -37,17 +37,17 @@ def blend_consensus(a: DataFrame, b: DataFrame, boards: Sequence[str], b_boards:
     blended = joined.withColumn(
         "blended", F.lit(weight) * F.coalesce("pct_b", "pct_a") + F.lit(1 - weight) * F.col("pct_a")
     ).withColumn("_pos", clip(F.col("blended")) * (F.col("_total") - 1))
-    scale = lambda side: pool.select(
-        *[F.col(k).alias(f"_{side}_{k}") for k in boards], F.col("_at").alias(f"_{side}_at"),
-        F.col(value_a).alias(f"_{side}"),
-    )
-    placed = blended.withColumn("_lo_pos", F.floor("_pos")).withColumn("_hi_pos", F.ceil("_pos"))
-    for side in ("lo", "hi"):
-        on = {**{k: f"_{side}_{k}" for k in boards}, f"_{side}_pos": f"_{side}_at"}
-        placed = lookup_join(placed, scale(side), on)
+    # One row per position with its value and the next one, so that a single join reads the curve.
+    point = lambda place, lo, hi: F.struct(place.alias("_p"), lo.alias("_lo"), hi.alias("_hi"))
+    value, none = F.col(value_a), F.lit(None).cast(pool.schema[value_a].dataType)
+    curve = pool.select(*boards, F.inline(F.array(
+        point(F.col("_at"), value, none), point(F.col("_at") - 1, none, value)))).groupBy(*boards, "_p").agg(
+        F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    curve = curve.select(*[F.col(k).alias(f"_c_{k}") for k in boards], F.col("_p"), F.col("_lo"), F.coalesce("_hi", "_lo").alias("_hi"))
+    placed = lookup_join(blended.withColumn("_lo_pos", F.floor("_pos")), curve, {**{k: f"_c_{k}" for k in boards}, "_lo_pos": "_p"})
     return placed.withColumn(
         "consensus_value", lerp(F.col("_lo"), F.col("_hi"), F.col("_pos") - F.col("_lo_pos"))
-    ).drop("_at", "_first", "_ties", "_total", "_pos", "_lo_pos", "_hi_pos", "_lo", "_hi")
+    ).drop("_at", "_first", "_ties", "_total", "_pos", "_lo_pos", "_lo", "_hi")
 
 
 def rank_power_weights(df: DataFrame, boards: Sequence[str], value: str, power: int = SAMPLE_WEIGHT_POWER,

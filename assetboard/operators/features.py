@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assetboard.functions.numeric import age_in, dominator, safe_ratio
+from assetboard.session import land
 from assetboard.operators.joins import keep_matching, lookup_join, safe_left_join
 from assetboard.operators.ordering import keep_one
 
@@ -70,10 +71,10 @@ def season_to_date(weeks: DataFrame, asset: str, week: str, through_week: int,
 
 def career(panel: DataFrame, asset: str, season: str, points: str, games: str = "games",
            per_game: str = "career_ppg_ppr") -> DataFrame:
-    """Games, distinct seasons and pooled points per game over all seasons."""
+    """Games, seasons and pooled points per game; the panel has one row per asset and season."""
     return panel.groupBy(asset).agg(
         F.sum(games).alias("career_games"),
-        F.countDistinct(season).alias("seasons_played"),
+        F.count(season).alias("seasons_played"),
         safe_ratio(F.sum(points), F.sum(games)).alias(per_game),
     )
 
@@ -142,7 +143,8 @@ def aging_curves(aged: DataFrame, group: str, y: str, age: str = "age", games: s
 
 def age_features(df: DataFrame, peaks: DataFrame, group: str, age: str, squared: str, distance: str) -> DataFrame:
     """Age squared and distance to the group's peak age."""
-    known = peaks.select(F.col(group).alias("_p_group"), F.col("peak_age").alias("_p_age"))
+    # One row per group: once written, the planner sees its size and need not shuffle the rows on a few values.
+    known = land(peaks.select(F.col(group).alias("_p_group"), F.col("peak_age").alias("_p_age")), "peaks")
     joined = lookup_join(df, known, {group: "_p_group"})
     return joined.withColumn(squared, F.col(age) * F.col(age)).withColumn(
         distance, F.abs(F.col(age) - F.col("_p_age"))
@@ -167,7 +169,7 @@ def player_snapshot(panel: DataFrame, draft: DataFrame, peaks: DataFrame, asset:
     veterans = lookup_join(latest.join(totals, asset), born, {asset: "_d_asset"})
     rookies = (
         draft.where(F.col("draft_year") == valuation_season)
-        .join(panel.select(asset), asset, "left_anti")
+        .join(totals.select(asset), asset, "left_anti")
         .select(asset, position, "draft_year", "age_at_draft")
     )
     rows = veterans.unionByName(rookies, allowMissingColumns=True).withColumn(

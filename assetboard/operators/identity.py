@@ -49,7 +49,10 @@ def resolve(source: DataFrame, table: DataFrame, paths: Sequence[Path], ids: Seq
     for i, path in enumerate(paths):
         view = key_view(table, path.target, ids, order)
         view = view.select(F.col(path.target).alias(f"_key{i}"), *[F.col(c).alias(f"_{c}_{i}") for c in ids])
-        found = lookup_join(found, view, {path.source: f"_key{i}"})
+        # An empty name is no name: as a null key it is spread over salts and matches nothing.
+        texts = found.schema[path.source].dataType.simpleString() == "string"
+        sought = F.nullif(F.col(path.source), F.lit("")) if texts else F.col(path.source)
+        found = lookup_join(found.withColumn(f"_sought{i}", sought), view, {f"_sought{i}": f"_key{i}"})
     tier = F.lit(NO_MATCH)
     for i in reversed(range(len(paths))):
         tier = F.when(F.col(f"_{anchor}_{i}").isNotNull(), F.lit(paths[i].tier)).otherwise(tier)

@@ -57,12 +57,13 @@ def safe_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
 
 
 def keep_matching(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
-    return df.join(ids.select(on), on, "left_semi")
+    return df.join(ids.select(on).distinct(), on, "left_semi")
 
 
 def keep_unmatched(df: DataFrame, ids: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows without a partner, null keys included."""
+    keys = ids.select(*[F.col(r).alias(f"_k_{r}") for r in on.values()]).distinct()
     condition = F.lit(True)
     for l, r in on.items():
-        condition = condition & (df[l] == ids[r])
-    return df.join(ids, condition, "left_anti")
+        condition = condition & (df[l] == keys[f"_k_{r}"])
+    return df.join(keys, condition, "left_anti")

@@ -88,17 +88,17 @@ def scale(df: DataFrame, deviations: Mapping[str, float]) -> DataFrame:
 
 
 def encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], drop_first: bool = False,
-            out: str = "features") -> PipelineModel:
-    """Numeric columns scaled to unit variance next to one-hot categories.
+            out: str = "features", scaled: bool = True) -> PipelineModel:
+    """Numeric columns, scaled to unit variance unless told otherwise, next to one-hot categories.
 
     Unknown categories become all zeros; ``drop_first`` leaves out the alphabetically first category
     instead and knows no unknowns.
     """
-    deviations = fit_scaler(train, numeric) if numeric else {}
+    deviations = fit_scaler(train, numeric) if numeric and scaled else {c: 1.0 for c in numeric}
     stages: list = []
     if numeric:
-        scaled = ", ".join(f"double(`{c}`) / {deviations[c]!r}D AS `s_{c}`" for c in numeric)
-        stages.append(SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"))
+        parts = ", ".join(f"double(`{c}`) / {deviations[c]!r}D AS `s_{c}`" for c in numeric)
+        stages.append(SQLTransformer(statement=f"SELECT *, {parts} FROM __THIS__"))
     if categorical:
         order = "alphabetDesc" if drop_first else "alphabetAsc"
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=[f"i_{c}" for c in categorical],
@@ -121,13 +121,16 @@ def feature_names(encoded: DataFrame, column: str = "features") -> list[str]:
 
 def fit_logistic(train: DataFrame, label: str, weight: str | None = None, c: float | None = 1.0, features: str = "features",
                  max_iter: int = 100):
-    """L2 logistic regression with inverse strength ``c`` on the summed loss; ``c=None`` is unpenalised."""
+    """L2 logistic regression with inverse strength ``c`` on the summed loss; ``c=None`` is unpenalised.
+
+    Without a penalty the solver may scale inside, which changes no coefficient but its convergence.
+    """
     penalty = 0.0
     if c is not None:
         total = train.agg(F.sum(weight) if weight else F.count("*")).first()[0]
         penalty = 1.0 / (c * float(total))
     model = LogisticRegression(featuresCol=features, labelCol=label, regParam=penalty, elasticNetParam=0.0,
-                               standardization=False, maxIter=max_iter)
+                               standardization=c is None, maxIter=max_iter)
     return (model.setWeightCol(weight) if weight else model).fit(train)
 
 
@@ -135,9 +138,10 @@ def positive_probability(scored: DataFrame, out: str = "score") -> DataFrame:
     return scored.withColumn(out, F.get(vector_to_array("probability"), F.lit(1)))
 
 
-def weights_table(model, names: Sequence[str], spark) -> DataFrame:
-    """Coefficient per feature with the intercept, largest absolute weight first."""
+def weights_table(model, names: Sequence[str], spark, keep: Sequence[str] | None = None) -> DataFrame:
+    """Coefficient per feature with the intercept, largest absolute weight first; ``keep`` names the features shown."""
     rows = [*zip(names, (float(v) for v in model.coefficients)), ("__INTERCEPT__", float(model.intercept))]
+    rows = [r for r in rows if keep is None or r[0] in keep or r[0] == "__INTERCEPT__"]
     return spark.createDataFrame(rows, "processed_input string, weight double").orderBy(F.desc(F.abs("weight")), "processed_input")
 
 
@@ -212,24 +216,26 @@ def _sql_text(value: str) -> str:
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """Sizes of the tree fits. Full settings are large; the defaults suit one pass over many boards."""
+    """Sizes of the tree fits. The defaults are full fits; smaller ones must be asked for."""
 
-    iterations: int = 20
-    depth: int = 4
+    iterations: int = 100
+    depth: int = 5
     step: float = 0.1
-    trees: int = 30
+    trees: int = 300
+    #: Depth of the comparison forest, which is grown as far as Spark allows unless told otherwise.
+    forest_depth: int = 30
     min_leaf: int = MIN_LEAF
     max_bins: int = 64
     seed: int = SEED
 
 
-FULL_SETTINGS = TreeSettings(iterations=100, depth=5, trees=300)
+#: Partitions of a training frame, whatever the session's shuffle setting: bagging follows the partitioning.
+FIT_PARTITIONS = 8
 
 
-def ordered_for_fit(df: DataFrame, ids: Sequence[str], partitions: int | None = None) -> DataFrame:
+def ordered_for_fit(df: DataFrame, ids: Sequence[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
     """Fixed partitioning and row order, since tree sampling depends on both."""
-    spread = df.repartition(partitions, *ids) if partitions else df.repartition(*ids)
-    return spread.sortWithinPartitions(*ids)
+    return df.repartition(partitions, *ids).sortWithinPartitions(*ids)
 
 
 def fit_boosted(train: DataFrame, log_target: str, weight: str | None, numeric, categorical, settings: TreeSettings) -> PipelineModel:
@@ -246,7 +252,7 @@ def fit_boosted(train: DataFrame, log_target: str, weight: str | None, numeric,
 def fit_forest(train: DataFrame, log_target: str, weight: str | None, numeric, categorical, settings: TreeSettings) -> PipelineModel:
     """The comparison baseline: imputed inputs, all features at every split."""
     prepared = baseline_features(train, numeric, categorical)
-    learner = RandomForestRegressor(labelCol=log_target, numTrees=settings.trees, maxDepth=settings.depth, maxBins=settings.max_bins,
+    learner = RandomForestRegressor(labelCol=log_target, numTrees=settings.trees, maxDepth=settings.forest_depth, maxBins=settings.max_bins,
                                     featureSubsetStrategy="all", seed=settings.seed, predictionCol="log_prediction")
     if weight:
         learner = learner.setWeightCol(weight)
@@ -413,7 +419,8 @@ def out_of_fold(df: DataFrame, ids: Sequence[str], fit: Callable[[DataFrame], Tr
         return rows.withColumn(out, F.lit(None).cast("double")).where(F.lit(False))
 
     def one(i: int) -> DataFrame:
-        model = fit(ordered_for_fit(rows.where(F.col(fold) != i), ids))
+        # Written once: each median, mode, indexer and tree pass would repeat the sort.
+        model = fit(land(ordered_for_fit(rows.where(F.col(fold) != i), ids), "fold"))
         return model.transform(rows.where(F.col(fold) == i)).select(*rows.columns, F.exp(prediction).alias(out))
 
     return stacked(overlapped(one, folds))

@@ -22,13 +22,20 @@ def _ratio0(top: Column, bottom: Column) -> Column:
     return F.coalesce(safe_ratio(top, bottom), F.lit(0.0))
 
 
+def usable_scores(scored: DataFrame, label: str, score: str) -> DataFrame:
+    """The rows that have both a label and a score."""
+    return scored.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+
+
 def threshold_counts(scored: DataFrame, label: str, score: str, thresholds: Sequence[float],
                      keys: Sequence[str] = ()) -> DataFrame:
     """tp, fp, fn, tn at every threshold from one pass over the rows.
 
     Each row is counted once under the number of thresholds it reaches; the counts at a threshold
     are then running sums over that histogram, which has one row more than there are thresholds.
+    Rows without a score or a label count nowhere.
     """
+    scored = usable_scores(scored, label, score)
     grid = sorted(set(float(t) for t in thresholds))
     reached = reduce(lambda a, b: a + b, [(F.col(score) >= F.lit(t)).cast("int") for t in grid])
     counts = scored.groupBy(*keys, reached.alias("_reached")).agg(
@@ -108,41 +115,61 @@ def roc_auc(scored: DataFrame, label: str, score: str, keys: Sequence[str] = ())
     sums are exact decimals.
     """
     keys = list(keys)
+    levels = score_levels(scored, label, score, keys)
+    sums = levels.groupBy(*keys).agg(*_auc_sums())
+    return sums.select(*keys, _auc().alias("roc_auc"))
+
+
+def score_levels(scored: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives at each distinct score, and the negatives below it."""
     levels = value_levels(
-        scored.where(F.col(label).isNotNull()), keys, score,
+        usable_scores(scored, label, score), list(keys), score,
         {"_pos": F.count_if(F.col(label) == 1), "_neg": F.count_if(F.col(label) == 0)},
     )
-    placed = prefix_sums(levels, keys, [F.col(score)], {"_below": "_neg"})
+    return prefix_sums(levels, list(keys), [F.col(score)], {"_below": "_neg"})
+
+
+def _auc_sums() -> list[Column]:
     wide = lambda c: c.cast("decimal(19,0)")
     twice = wide(F.col("_pos")) * wide(F.col("_below") * 2 + F.col("_neg"))
-    sums = placed.groupBy(*keys).agg(
-        F.sum(twice).cast("double").alias("_u2"),
-        F.sum("_pos").cast("double").alias("_p"), F.sum("_neg").cast("double").alias("_n"),
-    )
-    return sums.select(*keys, safe_ratio(F.col("_u2"), F.col("_p") * F.col("_n") * 2).alias("roc_auc"))
+    return [F.sum(twice).cast("double").alias("_u2"), F.sum("_pos").cast("double").alias("_p"),
+            F.sum("_neg").cast("double").alias("_n")]
+
+
+def _auc() -> Column:
+    return safe_ratio(F.col("_u2"), F.col("_p") * F.col("_n") * 2)
 
 
 def log_loss(scored: DataFrame, label: str, score: str, keys: Sequence[str] = (), eps: float = 1e-15) -> DataFrame:
+    """Mean log loss of the rows that have a label and a score, and how many they are."""
     p = F.greatest(F.lit(eps), F.least(F.lit(1 - eps), F.col(score)))
-    return scored.groupBy(*keys).agg(
-        (-F.avg(F.when(F.col(label) == 1, F.ln(p)).otherwise(F.ln(1 - p)))).alias("log_loss")
+    return usable_scores(scored, label, score).groupBy(*keys).agg(
+        (-F.avg(F.when(F.col(label) == 1, F.ln(p)).otherwise(F.ln(1 - p)))).alias("log_loss"),
+        F.count("*").alias("n_rows"),
     )
 
 
-def evaluate(scored: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
-    """One row: rates at the threshold, log loss and ROC AUC."""
-    rates = threshold_sweep(scored, label, score, [threshold])
-    return rates.select(
-        "precision", "recall", "accuracy", "f1_score",
-        log_loss(scored, label, score).scalar().alias("log_loss"),
-        roc_auc(scored, label, score).scalar().alias("roc_auc"),
+def evaluate(scored: DataFrame, label: str, score: str, threshold: float = 0.5, keys: Sequence[str] = (),
+             eps: float = 1e-15) -> DataFrame:
+    """A row per key: rates at the threshold, log loss and ROC AUC, from one pass by distinct score."""
+    keys = list(keys)
+    p = F.greatest(F.lit(eps), F.least(F.lit(1 - eps), F.col(score)))
+    reached = F.col(score) >= threshold
+    counts = {"tp": F.when(reached, F.col("_pos")), "fp": F.when(reached, F.col("_neg")),
+              "fn": F.when(~reached, F.col("_pos")), "tn": F.when(~reached, F.col("_neg"))}
+    sums = score_levels(scored, label, score, keys).groupBy(*keys).agg(
+        *_auc_sums(), *[F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in counts.items()],
+        F.sum(F.col("_pos") * F.ln(p) + F.col("_neg") * F.ln(1 - p)).alias("_log"),
+    )
+    return with_rates(sums).select(
+        *keys, "precision", "recall", "accuracy", "f1_score",
+        safe_ratio(-F.col("_log"), F.col("_p") + F.col("_n")).alias("log_loss"), _auc().alias("roc_auc"),
     )
 
 
 def model_comparison(scored: DataFrame, model: str, label: str, score: str, threshold: float = 0.40) -> DataFrame:
     """AUC and rates at one threshold per model; ``scored`` stacks the models' rows."""
-    rates = threshold_sweep(scored, label, score, [threshold], [model])
-    return rates.join(roc_auc(scored, label, score, [model]), model).select(
+    return evaluate(scored, label, score, threshold, [model]).select(
         model, "roc_auc", "precision", "recall", "f1_score"
     )
 

@@ -121,10 +121,12 @@ def fit_imputer(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
 
 
 def impute(df: DataFrame, fills: Mapping) -> DataFrame:
-    """Replace nulls by the fitted values."""
-    types = dict(df.dtypes)
+    """Replace nulls by the fitted values; whole-number columns filled by a median become double."""
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    types = {c: "double" if kind in whole and isinstance(fills.get(c), float) else kind for c, kind in df.dtypes}
     return df.select(*[
-        F.coalesce(F.col(c), F.lit(fills[c]).cast(types[c])).alias(c) if fills.get(c) is not None else F.col(c)
+        F.coalesce(F.col(c).cast(types[c]), F.lit(fills[c]).cast(types[c])).alias(c)
+        if fills.get(c) is not None else F.col(c)
         for c in df.columns
     ])
 

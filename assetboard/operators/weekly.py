@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from assetboard.functions.numeric import speed_score
 from assetboard.functions.text import normalize_name
-from assetboard.operators import boards, features, identity, picks
+from assetboard.operators import boards, features, identity, picks, quality
 from assetboard.operators.boards import BOARD
 from assetboard.operators.consensus import blend_consensus, rank_power_weights
-from assetboard.operators.learning import BoardFit, TreeSettings, fit_boards, predict_boards
+from assetboard.operators.learning import (FOLDS, BoardFit, TreeSettings, board_is, fit_boards, fit_boosted, fit_forest, out_of_fold,
+                                           predict_boards, stacked)
+from assetboard.operators.metrics import regression_metrics
 from assetboard.operators.ordering import keep_one
+from assetboard.operators.quality import usable_features
 from assetboard.session import land
 from assetboard.sources.sinks import write_boards
 
@@ -56,6 +59,32 @@ class Run:
     picks: DataFrame
     fits: Mapping[tuple, BoardFit]
     board: DataFrame
+    #: Out-of-fold Spearman, MAE and MAE of the top 50 per board and model; null without validation.
+    metrics: DataFrame | None = None
+    #: Every rule checked on the way, with what was observed.
+    report: DataFrame | None = None
+
+
+class Gates:
+    """Rules that a run must meet; a failed one stops the run, or is only reported with ``strict=False``."""
+
+    def __init__(self, strict: bool):
+        self.strict, self.report = strict, None
+
+    def check(self, name: str, df: DataFrame, rules: Sequence) -> None:
+        self.add(name, quality.expectations(df, rules))
+
+    def cover(self, name: str, source: DataFrame, table: DataFrame, source_id: str, table_id: str, order: Sequence) -> None:
+        """At least 95% of each board's 200 most valuable rows are found by their primary id."""
+        found = identity.topn_coverage(source, table, BOARD, source_id, table_id, order)
+        self.add(name, found.agg(F.min("coverage").alias("observed"), F.coalesce(F.bool_and("passed"), F.lit(True)).alias("passed")).select(
+            F.lit("coverage").alias("rule"), F.col("observed").cast("double"), "passed"))
+
+    def add(self, name: str, found: DataFrame) -> None:
+        found = land(found.select(F.concat(F.lit(f"{name}: "), "rule").alias("rule"), "observed", "passed"), "gate")
+        self.report = found if self.report is None else self.report.unionByName(found)
+        if self.strict:
+            quality.require(found)
 
 
 def skilled(df: DataFrame, column: str = "position") -> DataFrame:
@@ -98,12 +127,16 @@ def second_prices(dynasty: DataFrame, redraft: DataFrame, crosswalk: DataFrame)
 
 
 def weekly_run(s: Sources, season: int, settings: TreeSettings = TreeSettings(), formats: Sequence[str] = FORMATS,
-               sizes: Sequence[int] = picks.TEAM_SIZES) -> Run:
+               sizes: Sequence[int] = picks.TEAM_SIZES, strict: bool = True, folds: int = FOLDS) -> Run:
     """Features, consensus targets, one fit per board and the ranked boards.
 
-    Tables that several later steps read are written once.
+    Tables that several later steps read are written once. Coverage, uniqueness and non-null rules are
+    checked on the way; ``strict`` stops the run on the first that fails. With ``folds`` the boosted model
+    and the comparison forest are validated out of fold per board; 0 leaves that out.
     """
+    gates = Gates(strict)
     crosswalk = land(identity.crosswalk(s.crosswalk, ["mfl_id", "espn_id", "ktc_id"], ["gsis_id", "pfr_id", "sleeper_id", "name", "position", "team"]), "crosswalk")
+    gates.check("crosswalk", crosswalk, [quality.NotNull("mfl_id"), quality.NotNull("name"), quality.Unique(("mfl_id",))])
     draft = land(draft_table(s.draft_picks, crosswalk, season), "draft")
     by_pfr = identity.key_view(crosswalk, "pfr_id", ["gsis_id"], [F.asc("mfl_id")])
     shares = features.season_share(skilled(s.snap_counts), by_pfr, "pfr_player_id", "season", "offense_pct", "pfr_id", "gsis_id")
@@ -116,6 +149,8 @@ def weekly_run(s: Sources, season: int, settings: TreeSettings = TreeSettings(),
         "src_name", normalize_name(F.col("name")))
     paths = [identity.Path("src_mfl", "mfl_id", "primary"), identity.Path("src_espn", "espn_id", "secondary"), identity.Path("src_name", "merge_name", "name")]
     priced = land(identity.resolve(source, crosswalk, paths, IDS, "mfl_id", [F.asc("mfl_id")]).where(F.col("mfl_id").isNotNull()), "priced")
+    gates.cover("prices", source, crosswalk, "src_mfl", "mfl_id", [F.desc("value"), F.asc("src_name")])
+    gates.check("prices", priced, [quality.NotNull("value"), quality.Unique((*BOARD, "mfl_id"))])
 
     rookies = draft.where(F.col("draft_year") == season)
     college = features.college_production(s.college_seasons, s.college_teams, rookies, "gsis_id", "team", "year")
@@ -124,9 +159,11 @@ def weekly_run(s: Sources, season: int, settings: TreeSettings = TreeSettings(),
     table = land(features.feature_table(snapshot, draft, combine_table(s.combine, crosswalk), college, "gsis_id"), "features")
 
     second = land(second_prices(s.page_dynasty, s.page_redraft, crosswalk), "second-prices")
+    gates.check("second prices", second, [quality.Unique(("format", "mfl_id"))])
     blended = blend_consensus(priced.select(*BOARD, "mfl_id", "gsis_id", "value"), second, BOARD, ["format"], "mfl_id", "value", "value_b")
     known = blended.where(F.col("gsis_id").isNotNull()).select(*BOARD, "gsis_id", "consensus_value").join(table.select("gsis_id"), "gsis_id")
     targets = land(rank_power_weights(known, BOARD, "consensus_value"), "targets")
+    gates.check("targets", targets, [quality.NotNull("consensus_value"), quality.Unique((*BOARD, "gsis_id"))])
 
     universe = land(picks.pick_universe(
         s.prices.where(F.col("position") == "PICK").select(*BOARD, "name", "value"),
@@ -137,7 +174,26 @@ def weekly_run(s: Sources, season: int, settings: TreeSettings = TreeSettings(),
     scored = predict_boards(table, targets, fits, BOARD, "gsis_id")
     names = identity.key_view(crosswalk, "gsis_id", ["name"], [F.asc("mfl_id")])
     board = land(boards.assemble_board(scored, names, table, universe, "gsis_id"), "board")
-    return Run(crosswalk, table, targets, universe, fits, board)
+    gates.check("board", board, [quality.NotNull("name"), quality.NotNull("model_value"), quality.NotNull("consensus_value"),
+                                 quality.Unique((*BOARD, "asset_id"))])
+    validated = validate(targets.join(table, "gsis_id"), every, settings, folds) if folds else None
+    return Run(crosswalk, table, targets, universe, fits, board, validated, gates.report)
+
+
+def validate(train: DataFrame, every: Sequence[tuple], settings: TreeSettings, folds: int) -> DataFrame:
+    """Out-of-fold metrics of the boosted model and of the comparison forest, per board."""
+    rows = land(train.withColumn("_log_target", F.ln("consensus_value")).repartition(*BOARD), "validation")
+    parts = []
+    for name, learner in (("boosted", fit_boosted), ("forest", fit_forest)):
+        for each in every:
+            mine = rows.where(board_is(BOARD, each))
+            usable = usable_features(mine, [*features.NUMERIC_FEATURES, *features.CATEGORICAL_FEATURES])
+            numeric = [c for c in features.NUMERIC_FEATURES if c in usable]
+            categorical = [c for c in features.CATEGORICAL_FEATURES if c in usable]
+            fit = lambda df, f=learner, n=numeric, c=categorical: f(df, "_log_target", "sample_weight", n, c, settings)
+            scored = out_of_fold(mine, ["gsis_id"], fit, k=folds)
+            parts.append(scored.select(F.lit(name).alias("model"), *BOARD, "gsis_id", "consensus_value", "oof_prediction"))
+    return land(regression_metrics(land(stacked(parts), "oof"), ["model", *BOARD], "consensus_value", "oof_prediction", "gsis_id"), "oof-metrics")
 
 
 def publish(run: Run, path: str, season: int) -> tuple[DataFrame, DataFrame]:

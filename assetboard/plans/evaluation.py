@@ -17,7 +17,7 @@ COUNTS = """select cast(th.threshold as double) as threshold, count(*) filter (w
 AUC = """(select (sum(case when label = 1 then rk end) - p * (p + 1) / 2) / (p * n) from (
     select label, rank() over (order by {score}) + (count(*) over (partition by {score}) - 1) / 2.0 as rk,
            cast(count(*) filter (where label = 1) over () as double) as p, cast(count(*) filter (where label = 0) over () as double) as n
-    from @scored) z group by p, n)"""
+    from @scored where label is not null and {score} is not null) z group by p, n)"""
 
 
 def rounded(df, *keep: str):
@@ -35,7 +35,7 @@ def threshold_sweep(t: Inputs):
 
 @query("confusion_matrix", """
     with g as (select * from (values (0), (1)) a(label) cross join (values (0), (1)) b(prediction))
-    select g.label, g.prediction, count(s.p) as n from g left join @scored s on s.label = g.label and (case when s.p >= 0.5 then 1 else 0 end) = g.prediction
+    select g.label, g.prediction, count(s.p) as n from g left join (select * from @scored where p is not null) s on s.label = g.label and (case when s.p >= 0.5 then 1 else 0 end) = g.prediction
     group by g.label, g.prediction""")
 def confusion_matrix(t: Inputs):
     return metrics.confusion_matrix(t["scored"], "label", "p")
@@ -60,12 +60,12 @@ def roc_auc(t: Inputs):
     return metrics.roc_auc(t["scored"], "label", "p").select(grid_round(F.col("roc_auc"), 9).alias("roc_auc"))
 
 
-LOG_LOSS = "(select -avg(case when label = 1 then ln(greatest(1e-15, least(1 - 1e-15, p))) else ln(1 - greatest(1e-15, least(1 - 1e-15, p))) end) from @scored)"
+LOG_LOSS = "(select -avg(case when label = 1 then ln(greatest(1e-15, least(1 - 1e-15, p))) else ln(1 - greatest(1e-15, least(1 - 1e-15, p))) end) from @scored where label is not null and p is not null)"
 
 
-@query("log_loss", f"select {r(LOG_LOSS)} as log_loss")
+@query("log_loss", f"select {r(LOG_LOSS)} as log_loss, (select count(*) from @scored where label is not null and p is not null) as n_rows")
 def log_loss(t: Inputs):
-    return rounded(metrics.log_loss(t["scored"], "label", "p"))
+    return rounded(metrics.log_loss(t["scored"], "label", "p"), "n_rows")
 
 
 @query("evaluate", f"""

@@ -115,7 +115,7 @@ def eb_blend(t: Inputs):
     with prior as (select asset_id, cast(points as double) / games as prior_ppg from @asset_panel where season = 2000),
     full_ as (select asset_id, sum(points) / cast(count(distinct week) as double) as true_ppg from @asset_week group by asset_id having count(distinct week) >= 4),
     pool as (select p.asset_id, prior_ppg, true_ppg from prior p join full_ f on p.asset_id = f.asset_id),
-    cuts as (select * from (values (2), (16), (30)) c(cut)),
+    cuts as (select * from (values (1), (2), (8), (16)) c(cut)),
     part_ as (select w.asset_id, c.cut, count(distinct week) as g, sum(points) as pts from @asset_week w join cuts c on week <= cut group by w.asset_id, c.cut),
     j as (select cut, prior_ppg, true_ppg, coalesce(g, 0) as g, coalesce(cast(pts as double) / g, prior_ppg) as s,
                  case when coalesce(g, 0) < 3 then 0.0 else g / (g + 5.0) end as w
@@ -125,9 +125,10 @@ def eb_blend(t: Inputs):
            avg(abs(w * s + (1 - w) * prior_ppg - true_ppg)) < avg(abs(prior_ppg - true_ppg)) as improved
     from j group by cut""")
 def blend_backtest(t: Inputs):
+    """Week 1 is the guard row: one game carries no weight."""
     prior = t["asset_panel"].where("season = 2000").select("asset_id", safe_ratio(F.col("points"), F.col("games")).alias("prior_ppg"))
     whole = to_full_season(t)
-    d = refresh.blend_backtest(prior.join(whole, "asset_id"), t["asset_week"], "asset_id", "week", "points", (2, 16, 30))
+    d = refresh.blend_backtest(prior.join(whole, "asset_id"), t["asset_week"], "asset_id", "week", "points", (1, 2, 8, 16))
     return d.select("through_week", "n_assets", *[grid_round(F.col(c)).alias(c) for c in ("mean_games", "mean_weight", "max_weight", "mae_prior", "mae_blended")], "improved")
 
 

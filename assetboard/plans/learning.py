@@ -9,7 +9,7 @@ from assetboard.operators.consensus import rank_power_weights
 from assetboard.plans.panels import feature_frame, to_date_frame
 from assetboard.plans.profiles import labelled_reps
 from assetboard.plans.registry import query
-from assetboard.session import land
+from assetboard.session import land, scratch_path
 from assetboard.sources.stand_ins import Inputs
 
 BOARD = ["format", "team_size"]
@@ -19,7 +19,9 @@ NUMERIC = ["games", "points", "yards", "share_a", "share_b", "career_games", "se
            "current_age_squared", "current_distance_from_peak_age", "round", "pick", "forty_time", "combine_weight", "speed_score",
            "dominator_rating", "breakout_age"]
 CATEGORICAL = ["position"]
-QUICK = learning.TreeSettings(iterations=4, depth=3, trees=8)
+# The registered queries ask for small fits: six boards, or sixty with folds, in chains of Spark jobs on one machine.
+# The library's own defaults, which weekly_run uses, are the full ones.
+QUERY_SETTINGS = learning.TreeSettings(iterations=10, depth=4, trees=20, forest_depth=8)
 DELAY_NUMERIC = ["distance", "fare", "booked_month"]
 DELAY_CATEGORICAL = ["carrier", "cabin"]
 
@@ -111,7 +113,7 @@ def fit_mlp(t: Inputs):
     train, validation = delay_frames(t)
     width = len(learning.feature_names(validation))
     balanced = learning.replicate_by_weight(train, "class_weight", ROW)
-    model, _ = learning.fit_network(balanced, validation, "label", width, rounds=3, iterations=10)
+    model, _ = learning.fit_network(balanced, validation, "label", width)
     return learning.positive_probability(model.transform(validation)).select(*ROW, "label", "score")
 
 
@@ -119,34 +121,58 @@ def fit_mlp(t: Inputs):
 def fit_sales(t: Inputs):
     reps = labelled_reps(t)
     rows = land(learning.stratified_split(quality.drop_listed(reps, ["nps", "feedback"]), "high_performer", ["rep_id"], learning.SALES_SPLIT, seed=13), "reps")
-    model = learning.encoder(rows, ["age", "years"], ["business", "nation"], drop_first=True)
-    encoded = model.transform(rows)
-    train = learning.with_class_weights(encoded.where("split = 'train'"), "high_performer")
-    fitted = learning.fit_logistic(train, "high_performer", "class_weight")
-    scored = learning.positive_probability(fitted.transform(encoded.where("split = 'test'")))
+    train = rows.where("split = 'train'")
+    model = learning.encoder(train, ["age", "years"], ["business", "nation"], scaled=False)
+    weighted = learning.with_class_weights(model.transform(train), "high_performer")
+    fitted = learning.fit_logistic(weighted, "high_performer", "class_weight")
+    scored = learning.positive_probability(fitted.transform(model.transform(rows.where("split = 'test'"))))
     return metrics.threshold_sweep(scored, "high_performer", "score", metrics.SALES_THRESHOLDS)
 
 
+CHURN_NUMERIC = ["tenure_days", "age", "avg_daily_temperature_c", "avg_daily_wind_speed_kph", "avg_daily_relative_humidity", "day_proportion"]
+CHURN_SPLIT = {"train": 0.8, "test": 0.2}
+
+
 def churn_model(t: Inputs):
-    rows = land(marts.member_weather(marts.curated_members(t["members"]), t["weather"]), "churn")
-    numeric = ["tenure_days", "age", "avg_daily_temperature_c", "avg_daily_wind_speed_kph", "avg_daily_relative_humidity", "day_proportion"]
-    rows = quality.impute(rows.select("member_id", "churn_label", *[F.col(c).cast("double").alias(c) for c in numeric], "gender", "membership_type"),
-                          quality.fit_imputer(rows, numeric, ["gender", "membership_type"]))
-    encoded = learning.encoder(rows, numeric, ["gender", "membership_type"]).transform(rows)
-    return learning.fit_logistic(encoded, "churn_label", c=None), encoded
+    """A fit on the training members, and the held-out members scored by it; fill values come from training too."""
+    rows = marts.member_weather(marts.curated_members(t["members"]), t["weather"])
+    rows = rows.select("member_id", "churn_label", *[F.col(c).cast("double").alias(c) for c in CHURN_NUMERIC], "gender", "membership_type")
+    rows = land(learning.stratified_split(rows.where(F.col("churn_label").isNotNull()), "churn_label", ["member_id"], CHURN_SPLIT), "churn")
+    train = rows.where("split = 'train'")
+    fills = quality.fit_imputer(train, CHURN_NUMERIC, ["gender", "membership_type"])
+    train, test = quality.impute(train, fills), quality.impute(rows.where("split = 'test'"), fills)
+    coded = learning.encoder(train, CHURN_NUMERIC, ["gender", "membership_type"], scaled=False)
+    encoded = coded.transform(train)
+    model = learning.fit_logistic(encoded, "churn_label", c=None)
+    return model, learning.feature_names(encoded), land(
+        learning.positive_probability(model.transform(coded.transform(test))).select("member_id", "churn_label", "score"), "churn-scored")
 
 
 @query("feature_weights")
 def feature_weights(t: Inputs):
-    model, encoded = churn_model(t)
-    return learning.weights_table(model, learning.feature_names(encoded), t.spark)
+    """Weights of the numeric features, per unit of the feature."""
+    model, names, _ = churn_model(t)
+    return learning.weights_table(model, names, t.spark, CHURN_NUMERIC)
 
 
 @query("churn_sweep")
 def churn_sweep(t: Inputs):
-    model, encoded = churn_model(t)
-    scored = learning.positive_probability(model.transform(encoded))
-    return metrics.threshold_sweep(scored, "churn_label", "score", metrics.CHURN_THRESHOLDS)
+    """Rates of the held-out members at every threshold, beside their log loss and area under the curve."""
+    _, _, scored = churn_model(t)
+    whole = metrics.evaluate(scored, "churn_label", "score")
+    sweep = metrics.threshold_sweep(scored, "churn_label", "score", metrics.CHURN_THRESHOLDS)
+    return sweep.withColumns({c: whole.select(c).scalar() for c in ("log_loss", "roc_auc")})
+
+
+@query("churn_evaluate")
+def churn_evaluate(t: Inputs):
+    return metrics.evaluate(churn_model(t)[2], "churn_label", "score")
+
+
+@query("fitted_comparison")
+def fitted_comparison(t: Inputs):
+    """The plain and the balanced delay model on the same validation rows, at 0.40."""
+    return metrics.model_comparison(fit_logistic(t), "model", "label", "score", 0.40)
 
 
 # --- board models -------------------------------------------------------------------------------
@@ -184,7 +210,7 @@ def training_rows(t: Inputs):
 def fitted(t: Inputs):
     feats, targets = training(t)
     fits = learning.fit_boards(targets.join(feats, "asset_id"), BOARDS, BOARD, "consensus_value", "sample_weight", NUMERIC, CATEGORICAL,
-                               ["asset_id"], QUICK, parallel=6)
+                               ["asset_id"], QUERY_SETTINGS, parallel=6)
     return feats, targets, fits
 
 
@@ -199,8 +225,8 @@ def fit_board_rf(t: Inputs):
     rows = training_rows(t)
 
     def one(board):
-        mine = learning.ordered_for_fit(rows.where(learning.board_is(BOARD, board)), ["asset_id"])
-        model = learning.fit_forest(mine, "_log_target", "sample_weight", NUMERIC, CATEGORICAL, QUICK)
+        mine = land(learning.ordered_for_fit(rows.where(learning.board_is(BOARD, board)), ["asset_id"]), "board")
+        model = learning.fit_forest(mine, "_log_target", "sample_weight", NUMERIC, CATEGORICAL, QUERY_SETTINGS)
         return model.transform(mine).select(*BOARD, "asset_id", "consensus_value", F.exp("log_prediction").alias("model_value"))
 
     return learning.stacked(learning.overlapped(one, BOARDS, 6))
@@ -209,10 +235,13 @@ def fit_board_rf(t: Inputs):
 @query("fit_quantile")
 def fit_quantile(t: Inputs):
     rows = training_rows(t)
-    rows = rows.withColumn("board", F.concat_ws("_", *BOARD))
-    forest = learning.fit_quantile_forest(learning.ordered_for_fit(rows, [*BOARD, "asset_id"]), "_log_target", "sample_weight", NUMERIC,
-                                          [*CATEGORICAL, "board"], [*BOARD, "asset_id"], QUICK)
-    scored = forest.transform(rows)
+
+    def one(board):
+        mine = land(learning.ordered_for_fit(rows.where(learning.board_is(BOARD, board)), ["asset_id"]), "board")
+        forest = learning.fit_quantile_forest(mine, "_log_target", "sample_weight", NUMERIC, CATEGORICAL, ["asset_id"], QUERY_SETTINGS)
+        return forest.transform(mine).select(*BOARD, "_log_target", "log_quantile", "sample_weight")
+
+    scored = learning.stacked(learning.overlapped(one, BOARDS, 6))
     return scored.groupBy(*BOARD).agg(
         F.count("*").alias("n"),
         (F.sum(F.when(F.col("_log_target") <= F.col("log_quantile"), F.col("sample_weight")).otherwise(0.0)) / F.sum("sample_weight")).alias("weighted_share_below"))
@@ -221,10 +250,10 @@ def fit_quantile(t: Inputs):
 @shared
 def out_of_fold(t: Inputs):
     rows = training_rows(t)
-    fit = lambda train: learning.fit_boosted(train, "_log_target", "sample_weight", NUMERIC, CATEGORICAL, QUICK)
+    fit = lambda train: learning.fit_boosted(train, "_log_target", "sample_weight", NUMERIC, CATEGORICAL, QUERY_SETTINGS)
 
     def one(board):
-        part = learning.out_of_fold(rows.where(learning.board_is(BOARD, board)), ["asset_id"], fit, k=2)
+        part = learning.out_of_fold(rows.where(learning.board_is(BOARD, board)), ["asset_id"], fit, k=learning.FOLDS)
         return part.select(*BOARD, "asset_id", "consensus_value", "fold", "oof_prediction")
 
     return land(learning.stacked(learning.overlapped(one, BOARDS, 4)), "oof")
@@ -256,7 +285,7 @@ def fit_split_groups(t: Inputs):
 
     def one(board):
         part = learning.fit_groups(rows.where(learning.board_is(BOARD, board)), "position", "ECONOMY", "consensus_value", None,
-                                   NUMERIC, CATEGORICAL, ["asset_id"], QUICK)
+                                   NUMERIC, CATEGORICAL, ["asset_id"], QUERY_SETTINGS)
         return part.select(*BOARD, "asset_id", "fit_group", "is_rookie", "model_value", "consensus_value")
 
     return learning.stacked(learning.overlapped(one, BOARDS, 3))
@@ -270,8 +299,9 @@ def pick_prices(t: Inputs):
     return land(picks.pick_universe(t["pick_list_a"], t["pick_list_b"]), "picks")
 
 
-def refreshed(t: Inputs, through_week: int | None):
+def refreshed(t: Inputs, through_week: int | None, loaded: dict | None = None):
     feats, targets, fits = fitted(t)
+    fits = loaded or fits
     names = t["crosswalk"].select(F.col("mfl_id").alias("asset_id"), "name")
     partial = None if through_week is None else to_date_frame(t, through_week).drop("ppg")
     return refresh.recompute_board(feats, partial, fits, targets, names, pick_prices(t), "asset_id", REFRESHED)
@@ -286,8 +316,15 @@ def recompute_board(t: Inputs):
     select format, team_size, count(*) + case when format = 'redraft' then 0 else 27 end as n_assets, 0::bigint as n_moved from @price_a
     where true_id in (select asset_id from @asset_panel) or true_id in (select asset_id from @draft where draft_year = 2002) group by format, team_size""")
 def rescore(t: Inputs):
-    """Scoring unchanged features again moves nothing."""
-    return boards.board_movement(refreshed(t, None), refreshed(t, None), more_than=0.0)
+    """Models read back from storage move nothing on unchanged features, against the board stored at fit time."""
+    feats, targets, fits = fitted(t)
+    stored = land(refreshed(t, None), "stored-board")
+    loaded = {}
+    for board, fit in fits.items():
+        path = scratch_path(t.spark, "fit")
+        learning.save_fit(fit, path, t.spark)
+        loaded[board] = learning.load_fit(path, t.spark)
+    return boards.board_movement(stored, refreshed(t, None, loaded), more_than=0.0)
 
 
 @query("refresh_movement")

@@ -76,11 +76,11 @@ def drop_leakage(t: Inputs):
 
 @query("impute", f"""
     with f as (select * from @flights where {FLOWN}),
-    m as (select cast(quantile_cont(cast(arr_delay_minutes as double), 0.5) as int) as d, cast(quantile_cont(cast(arr_del15 as double), 0.5) as int) as l,
+    m as (select quantile_cont(cast(arr_delay_minutes as double), 0.5) as d, quantile_cont(cast(arr_del15 as double), 0.5) as l,
                  quantile_cont(distance, 0.5) as dist from f),
     c as (select carrier from f where carrier is not null group by carrier order by count(*) desc, carrier limit 1)
-    select l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(arr_delay_minutes, (select d from m)) as arr_delay_minutes,
-           coalesce(arr_del15, (select l from m)) as arr_del15, coalesce(distance, (select dist from m)) as distance, fare,
+    select l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(cast(arr_delay_minutes as double), (select d from m)) as arr_delay_minutes,
+           coalesce(cast(arr_del15 as double), (select l from m)) as arr_del15, coalesce(distance, (select dist from m)) as distance, fare,
            coalesce(carrier, (select carrier from c)) as carrier, cabin from f""")
 def impute(t: Inputs):
     # Written once: fitting reads the rows several times.

@@ -1,7 +1,5 @@
 """Streaming ingest and the daily aggregate kept up to date."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from assetboard.functions.numeric import grid_round
@@ -37,5 +35,5 @@ def stream_ingest(t: Inputs):
            {r('sum(case when is_day then 1 else 0 end) / count(*)')} as day_proportion
     from @weather group by 1""")
 def stream_daily(t: Inputs):
-    d = weather.run_daily(readings(t), f"weather_daily_{uuid.uuid4().hex}", scratch_path(t.spark, "daily-checkpoint"))
+    d = weather.run_daily(readings(t), scratch_path(t.spark, "daily"), scratch_path(t.spark, "daily-checkpoint"))
     return d.select("weather_date", *[grid_round(F.col(c)).alias(c) for c in d.columns if c != "weather_date"])

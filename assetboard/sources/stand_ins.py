@@ -163,9 +163,9 @@ VIEWS = {
         from @lineitem join @orders on l_orderkey = o_orderkey""",
     "scored": """
         select l_orderkey, l_linenumber, l_partkey, l_suppkey, arr_del15 as label, carrier,
-               cast((l_partkey * 7 + l_linenumber * 13 + arr_del15 * 200) % 1000 as double) / 1000 as p,
-               cast((l_partkey * 11 + l_linenumber * 5 + arr_del15 * 90) % 1000 as double) / 1000 as p2
-        from @flights where arr_del15 is not null""",
+               case when l_suppkey % 17 <> 0 then cast((l_partkey * 7 + l_linenumber * 13 + coalesce(arr_del15, 0) * 200) % 1000 as double) / 1000 end as p,
+               case when l_suppkey % 19 <> 0 then cast((l_partkey * 11 + l_linenumber * 5 + coalesce(arr_del15, 0) * 90) % 1000 as double) / 1000 end as p2
+        from @flights""",
     "reps": """
         select c_custkey as rep_id, c_acctbal as nps, feedback, years, age, c_mktsegment as business, n_name as nation
         from (select o_custkey, cast(sum(cast(floor(o_totalprice * 100 + 0.5) as bigint)) as bigint) as feedback,

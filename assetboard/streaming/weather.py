@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 READING = "event_timestamp timestamp_ntz, temperature_c double, wind_speed_kph double, relative_humidity double, is_day boolean"
+DAY = ("weather_date date, avg_daily_temperature_c double, avg_daily_wind_speed_kph double, "
+       "avg_daily_relative_humidity double, day_proportion double")
+FILES_PER_DATE = 4
 
 
 def read_files(spark: SparkSession, folder: str, schema: StructType | str, glob: str = "*.parquet",
@@ -23,8 +26,11 @@ def ingest(readings: DataFrame, table: str, checkpoint: str) -> None:
     The file sink commits whole batches and the checkpoint remembers the files read, so a restart
     or a retried task adds nothing twice.
     """
+    dated = readings.withColumn("event_date", F.to_date("event_timestamp"))
+    # A date is written by at most FILES_PER_DATE tasks of a batch, not by every task that read some of it.
+    spread = F.pmod(F.xxhash64("event_timestamp"), F.lit(FILES_PER_DATE))
     query = (
-        readings.withColumn("event_date", F.to_date("event_timestamp"))
+        dated.repartition("event_date", spread)
         .writeStream.format("parquet").partitionBy("event_date")
         .option("path", table).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
@@ -49,15 +55,25 @@ def daily_averages(readings: DataFrame) -> DataFrame:
     )
 
 
-def run_daily(readings: DataFrame, name: str, checkpoint: str) -> DataFrame:
+def run_daily(readings: DataFrame, table: str, checkpoint: str) -> DataFrame:
     """Run the daily aggregate over all available files and return its current result.
 
-    The complete result is one row per calendar day, small by nature, so it is served from a named
-    in-memory table.
+    Each batch writes the complete result, a row per calendar day, to a folder of its own under ``table``;
+    a retried batch overwrites its folder, and readers take the latest one.
     """
+    done: list[int] = []
+
+    def store(result: DataFrame, batch: int) -> None:
+        result.write.mode("overwrite").parquet(f"{table}/batch={batch}")
+        done.append(batch)
+
+    averages = daily_averages(readings)
     query = (
-        daily_averages(readings).writeStream.format("memory").queryName(name)
-        .option("checkpointLocation", checkpoint).outputMode("complete").trigger(availableNow=True).start()
+        averages.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+        .outputMode("complete").trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return readings.sparkSession.table(name)
+    spark = readings.sparkSession
+    stored = spark.read.schema(f"{DAY}, batch bigint").parquet(table)
+    latest = max(done) if done else stored.agg(F.max("batch")).first()[0]
+    return stored.where(F.col("batch") == latest).drop("batch")

@@ -94,7 +94,7 @@ def test_ingest_restarts_without_duplicates_and_late_days_count(spark, tmp_path)
     weather.ingest(stream(), table, check)
     landed = spark.read.parquet(table)
     assert landed.count() == 150
-    daily = weather.run_daily(stream(), "daily_test", str(tmp_path / "daily"))
+    daily = weather.run_daily(stream(), str(tmp_path / "daily-table"), str(tmp_path / "daily"))
     want = marts.weather_daily(landed)
     assert sorted(map(tuple, daily.collect())) == sorted(map(tuple, want.collect())) and daily.count() == 7
 

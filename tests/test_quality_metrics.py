@@ -27,10 +27,21 @@ def test_impute_median_mode_ties_and_unknown(spark):
     assert quality.impute(df, fills).where("x is null or c is null or e is null").isEmpty()
 
 
-def test_impute_keeps_types(spark):
-    df = spark.createDataFrame([(1,), (None,), (4,)], "n int")
+def test_impute_keeps_the_half_of_a_median(spark):
+    df = spark.createDataFrame([(1,), (None,), (2,)], "n int")
     out = quality.impute(df, quality.fit_imputer(df, ["n"], []))
-    assert out.dtypes == [("n", "int")] and [r[0] for r in out.collect()] == [1, 2, 4]
+    assert out.dtypes == [("n", "double")] and [r[0] for r in out.collect()] == [1, 1.5, 2]
+
+
+def test_null_scores_and_labels_count_nowhere(spark):
+    rows = [(1, 0.9), (0, 0.1), (1, None), (None, 0.5)]
+    df = spark.createDataFrame(rows, "label int, p double")
+    loss = metrics.log_loss(df, "label", "p").first()
+    assert loss["log_loss"] == pytest.approx(0.10536051) and loss["n_rows"] == 2
+    counts = metrics.threshold_counts(df, "label", "p", [0.5]).first()
+    assert (counts["tp"], counts["fp"], counts["fn"], counts["tn"]) == (1, 0, 0, 1)
+    whole = metrics.evaluate(df, "label", "p").first()
+    assert whole["log_loss"] == pytest.approx(0.10536051) and whole["roc_auc"] == 1.0 and whole["accuracy"] == 1.0
 
 
 def test_expectations(spark):

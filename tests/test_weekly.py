@@ -1,6 +1,9 @@
 """The weekly run from source-shaped tables to published boards, and its in-season refresh."""
 
+from dataclasses import replace
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from assetboard.operators import features, learning, refresh, weekly
@@ -44,7 +47,7 @@ def sources(spark):
 
 def test_weekly_run_publish_and_refresh(spark, tmp_path):
     s = sources(spark)
-    run = weekly.weekly_run(s, 2026, learning.TreeSettings(iterations=2, depth=2, trees=3))
+    run = weekly.weekly_run(s, 2026, learning.TreeSettings(iterations=2, depth=2, trees=3, forest_depth=3), folds=2)
     assert run.features.count() == PEOPLE and run.features.where("career_games is null").count() == len(ROOKIES)
     assert run.features.where("dominator_rating is not null").count() == len([i for i in ROOKIES if i % 4 != 0])  # no passers
     sizes = {(r["format"], r["team_size"]): r["count"] for r in run.board.groupBy("format", "team_size").count().collect()}
@@ -53,6 +56,9 @@ def test_weekly_run_publish_and_refresh(spark, tmp_path):
     # Both lists order the players alike, so the blend leaves the first list's values where they were.
     top = run.targets.where("format = 'sf_dynasty' and team_size = 12").orderBy(F.desc("consensus_value")).first()
     assert top["gsis_id"] == "00-0000090" and np.isclose(top["consensus_value"], 90 * 90 + 12)
+    assert run.report.where("not passed").isEmpty() and run.report.count() > 10
+    found = run.metrics.toPandas()
+    assert len(found) == 12 and found.mae.notna().all() and set(found.model) == {"boosted", "forest"}
     index, metadata = weekly.publish(run, str(tmp_path / "boards"), 2026)
     row = metadata.first()
     assert index.count() == PEOPLE + 27 and (row["player_count"], row["pick_count"], len(row["formats"])) == (PEOPLE, 27, 6)
@@ -68,3 +74,14 @@ def test_weekly_run_publish_and_refresh(spark, tmp_path):
     updated = refresh.recompute_board(run.features, partial, run.fits, run.targets, names, run.picks, "gsis_id", snapshot=(str(tmp_path / "snap"), "2026-10-20"))
     assert updated.count() == run.board.count()
     assert spark.read.csv(str(tmp_path / "snap"), header=True).count() == run.board.count()
+
+
+def test_gates_stop_a_run(spark):
+    s = sources(spark)
+    small = learning.TreeSettings(iterations=1, depth=1, trees=1, forest_depth=1)
+    twice = s.crosswalk.unionByName(s.crosswalk.where("mfl_id = '3'").withColumn("name", F.lit("Other")))
+    with pytest.raises(ValueError, match="unique"):
+        weekly.weekly_run(replace(s, crosswalk=twice), 2026, small, folds=0)
+    lost = s.prices.withColumn("mfl_id", F.when(F.col("mfl_id") % 10 == 0, F.lit(None)).otherwise(F.col("mfl_id")))
+    with pytest.raises(ValueError, match="coverage"):
+        weekly.weekly_run(replace(s, prices=lost), 2026, small, folds=0)
