@@ -8,8 +8,8 @@ limit or above falls under ``miss``. Pairs that stay are checked on their whole
 Only links between different components matter, so two passes suffice. First every band bucket compares
 its members with one of them, drawn per band: as many pairs as rows, however large the bucket. The
 components found are known before the second pass, in which buckets that still hold several components
-compare all pairs across them, in blocks, and put out only pairs that pass the Bayesian test, each in the
-first band it shares. No bucket emits all its pairs, and none is capped.
+compare all pairs across them inside tasks, in blocks, each pair in the first band it shares; what comes out
+is one link per pair of components joined. No bucket emits all its pairs, and none is capped.
 
 Texts without words, and null texts, have an empty set and link with nothing. Texts with fewer than
 ``width`` words have their whole sequence as one shingle. Repeated rows share a class. A null id never names
@@ -35,7 +35,7 @@ WIDTH, SIMILARITY = 3, 85
 BANDS, ROWS, BATCH = 20, 6, 24
 MISS = 1e-5
 SLICE_BYTES = 2_000_000
-BLOCK = 512
+BLOCK = 2048
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -67,14 +67,14 @@ def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(codes: np.ndarray, sizes: np.ndarray, values: int, seed: int = 11) -> np.ndarray:
-    """MinHash values of each set that has members, as rows of 32-bit numbers."""
+    """MinHash values of each set that has members, of which 16 bits are kept: enough to tell values apart."""
     rng = np.random.default_rng(seed)
     factors = rng.integers(0, 1 << 63, values, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     some = sizes[sizes > 0]
     starts = np.cumsum(some) - some
-    out = np.zeros((len(some), values), np.uint32)
+    out = np.zeros((len(some), values), np.int16)
     for i, factor in enumerate(factors):
-        out[:, i] = np.minimum.reduceat(((codes * factor) >> np.uint64(32)).astype(np.uint32), starts)
+        out[:, i] = mixed(np.minimum.reduceat(codes * factor, starts)).astype(np.uint16).view(np.int16)
     return out
 
 
@@ -88,13 +88,13 @@ def sketch(docs: DataFrame, width: int, values: int, id_column: str, text_column
                 codes, sizes = shingles(part, width)
                 some = sizes > 0
                 filled = np.cumsum(some) - 1
-                signs = signatures(codes, sizes, values) if some.any() else np.zeros((0, values), np.uint32)
+                signs = signatures(codes, sizes, values) if some.any() else np.zeros((0, values), np.int16)
                 starts = (np.cumsum(sizes) - sizes)[some]
                 sums = [np.add.reduceat(codes, starts), np.add.reduceat(mixed(codes * np.uint64(5)), starts)] \
                     if some.any() else [np.zeros(0, np.uint64)] * 2
                 pick = pa.array(filled, pa.int64(), mask=~some)
                 width_of = np.arange(0, (len(signs) + 1) * values, values, dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(width_of), pa.array(signs.view(np.int32).ravel()))
+                lists = pa.ListArray.from_arrays(pa.array(width_of), pa.array(signs.ravel()))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).slice(start, stop - start) for i in (0, 1)), pa.array(sizes),
                      *(pa.array(s.view(np.int64)).take(pick) for s in sums), lists.take(pick)],
@@ -102,7 +102,7 @@ def sketch(docs: DataFrame, width: int, values: int, id_column: str, text_column
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, F.xxhash64(id_column, text_column), text_column).mapInArrow(
-        run, f"id {kind}, key long, n_shingles long, set_a long, set_b long, signature array<int>")
+        run, f"id {kind}, key long, n_shingles long, set_a long, set_b long, signature array<smallint>")
 
 
 def needed_matches(values: int, batch: int, similarity: float, miss: float) -> list[int]:
@@ -157,7 +157,8 @@ def classified(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY
 
     # Whole sets of the classes that share a band with another.
     wanted = land(classes.join(involved, "class").select("class", "least", "set_a"), "wanted")
-    sets = land(shingle_sets(docs, wanted, width, id_column, text_column), "shingle-sets")
+    repeated = not sketches.groupBy("id").count().where("count > 1").isEmpty()
+    sets = land(shingle_sets(docs, wanted, width, repeated, id_column, text_column), "shingle-sets")
     signs = land(classes.join(involved, "class").select("class", "signature"), "signatures")
 
     stars = banded.where("class <> centre").select(
@@ -168,8 +169,11 @@ def classified(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY
     split = banded.join(found.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class"))
     several = split.groupBy("band", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_rows = split.join(several.where("low < high").select("band", "key"), ["band", "key"]).join(signs, "class")
-    across = land(across_components(open_rows, needed, batch, rows, block), "across")
+    open_rows = split.join(several.where("low < high").select("band", "key"), ["band", "key"])
+    # Half of each shingle's bits is enough to choose the links, which are then checked on whole sets.
+    halves = sets.select("class", F.transform("shingles", lambda x: F.shiftright(x, 32).cast("int")).alias("shingles"))
+    open_rows = open_rows.join(signs.join(halves, "class"), "class")
+    across = land(across_components(open_rows, needed, batch, rows, block, similarity), "across")
     second = verified(across.distinct(), sets, similarity)
     merged = components(first.union(second))
 
@@ -206,8 +210,9 @@ def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column
     return keyed.where(~may).select(docs.columns).union(once.select(docs.columns)).union(again.select(docs.columns))
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, id_column: str, text_column: str) -> DataFrame:
-    """(class, shingles) from the texts of the ids in ``wanted`` (class, least, set_a)."""
+def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, repeated: bool, id_column: str,
+                 text_column: str) -> DataFrame:
+    """(class, shingles) from the texts of the ids in ``wanted`` (class, least, set_a); ids may be ``repeated``."""
     def run(batches):
         for batch in batches:
             texts = pa.compute.fill_null(batch.column(1), "")
@@ -226,9 +231,10 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int, id_column: str,
                     names=["class", "shingles"]).filter(pa.array(meant))
 
     texts = docs.select(F.col(id_column).alias("least"), F.col(text_column).alias("text"))
+    texts = texts.where(maybe_in(texts, "least", bloom(wanted, "least")))  # only these are shuffled
     chosen = wanted.join(texts, wanted["least"].eqNullSafe(texts["least"])).select("class", "text", "set_a")
     made = chosen.mapInArrow(run, "class long, shingles array<long>")
-    return made.dropDuplicates(["class"])
+    return made.dropDuplicates(["class"]) if repeated else made
 
 
 def tested(pairs: DataFrame, signs: DataFrame, needed: list[int], batch: int) -> DataFrame:
@@ -247,36 +253,55 @@ def tested(pairs: DataFrame, signs: DataFrame, needed: list[int], batch: int) ->
     return both.mapInArrow(run, "a long, b long")
 
 
-def across_components(members: DataFrame, needed: list[int], batch: int, rows: int, block: int) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components that pass the test, block by block."""
+def across_components(members: DataFrame, needed: list[int], batch: int, rows: int, block: int,
+                      similarity: int) -> DataFrame:
+    """Links (a, b) between components that share a bucket, block by block.
+
+    All pairs across components are tested inside the task; what comes out is one link for each pair of
+    components that the block joins, so at most as many rows as members.
+    """
     sizes = members.groupBy("band", "key").agg(F.ceil(F.count("*") / block).alias("blocks"))
     placed = members.join(sizes, ["band", "key"]).withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")))
     # A member goes to every pair of blocks that holds its own: as often as the bucket has blocks.
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "band", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "class",
-        "component", "signature")
+        "component", "signature", "shingles")
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         low, high, band = part["low"].iloc[0], part["high"].iloc[0], int(part["band"].iloc[0])
-        node, component = part["class"].to_numpy(), part["component"].to_numpy()
+        part = part.sort_values("class", ignore_index=True)
+        node, label = part["class"].to_numpy(), part["component"].to_numpy().copy()
         signs = np.stack(part["signature"].to_numpy())
+        sets = [np.sort(x) for x in part["shingles"]]
         own = part["own"].to_numpy()
         left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        out_a, out_b = [], []
+        links = []
         for i in left:
-            some = right[component[right] != component[i]]
+            some = right[label[right] != label[i]]
             if low == high:
                 some = some[some > i]
-            # Only the first band that both share puts the pair out.
+            # A pair is tested in the first band that both share.
             for k in range(band):
                 if not len(some):
                     break
                 some = some[(signs[some, k * rows: (k + 1) * rows] != signs[i, k * rows: (k + 1) * rows]).any(axis=1)]
             if len(some):
                 some = some[surviving(np.broadcast_to(signs[i], (len(some), signs.shape[1])), signs[some], needed, batch)]
-                out_a.append(np.minimum(node[i], node[some]))
-                out_b.append(np.maximum(node[i], node[some]))
-        empty = [np.zeros(0, np.int64)]
-        return pd.DataFrame({"a": np.concatenate(out_a or empty), "b": np.concatenate(out_b or empty)})
+            if len(some):
+                some = some[reaching(sets[i], [sets[j] for j in some], similarity)]
+            for j in some:
+                if label[j] != label[i]:
+                    links.append((min(node[i], node[j]), max(node[i], node[j])))
+                    label[label == label[j]] = label[i]
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
     return placed.groupBy("band", "key", "low", "high").applyInPandas(compare, "a long, b long")
+
+
+def reaching(own: np.ndarray, others: list[np.ndarray], similarity: int) -> np.ndarray:
+    """Which sorted sets reach the similarity with one."""
+    sizes = np.array([len(x) for x in others])
+    members = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, members), len(own) - 1)
+    shared = np.add.reduceat((own[at] == members).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * shared >= similarity * (len(own) + sizes - shared)
