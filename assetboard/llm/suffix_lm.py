@@ -338,7 +338,7 @@ def score_documents(docs: DataFrame, depth: int = 6, least_share: float = 4e-6,
                     pa.array(row + np.arange(size)), batch.column(0).slice(start, size),
                     batch.column(2).slice(start, size),
                     pa.array(np.bincount(rows, minlength=size)), pa.array(np.bincount(rows[known], minlength=size)),
-                    pa.array(np.bincount(rows, log[places], size)), pa.array(score),
+                    pa.array(np.bincount(rows, log[places], size).astype(np.float64)), pa.array(score),
                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(rare_word)),
                 ], names=["row", "id", "held_out", "n_words", "n_top", "top_log", "score", "rare"])
                 row += size
