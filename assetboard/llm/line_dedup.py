@@ -4,8 +4,8 @@ A line is ``line_words`` consecutive words (A-Z in lower case), from any word on
 on how a page was wrapped. Of every ``window`` consecutive lines the one with the least hash is a
 fingerprint; two texts that share at least line_words + window - 1 words in a row (50) share a fingerprint
 in them. Each later occurrence of a fingerprint is joined with its first one, in order of ids and places.
-Matches of one text pair that follow each other form a run; runs are extended word by word both ways, at
-most window - 1 words, since a longer match would hold one more fingerprint. Words of a text covered by
+Matched lines that touch form a run; runs are extended word by word both ways along those first occurrences,
+at most window - 1 words, since a longer match would hold one more fingerprint. Words of a text covered by
 runs leave where at least ``least_words`` in a row are covered. As every such word equals one at an earlier
 place, the first occurrence of a passage always stays.
 
@@ -106,17 +106,15 @@ def marked(docs: DataFrame, line_words: int, window: int) -> DataFrame:
     return docs.select("id", "key", "text").mapInArrow(run, f"hash long, id {kind}, key long, place int")
 
 
-def extend(own: np.ndarray, start: int, stop: int, left: np.ndarray, right: np.ndarray) -> tuple[int, int]:
-    """The run [start, stop) of a text, made longer while words equal those around the first occurrence."""
-    for word in left:
-        if start == 0 or own[start - 1] != word:
-            break
-        start -= 1
-    for word in right:
-        if stop == len(own) or own[stop] != word:
-            break
-        stop += 1
-    return start, stop
+def extend(own: np.ndarray, side: int, start: int, stop: int, words: np.ndarray) -> tuple[int, int]:
+    """The run [start, stop) of a text, made longer on one side while words equal those around the first occurrence.
+
+    ``words`` begin next to the run; side 0 is the left one.
+    """
+    near = own[max(0, start - len(words)): start][::-1] if side == 0 else own[stop: stop + len(words)]
+    same = near == words[: len(near)]
+    more = len(near) if same.all() else int(np.argmin(same))
+    return (start - more, stop) if side == 0 else (start, stop + more)
 
 
 def removed_spans(size: int, runs: list[tuple[int, int]], least_words: int) -> list[tuple[int, int]]:
@@ -158,28 +156,28 @@ def dedup_lines(docs: DataFrame, line_words: int = LINE_WORDS, window: int = WIN
     may = maybe_in(marks, "hash", bloom(firsts, "hash"))
     later = marks.where(may).join(firsts, "hash").where(place != F.col("first")).select(
         "key", "place", F.col("first.key").alias("from_key"), F.col("first.place").alias("from_place"))
-    shift = F.col("place") - F.col("from_place")
-    in_text = Window.partitionBy("key").orderBy("from_key", "shift", "place")
-    joined = later.distinct().withColumn("shift", shift)
-    joined = joined.withColumn("new", F.coalesce(
-        (F.lag("from_key").over(in_text) != F.col("from_key")) | (F.lag("shift").over(in_text) != F.col("shift"))
-        | (F.lag("place").over(in_text) + line_words < F.col("place")), F.lit(True)).cast("int"))
+    # Lines that touch form one run, whatever they were found in; its first line says what lies left, its last what
+    # lies right.
+    in_text = Window.partitionBy("key").orderBy("place")
+    joined = later.distinct().withColumn("new", F.coalesce(
+        F.lag("place").over(in_text) + line_words < F.col("place"), F.lit(True)).cast("int"))
+    source = F.struct("place", "from_key", "from_place")
     runs = joined.withColumn("run", F.sum("new").over(in_text)).groupBy("key", "run").agg(
-        F.min("place").alias("start"), (F.max("place") + line_words).alias("stop"),
-        F.first("from_key").alias("from_key"), F.min("from_place").alias("from_start"),
-        (F.max("from_place") + line_words).alias("from_stop"))
-    runs = land(runs, "runs")
+        F.min(source).alias("low"), F.max(source).alias("high"))
+    end = lambda side, key, at: F.struct(F.lit(side).alias("side"), key.alias("from_key"), at.alias("at"))
+    runs = land(runs.select("key", F.col("low.place").alias("start"), (F.col("high.place") + line_words).alias("stop"), F.inline(
+        F.array(end(0, F.col("low.from_key"), F.col("low.from_place")),
+                end(1, F.col("high.from_key"), F.col("high.from_place") + line_words)))), "runs")
 
-    sources = runs.groupBy("from_key").agg(F.collect_set(F.struct("from_start", "from_stop")).alias("asked"))
+    asked = runs.groupBy("from_key").agg(F.collect_set(F.struct("side", "at")).alias("asked"))
     in_sources, in_runs = bloom(runs, "from_key"), bloom(runs, "key")
     may_run = maybe_in(keyed, "_key", in_runs)
-    asked = plain.where(maybe_in(plain, "key", in_sources)).join(
-        sources, F.col("key") == F.col("from_key")).select("key", "text", "asked")
-    around = asked.mapInArrow(lambda batches: _around(batches, window - 1),
-                              "from_key long, from_start int, from_stop int, left array<long>, right array<long>")
-    around = around.dropDuplicates(["from_key", "from_start", "from_stop"])
-    per_text = runs.join(around, ["from_key", "from_start", "from_stop"]).groupBy("key").agg(
-        F.collect_list(F.struct("start", "stop", "left", "right")).alias("_runs"))
+    around = plain.where(maybe_in(plain, "key", in_sources)).join(asked, F.col("key") == F.col("from_key")).select(
+        "key", "text", "asked").mapInArrow(
+        lambda batches: _around(batches, window - 1), "from_key long, side int, at int, words array<long>")
+    around = around.dropDuplicates(["from_key", "side", "at"])
+    per_text = runs.join(around, ["from_key", "side", "at"]).groupBy("key").agg(
+        F.collect_list(F.struct("side", "start", "stop", "words")).alias("_runs"))
 
     touched = keyed.where(may_run).join(per_text.withColumnRenamed("key", "_key"), "_key", "left")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
@@ -192,19 +190,19 @@ def dedup_lines(docs: DataFrame, line_words: int = LINE_WORDS, window: int = WIN
 
 
 def _around(batches, most: int):
-    """Word hashes left (nearest first) and right of the asked runs."""
+    """Word hashes next to the asked places, nearest first."""
     for batch, first, texts in texts_of(batches):
         rows = []
         for i, words in enumerate(texts):
-            codes = words.view(np.int64)
-            for run in batch.column(2)[first + i].as_py():
-                a, b = run["from_start"], run["from_stop"]
-                rows.append((batch.column(0)[first + i].as_py(), a, b, codes[max(0, a - most): a][::-1].tolist(),
-                             codes[b: b + most].tolist()))
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        columns = list(zip(*rows)) or [()] * 5
+            codes, key = words.view(np.int64), batch.column(0)[first + i].as_py()
+            for end in batch.column(2)[first + i].as_py():
+                at = end["at"]
+                near = codes[max(0, at - most): at][::-1] if end["side"] == 0 else codes[at: at + most]
+                rows.append((key, end["side"], at, near))
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+        columns = list(zip(*rows)) or [()] * 4
         yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)],
-                                         names=["from_key", "from_start", "from_stop", "left", "right"])
+                                         names=["from_key", "side", "at", "words"])
 
 
 def _cut(batches, text_column: str, least_words: int, report: bool):
@@ -213,11 +211,16 @@ def _cut(batches, text_column: str, least_words: int, report: bool):
     for batch, first, texts in texts_of(batches, text_column):
         n = len(texts)
         runs = batch.column(batch.num_columns - 1).slice(first, n)
+        cuts = np.asarray(runs.offsets) - runs.offsets[0].as_py()
+        side, start, stop, near = (runs.flatten().field(k) for k in range(4))
+        side, start, stop = (c.to_numpy(zero_copy_only=False) for c in (side, start, stop))
+        ends, codes = np.asarray(near.offsets) - (near.offsets[0].as_py() if len(near.offsets) else 0), near.flatten().to_numpy()
         column = batch.column(batch.schema.get_field_index(text_column)).slice(first, n)
         out, spans, removed, keep = [], [], [], []
         for i, words in enumerate(texts):
             own, text = words.view(np.int64), column[i].as_py()
-            found = [extend(own, r["start"], r["stop"], r["left"], r["right"]) for r in (runs[i].as_py() or [])]
+            found = [extend(own, side[k], int(start[k]), int(stop[k]), codes[ends[k]: ends[k + 1]])
+                     for k in range(cuts[i], cuts[i + 1])]
             gone = removed_spans(len(own), found, least_words) if found else []
             count = sum(b - a for a, b in gone)
             out.append(without(text, gone) if gone else text)
