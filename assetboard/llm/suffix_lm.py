@@ -190,7 +190,7 @@ def retained(codes: DataFrame, depth: int, total: int, least_share: float, least
     """(level, code, n) of all next symbols of the contexts that stay; level 0 is the root."""
     mask = [(1 << (BITS * (k + 1))) - 1 for k in range(depth + 1)]
     levels, out = {0: codes.groupBy(F.col("code").bitwiseAND(mask[0]).alias("code")).agg(F.sum("n").alias("n"))}, None
-    out = levels[0].select(F.lit(0).alias("level"), "code", "n")
+    out = levels[0].select(F.lit(0).cast("long").alias("level"), "code", "n")
     for k in range(1, depth + 1):
         rows = codes.where(F.shiftright("code", BITS * k).bitwiseAND((1 << BITS) - 1) != PAD).groupBy(
             F.col("code").bitwiseAND(mask[k]).alias("code")).agg(F.sum("n").alias("n"))
@@ -208,7 +208,7 @@ def retained(codes: DataFrame, depth: int, total: int, least_share: float, least
         tested = rows.join(shorter, F.col("code").bitwiseAND(mask[k - 1]) == F.col("short_code")).groupBy(
             "context").agg((2 * F.sum(gain)).alias("g"), F.count("*").alias("seen"))
         stays = tested.where(F.col("g") > divergence * F.col("seen")).select("context")
-        out = out.union(rows.join(stays, "context").select(F.lit(k), "code", "n"))
+        out = out.union(rows.join(stays, "context").select(F.lit(k).cast("long"), "code", "n"))
         levels[k] = rows
     return out
 
@@ -229,20 +229,21 @@ class Tree:
         lengths = np.searchsorted(np.left_shift(1, BITS * np.arange(depth + 2)), self.states, side="right") - 1
         symbol = code & (width - 1)
         width = self.width = int(max(symbol.max(initial=0), FIRST)) + 1
-        counts = np.zeros((len(self.states), width))
-        np.add.at(counts, (np.searchsorted(self.states, context), symbol), n)
-        totals = counts.sum(axis=1, keepdims=True)
+        # Counts turn into probabilities, then into logarithms, in one table: the driver holds it once.
+        table = np.zeros((len(self.states), width), np.float32)
+        np.add.at(table, (np.searchsorted(self.states, context), symbol), n)
+        totals = table.sum(axis=1, keepdims=True, dtype=np.float64).astype(np.float32)
         live = np.arange(width) != PAD
-        probability = live * (counts + 1) / (totals + live.sum())
+        root = np.flatnonzero(lengths == 0)
+        table[root] = live * (table[root] + 1) / (totals[root] + live.sum())
         for k in range(1, depth + 1):
             own = np.flatnonzero(lengths == k)
-            shorter = probability[self._longest(self.states[own], np.full(len(own), k - 1))]
+            shorter = table[self._longest(self.states[own], np.full(len(own), k - 1))]
             # A state that only leads to others has no counts and says what its shorter context says.
-            probability[own] = (counts[own] + prior * shorter) / (totals[own] + prior)
-        log = np.zeros((len(self.states), width), np.float32)
-        log[:, live] = np.log10(probability[:, live])
-        log[:, OTHER] -= np.log10(max(other_members, 1))
-        self.log = log.ravel()
+            table[own] = (table[own] + np.float32(prior) * shorter) / (totals[own] + np.float32(prior))
+        np.log10(table, out=table, where=live)
+        table[:, OTHER] -= np.float32(np.log10(max(other_members, 1)))
+        self.log = table.ravel()
         most = np.minimum(lengths + 1, depth)
         following = np.empty((len(self.states), width), np.int32)
         for c in range(width):
@@ -292,7 +293,7 @@ def frequent_words(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray,
     return top["key"].to_numpy(np.int64)[order], top["n"].to_numpy(np.int64)[order], least
 
 
-def score_documents(docs: DataFrame, depth: int = 6, least_share: float = 4e-6, least_count: int = 8,
+def score_documents(docs: DataFrame, depth: int = 5, least_share: float = 4e-6, least_count: int = 8,
                     divergence: float = 2.0, prior: float = 40.0, frequent: int = FREQUENT_WORDS, modulus: int = 7,
                     remainder: int = 2, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_states) of every row."""
@@ -309,9 +310,10 @@ def score_documents(docs: DataFrame, depth: int = 6, least_share: float = 4e-6,
     scale = float(np.log10(n_all + totals["v"] + (n_train > 0) + 1))
     symbols = symbol_table(counts)
     codes = land(count_contexts(train, symbols, depth), "lm-contexts")
-    kept = retained(codes, depth, symbols_seen, least_share, least_count, divergence).toPandas()
-    tree = Tree(*(kept[c].to_numpy(np.int64) for c in ("level", "code", "n")), depth, prior,
+    kept = retained(codes, depth, symbols_seen, least_share, least_count, divergence).toArrow()
+    tree = Tree(*(kept[c].to_numpy() for c in ("level", "code", "n")), depth, prior,
                 CODE_POINTS - int((symbols != OTHER).sum()))
+    del kept
     top_keys, top_counts, least = frequent_words(words, frequent)
     top_logs = np.log10(top_counts + 1.0)
     shared = spark.sparkContext.broadcast((symbols, tree, top_keys, top_logs))
