@@ -17,7 +17,7 @@ HEADLINE = [
     "consensus_board", "consensus_targets", "resolve_three_key", "assemble_board", "divergence", "top200",
     "feature_table", "aging_curve", "season_to_date", "eb_blend", "blend_backtest", "league_totals", "trade_verdict",
     "member_weather", "impute", "missingness", "quantile_label", "threshold_sweep", "roc_auc", "feature_spearman",
-    "stratified_split_sizes", "stream_daily",
+    "stratified_split_sizes", "stream_daily", "fit_logistic", "fit_board_gbt",
 ]
 
 
