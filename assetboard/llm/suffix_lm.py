@@ -3,15 +3,19 @@
 Text is read as its words (A-Z in lower case) with one space between, then an end. Symbols are the end, the
 space, the most frequent characters of the training texts, and one class for all others, which spells a
 member by an equal share. The tree's contexts have 1 to ``depth`` symbols and never reach back over an end.
-A context stays when it has at least ``least_share`` of the training symbols, and its next-symbol counts
-diverge from those its next shorter context predicts: a likelihood-ratio test, 2 n KL > ``divergence`` times
-the symbols seen. That bounds the tree by depth / least_share contexts, whatever the corpus. The
-distribution of a context adds ``prior`` observations spread as its next shorter context says. A symbol is
-scored in the state of the longest suffix of its past that the tree holds; states form an automaton, which
-lanes of the symbol stream walk side by side.
+A context stays when it occurs at least ``least_count`` times in training, and its next-symbol counts diverge
+from those its next shorter context predicts: a likelihood-ratio test, 2 n KL > ``divergence`` times the
+symbols seen. Both are absolute, so the tree grows with the corpus. The distribution of a context adds
+``prior`` observations spread as the longest shorter context that stays says. A symbol is scored by the
+longest context of its past that the tree holds.
 
-Counting and the words' table cover all training rows. Words with the highest counts (a bounded number) are
-looked up in the tasks; occurrences of all other words are joined with their counts.
+The tree is a table of every symbol with its past that occurs in any text, beside its probability. Levels up to
+``LOW`` symbols, which the alphabet bounds, are made on the driver; the deeper ones in tasks that each hold all
+rows of some newest three symbols. Scores are joined: rows with the highest training counts (a bounded number)
+are looked up in the tasks, occurrences of all others are counted per text and joined with the table.
+
+Counting and the words' table cover all training rows. Words are scored in the same way: frequent ones looked
+up, occurrences of all others joined with their counts.
 
 Null texts count as empty (one token: the end). A null id counts as the text ''. Repeated rows are scored
 one by one. An empty table gives an empty result. Other columns are ignored.
@@ -19,6 +23,8 @@ one by one. An empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assetboard.llm.common import bounds_at, is_gap, slices, utf8_buffer
+from assetboard.llm.common import blocks_for, bounds_at, is_gap, slices, utf8_buffer
 from assetboard.session import land
 
 BITS = 7
@@ -34,6 +40,10 @@ PAD, END, SPACE, OTHER, FIRST = 0, 1, 2, 3, 4
 CODE_POINTS = 0x110000
 SLICE_BYTES = 2_000_000
 FREQUENT_WORDS = 1 << 18
+FREQUENT_CODES = 1 << 21
+#: Contexts of so many symbols are made on the driver: at most 2 ** (BITS * (LOW + 1)) rows.
+LOW = 2
+CODES_PER_PART = 2_000_000
 
 
 def held_out(id_column: str, modulus: int = 7, remainder: int = 2) -> Column:
@@ -101,6 +111,11 @@ def context_codes(symbols: np.ndarray, depth: int) -> np.ndarray:
     return codes
 
 
+def stream_codes(symbols: np.ndarray, depth: int) -> np.ndarray:
+    """Codes of a stream of whole texts; its first symbol follows an end, as every other first symbol does."""
+    return context_codes(np.concatenate([np.full(1, END, symbols.dtype), symbols]), depth)[1:]
+
+
 class Tally:
     """Counts of numbers, merged when many wait."""
 
@@ -167,54 +182,126 @@ def symbol_table(counts: DataFrame) -> np.ndarray:
     return symbols
 
 
-def count_contexts(train: DataFrame, symbols: np.ndarray, depth: int) -> DataFrame:
-    """(code, n) of every symbol with its past, over all training texts."""
-    shared = train.sparkSession.sparkContext.broadcast(symbols)
+def count_contexts(docs: DataFrame, symbols: np.ndarray, depth: int) -> DataFrame:
+    """(code, n) of every symbol with its past in any text; n counts training texts. A code may have several rows."""
+    shared = docs.sparkSession.sparkContext.broadcast(symbols)
 
     def run(batches):
         tally = Tally()
         for batch in batches:
-            texts = pa.compute.fill_null(batch.column(0), "")
-            for start, stop in slices(texts, SLICE_BYTES):
-                tally.add(context_codes(shared.value[code_points(texts.slice(start, stop - start))], depth))
+            texts, held = pa.compute.fill_null(batch.column(0), ""), batch.column(1)
+            for mine, weight in ((texts.filter(pa.compute.invert(held)), 1), (texts.filter(held), 0)):
+                for start, stop in slices(mine, SLICE_BYTES):
+                    codes = stream_codes(shared.value[code_points(mine.slice(start, stop - start))], depth)
+                    keys, counts = np.unique(codes, return_counts=True)
+                    tally.add(keys, weight * counts)
         keys, counts = tally.merge()
         for at in range(0, len(keys), 200_000):
             yield pa.RecordBatch.from_arrays([pa.array(keys[at: at + 200_000]), pa.array(counts[at: at + 200_000])],
                                              names=["code", "n"])
 
-    return train.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def retained(codes: DataFrame, depth: int, total: int, least_share: float, least_count: int,
-             divergence: float) -> DataFrame:
-    """(level, code, n) of all next symbols of the contexts that stay; level 0 is the root."""
-    mask = [(1 << (BITS * (k + 1))) - 1 for k in range(depth + 1)]
-    levels, out = {0: codes.groupBy(F.col("code").bitwiseAND(mask[0]).alias("code")).agg(F.sum("n").alias("n"))}, None
-    out = levels[0].select(F.lit(0).cast("long").alias("level"), "code", "n")
-    for k in range(1, depth + 1):
-        rows = codes.where(F.shiftright("code", BITS * k).bitwiseAND((1 << BITS) - 1) != PAD).groupBy(
-            F.col("code").bitwiseAND(mask[k]).alias("code")).agg(F.sum("n").alias("n"))
-        rows = rows.withColumn("context", F.shiftright("code", BITS))
-        kept = rows.groupBy("context").agg(F.sum("n").alias("total")).where(
-            F.col("total") >= max(least_count, least_share * total))
-        rows = land(rows.join(kept, "context").select("context", "code", "n", "total"), f"contexts-{k}")
-        shorter = levels[k - 1].select(F.col("code").alias("short_code"), F.col("n").alias("short_n"))
-        if k == 1:
-            shorter = shorter.withColumn("short_total", F.lit(total))
-        else:
-            shorter = levels[k - 1].select(F.col("code").alias("short_code"), F.col("n").alias("short_n"),
-                                           F.col("total").alias("short_total"))
-        gain = F.col("n") * F.log(F.col("n") * F.col("short_total") / (F.col("total") * F.col("short_n")))
-        tested = rows.join(shorter, F.col("code").bitwiseAND(mask[k - 1]) == F.col("short_code")).groupBy(
-            "context").agg((2 * F.sum(gain)).alias("g"), F.count("*").alias("seen"))
-        stays = tested.where(F.col("g") > divergence * F.col("seen")).select("context")
-        out = out.union(rows.join(stays, "context").select(F.lit(k).cast("long"), "code", "n"))
-        levels[k] = rows
-    return out
+    return docs.select("text", "held_out").mapInArrow(run, "code long, n long")
+
+
+class Level(NamedTuple):
+    """Symbols with at most so many before them, in order: counts, counts of their contexts, probabilities."""
+
+    code: np.ndarray
+    n: np.ndarray
+    total: np.ndarray
+    p: np.ndarray
+
+
+class Rules(NamedTuple):
+    least_count: int
+    divergence: float
+    prior: float
+
+
+def summed(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys, where = np.unique(codes, return_inverse=True)
+    return keys, np.bincount(where, n, len(keys)).astype(np.int64)
+
+
+def root(codes: np.ndarray, n: np.ndarray) -> Level:
+    """Probabilities of the symbols alone: each has one occurrence more than counted."""
+    code, n = summed(codes & ((1 << BITS) - 1), n)
+    total, live = n.sum(), max(int(code[n > 0].max(initial=0)), FIRST)
+    return Level(code, n, np.full(len(code), total), (n + 1) / (total + live))
+
+
+def grown(codes: np.ndarray, n: np.ndarray, k: int, shorter: Level, rules: Rules) -> tuple[Level, int]:
+    """The level with ``k`` symbols before each, from the one with one less, and how many of its contexts stay.
+
+    All rows of a context must be there. Where an end cuts the past, a row says what its shorter one says.
+    """
+    code, n = summed(codes & ((1 << (BITS * (k + 1))) - 1), n)
+    if not len(code):
+        return Level(code, n, n, np.zeros(0)), 0
+    context = code >> BITS
+    starts = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+    sizes = np.diff(np.append(starts, len(code)))
+    totals = np.add.reduceat(n, starts)
+    total = np.repeat(totals, sizes)
+    at = np.searchsorted(shorter.code, code & ((1 << (BITS * k)) - 1))
+    seen = n > 0
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.where(seen, n * np.log(n * (shorter.total[at] / total) / shorter.n[at]), 0.0)
+    whole = (context[starts] >> (BITS * (k - 1))) != PAD
+    stays = whole & (totals >= rules.least_count) & (
+        2 * np.add.reduceat(gain, starts) > rules.divergence * np.add.reduceat(seen.astype(np.int64), starts))
+    p = np.where(np.repeat(stays, sizes), (n + rules.prior * shorter.p[at]) / (total + rules.prior), shorter.p[at])
+    return Level(code, n, total, p), int(stays.sum())
+
+
+def code_scores(codes: DataFrame, depth: int, rules: Rules, other_members: int,
+                per_part: int = CODES_PER_PART) -> DataFrame:
+    """(code, n, log, states): log10 probability of every code; rows without a code count contexts that stay."""
+    spark, low = codes.sparkSession, min(LOW, depth)
+    short = F.col("code").bitwiseAND((1 << (BITS * (low + 1))) - 1)
+    few = codes.groupBy(short.alias("code")).agg(F.sum("n").alias("n")).toArrow()
+    few_codes, few_n = few["code"].to_numpy(), few["n"].to_numpy()
+    level, stay = root(few_codes, few_n), 1
+    for k in range(1, low + 1):
+        level, more = grown(few_codes, few_n, k, level, rules)
+        stay += more
+    shared = spark.sparkContext.broadcast(level)
+    spell = np.log10(max(other_members, 1))
+
+    def run(batches):
+        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        if not parts:
+            return
+        codes, n = summed(*(np.concatenate(x) for x in zip(*parts)))
+        del parts
+        level, states = shared.value, 0
+        for k in range(low + 1, depth + 1):
+            level, more = grown(codes, n, k, level, rules)
+            states += more
+        p = level.p[np.searchsorted(level.code, codes)]
+        log = np.log10(p) - np.where(codes & ((1 << BITS) - 1) == OTHER, spell, 0.0)
+        for at in range(0, len(codes), 200_000):
+            some = slice(at, at + 200_000)
+            size = len(codes[some])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(codes[some]), pa.array(n[some]), pa.array(log[some]), pa.nulls(size, pa.int64())],
+                names=["code", "n", "log", "states"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()), pa.array([states])],
+            names=["code", "n", "log", "states"])
+
+    newest = F.shiftright("code", BITS).bitwiseAND((1 << (BITS * (LOW + 1))) - 1)
+    dealt = codes.repartition(blocks_for(codes.count(), per_part), newest)
+    schema = "code long, n long, log double, states long"
+    return dealt.mapInArrow(run, schema).union(
+        spark.createDataFrame([(None, None, None, stay)], schema))
 
 
 class Tree:
-    """The automaton of a suffix tree: log10 probability and next state by state and symbol."""
+    """The automaton of a suffix tree that fits one process: log10 probability and next state by state and symbol.
+
+    Tests hold the table of ``code_scores`` against it.
+    """
 
     def __init__(self, level: np.ndarray, code: np.ndarray, n: np.ndarray, depth: int, prior: float,
                  other_members: int):
@@ -279,23 +366,66 @@ class Tree:
 
 # --- scoring -------------------------------------------------------------------------------------------
 
-def frequent_words(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashes (sorted) and counts of the words with at least some count, ``most`` at most, and that count."""
+def least_of_frequent(counts: DataFrame, most: int) -> int:
+    """The least count such that ``most`` rows at most have it or more."""
     bucket = F.floor(F.log2("n") * 4).cast("int")
-    sizes = {r["b"]: r["c"] for r in words.groupBy(bucket.alias("b")).agg(F.count("*").alias("c")).collect()}
+    sizes = {r["b"]: r["c"] for r in counts.groupBy(bucket.alias("b")).agg(F.count("*").alias("c")).collect()}
     room, low = most, max(sizes, default=0) + 1
     while low - 1 in sizes and sizes[low - 1] <= room or low > 0 and low - 1 not in sizes:
         room -= sizes.get(low - 1, 0)
         low -= 1
-    least = int(np.ceil(2 ** (low / 4))) if low > 0 else 1
+    return int(np.ceil(2 ** (low / 4))) if low > 0 else 1
+
+
+def frequent_words(words: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes (sorted) and counts of the words with at least some count, ``most`` at most, and that count."""
+    least = least_of_frequent(words, most)
     top = words.where(F.col("n") >= least).select("key", "n").toPandas()
     order = np.argsort(top["key"].to_numpy(np.int64))
     return top["key"].to_numpy(np.int64)[order], top["n"].to_numpy(np.int64)[order], least
 
 
-def score_documents(docs: DataFrame, depth: int = 5, least_share: float = 4e-6, least_count: int = 8,
-                    divergence: float = 2.0, prior: float = 40.0, frequent: int = FREQUENT_WORDS, modulus: int = 7,
-                    remainder: int = 2, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def frequent_codes(scores: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Codes (sorted) and log10 probabilities of those with at least some count, ``most`` at most, and that count."""
+    least = least_of_frequent(scores.where("n > 0"), most)
+    top = scores.where(F.col("n") >= least).select("code", F.col("log").cast("float").alias("log")).toArrow()
+    codes = top["code"].to_numpy()
+    order = np.argsort(codes)
+    return codes[order], top["log"].to_numpy()[order], least
+
+
+def looked_up(codes: np.ndarray, keys: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of the codes that are among the keys, zero for others, and which ones are."""
+    order = np.argsort(codes)
+    ranked = codes[order]
+    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    distinct = ranked[new]
+    at = np.minimum(np.searchsorted(keys, distinct), max(len(keys) - 1, 0))
+    hit = keys[at] == distinct if len(keys) else np.zeros(len(distinct), bool)
+    value = np.where(hit, logs[at], 0.0) if len(keys) else np.zeros(len(distinct))
+    place = np.cumsum(new) - 1
+    score, known = np.empty(len(codes)), np.empty(len(codes), bool)
+    score[order], known[order] = value[place], hit[place]
+    return score, known
+
+
+def counted_per_row(rows: np.ndarray, codes: np.ndarray, size: int) -> pa.Array:
+    """A list of (code, times) for each of ``size`` rows; ``rows`` ascend."""
+    order = np.lexsort((codes, rows))
+    rows, codes = rows[order], codes[order]
+    first = np.flatnonzero(np.concatenate(
+        [np.ones(min(len(rows), 1), bool), (rows[1:] != rows[:-1]) | (codes[1:] != codes[:-1])]))
+    times = np.diff(np.append(first, len(rows)))
+    cuts = np.searchsorted(rows[first], np.arange(size + 1))
+    pairs = pa.StructArray.from_arrays([pa.array(codes[first], pa.int64()), pa.array(times, pa.int64())],
+                                       names=["code", "times"])
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pairs)
+
+
+def score_documents(docs: DataFrame, depth: int = 6, least_count: int = 8, divergence: float = 2.0,
+                    prior: float = 40.0, frequent: int = FREQUENT_WORDS, frequent_contexts: int = FREQUENT_CODES,
+                    modulus: int = 7, remainder: int = 2, id_column: str = "doc_id",
+                    text_column: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_states) of every row."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"),
@@ -304,22 +434,22 @@ def score_documents(docs: DataFrame, depth: int = 5, least_share: float = 4e-6,
     counts = land(count_words_and_characters(train), "lm-counts")
     words = counts.where("kind = 'w'")
     totals = words.agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
-    symbols_seen = counts.where("kind = 'c'").agg(F.sum("n")).first()[0] or 0
     n_train = counts.where("kind = 'c' and key = 10").agg(F.sum("n")).first()[0] or 0
     n_words, n_all = totals["n"] or 0, (totals["n"] or 0) + n_train
     scale = float(np.log10(n_all + totals["v"] + (n_train > 0) + 1))
     symbols = symbol_table(counts)
-    codes = land(count_contexts(train, symbols, depth), "lm-contexts")
-    kept = retained(codes, depth, symbols_seen, least_share, least_count, divergence).toArrow()
-    tree = Tree(*(kept[c].to_numpy() for c in ("level", "code", "n")), depth, prior,
-                CODE_POINTS - int((symbols != OTHER).sum()))
-    del kept
+    codes = land(count_contexts(docs, symbols, depth), "lm-contexts")
+    table = land(code_scores(codes, depth, Rules(least_count, divergence, prior),
+                             CODE_POINTS - int((symbols != OTHER).sum())), "lm-tree")
+    n_states = table.agg(F.sum("states")).first()[0]
+    scores = table.where("code is not null").select("code", "n", "log")
+    code_keys, code_logs, least_code = frequent_codes(scores, frequent_contexts)
     top_keys, top_counts, least = frequent_words(words, frequent)
     top_logs = np.log10(top_counts + 1.0)
-    shared = spark.sparkContext.broadcast((symbols, tree, top_keys, top_logs))
+    shared = spark.sparkContext.broadcast((symbols, code_keys, code_logs, top_keys, top_logs))
 
     def run(batches):
-        symbols, tree, keys, logs = shared.value
+        symbols, code_keys, code_logs, keys, logs = shared.value
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = pa.compute.fill_null(batch.column(1), "")
@@ -328,7 +458,11 @@ def score_documents(docs: DataFrame, depth: int = 5, least_share: float = 4e-6,
                 size = len(part)
                 stream = symbols[code_points(part)]
                 ends = np.flatnonzero(stream == END)
-                score = np.add.reduceat(tree.score(stream).astype(np.float64), np.concatenate([[0], ends[:-1] + 1]))
+                codes = stream_codes(stream, depth)
+                value, found = looked_up(codes, code_keys, code_logs)
+                score = np.add.reduceat(value, np.concatenate([[0], ends[:-1] + 1]))
+                missing = np.flatnonzero(~found)
+                cold = counted_per_row(np.searchsorted(ends, missing), codes[missing], size)
                 hashes, places, rows = word_hashes(part)
                 at = np.minimum(np.searchsorted(keys, hashes), max(len(keys) - 1, 0))
                 hit = keys[at] == hashes if len(keys) else np.zeros(len(hashes), bool)
@@ -341,22 +475,26 @@ def score_documents(docs: DataFrame, depth: int = 5, least_share: float = 4e-6,
                     batch.column(2).slice(start, size),
                     pa.array(np.bincount(rows, minlength=size)), pa.array(np.bincount(rows[known], minlength=size)),
                     pa.array(np.bincount(rows, log[places], size).astype(np.float64)), pa.array(score),
-                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(rare_word)),
-                ], names=["row", "id", "held_out", "n_words", "n_top", "top_log", "score", "rare"])
+                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(rare_word)), cold,
+                ], names=["row", "id", "held_out", "n_words", "n_top", "top_log", "top_score", "rare", "cold"])
                 row += size
 
     kind = docs.schema["id"].dataType.simpleString()
     scored = land(docs.select("id", "text", "held_out").mapInArrow(
-        run, f"row long, id {kind}, held_out boolean, n_words long, n_top long, top_log double, score double, "
-             "rare array<long>"), "lm-scored")
-    rare = scored.select("row", F.explode("rare").alias("key"))
-    known = rare.join(words.where(F.col("n") < least).select("key", "n"), "key").groupBy("row").agg(
-        F.count("*").alias("n_rare"), F.sum(F.log10(F.col("n") + 1.0)).alias("rare_log"))
+        run, f"row long, id {kind}, held_out boolean, n_words long, n_top long, top_log double, top_score double, "
+             "rare array<long>, cold array<struct<code:bigint,times:bigint>>"), "lm-scored")
+    rare = scored.select("row", F.explode("rare").alias("key")).join(
+        words.where(F.col("n") < least).select("key", "n"), "key").select(
+        "row", F.lit(1).alias("n_rare"), F.log10(F.col("n") + 1.0).alias("rare_log"), F.lit(0.0).alias("cold_log"))
+    cold = scored.select("row", F.inline("cold")).join(
+        scores.where(F.col("n") < least_code), "code").select(
+        "row", F.lit(0).alias("n_rare"), F.lit(0.0).alias("rare_log"), (F.col("times") * F.col("log")).alias("cold_log"))
+    joined = rare.union(cold).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_rare", "rare_log", "cold_log")])
     filled = lambda c: F.coalesce(c, F.lit(0))
     n_tokens = F.col("n_words") + 1
-    return scored.drop("rare").join(known, "row", "left").select(
+    return scored.drop("rare", "cold").join(joined, "row", "left").select(
         F.col("id").alias(id_column), "held_out", n_tokens.alias("n_tokens"),
         (F.col("n_top") + filled("n_rare") + int(n_train > 0)).cast("long").alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
         (F.col("top_log") + filled("rare_log") + float(np.log10(n_train + 1)) - n_tokens * scale).alias("base_score"),
-        "score", F.lit(len(tree.states)).alias("n_states"))
+        (F.col("top_score") + filled("cold_log")).alias("score"), F.lit(n_states).cast("long").alias("n_states"))

@@ -76,6 +76,67 @@ def test_suffix_tree_probabilities_sum_to_one_and_follow_the_longest_suffix(docs
         assert scores[at] == pytest.approx(tree.log.reshape(-1, tree.width)[row, coded[at]], abs=1e-5)
 
 
+def brute_tree(texts, symbols, depth, least_count, divergence):
+    """(level, code, n) of the root and of the contexts that stay, context by context."""
+    import numpy as np
+    import pyarrow as pa
+
+    count = [collections.defaultdict(collections.Counter) for _ in range(depth + 1)]
+    for t in texts:
+        own = [suffix_lm.END, *symbols[suffix_lm.code_points(pa.array([t or ""], pa.large_string()))].tolist()]
+        for i in range(1, len(own)):
+            for k in range(min(depth, i) + 1):
+                if suffix_lm.END not in own[i - k + 1: i]:  # an end may only be the oldest symbol
+                    count[k][tuple(own[i - k: i])][own[i]] += 1
+    out = []
+    for k, level in enumerate(count):
+        for past, following in level.items():
+            total = sum(following.values())
+            if k:
+                short = count[k - 1][past[1:]]
+                short_total = sum(short.values())
+                gain = sum(n * math.log(n * short_total / (total * short[s])) for s, n in following.items())
+            if k == 0 or total >= least_count and 2 * gain > divergence * len(following):
+                code = sum(int(x) << (7 * (k - j)) for j, x in enumerate(past))
+                out += [(k, code | int(s), n) for s, n in following.items()]
+    return (np.array(x) for x in zip(*out))
+
+
+@pytest.mark.parametrize("frequent_contexts", [1 << 21, 50])
+def test_suffix_tree_scores_equal_brute_force_and_the_automaton(spark, docs, frequent_contexts):
+    import numpy as np
+    import pyarrow as pa
+
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    train = docs.where(~suffix_lm.held_out("doc_id"))
+    symbols = suffix_lm.symbol_table(suffix_lm.count_words_and_characters(train))
+    level, code, n = brute_tree([r[1] for r in rows() if not held(r[0])], symbols, 4, 8, 2.0)
+    tree = suffix_lm.Tree(level, code, n, 4, 40.0, suffix_lm.CODE_POINTS - int((symbols != suffix_lm.OTHER).sum()))
+    got = suffix_lm.score_documents(docs, depth=4, frequent_contexts=frequent_contexts).collect()
+    text = {r[0]: r[1] for r in rows()}
+    contexts = len(set(zip(level.tolist(), (code >> 7).tolist())))
+    for r in got:
+        stream = symbols[suffix_lm.code_points(pa.array([text[r.doc_id] or ""], pa.large_string()))]
+        assert r.score == pytest.approx(float(tree.score(stream).astype(np.float64).sum()), rel=1e-4)
+        assert r.n_states == contexts
+
+
+def test_a_context_that_a_small_corpus_keeps_stays_in_a_large_one(spark):
+    """A rare word among 300 times more text: its contexts occur 20 times in both, below 4e-6 of the larger one."""
+    import random
+
+    rng = random.Random(3)
+    rare = [(i, "zqxjk " * 4) for i in range(5)]
+    filler = lambda n: [(100 + i, " ".join(rng.choice(["oak", "elm", "fir", "ash"]) for _ in range(500)))
+                        for i in range(n)]
+    made = []
+    for some in (rare + filler(10), rare + filler(3000)):
+        frame = spark.createDataFrame(some, "doc_id long, text string")
+        scored = suffix_lm.score_documents(frame).where("doc_id < 5").toPandas()
+        made.append(-scored["score"].sum() / scored["n_tokens"].sum())
+    assert made[1] < 1.5 * made[0]
+
+
 # --- 4 -------------------------------------------------------------------------------------------------
 
 def test_shards_are_balanced_and_slots_gapless(docs):
