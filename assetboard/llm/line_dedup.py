@@ -3,16 +3,16 @@
 A line is ``line_words`` consecutive words (A-Z in lower case), from any word on, so that it does not depend
 on how a page was wrapped. Of every ``window`` consecutive lines the one with the least hash is a
 fingerprint; two texts that share at least line_words + window - 1 words in a row (50) share a fingerprint
-in them. Each later occurrence of a fingerprint is joined with its first one, in order of ids and places.
-Matched lines that touch form a run; runs are extended word by word both ways along those first occurrences,
-at most window - 1 words, since a longer match would hold one more fingerprint. Words of a text covered by
-runs leave where at least ``least_words`` in a row are covered. As every such word equals one at an earlier
-place, the first occurrence of a passage always stays.
+in them. Around each fingerprint that occurs more than once, all passages of ``least_words`` words that hold
+it are hashed, and each passage that has an earlier occurrence, anywhere, in order of ids and places, leaves.
+So every repeated passage is found whichever texts share it, and nothing else leaves: the union of all
+passages of ``least_words`` words that occur earlier. The first occurrence of a passage always stays.
 
-A passage's occurrences are compared with its first alone, so a passage in a third of all texts costs one
-row each. Texts are moved only where a fixed-size Bloom filter says they take part.
+Occurrences are compared by hash with the first one alone, which loses nothing since equal passages are equal
+to their first; a passage in a third of all texts costs one row each, and rows grow with the words that lie
+near repeated fingerprints. Texts are moved only where a fixed-size Bloom filter says they take part.
 
-Texts without words, null texts and texts shorter than a line stay as they are. A text whose words all
+Texts without words, null texts and texts shorter than a passage stay as they are. A text whose words all
 leave is dropped, which is what happens to later copies of a whole text. Rows with the same id and text
 count as one document. Null ids come first in order. All columns are returned.
 """
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assetboard.llm.common import bloom, is_gap, maybe_in, slices, utf8_buffer
@@ -79,14 +79,14 @@ def texts_of(batches, column: int | str = 1):
             yield batch, start, [words[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-def marked(docs: DataFrame, line_words: int, window: int) -> DataFrame:
-    """(hash, id, key, place) of all fingerprints."""
+def marked(docs: DataFrame, line_words: int, window: int, least_words: int) -> DataFrame:
+    """(hash, id, key, place) of all fingerprints of texts that may hold a passage."""
     def run(batches):
         up, down = powers(_BASE, 1 << 12), powers(_INVERSE, 1 << 12)
         for batch, start, texts in texts_of(batches, 2):
             row, place, code = [], [], []
             for i, words in enumerate(texts):
-                if len(words) < line_words:
+                if len(words) < max(line_words, least_words):
                     continue
                 if len(words) > len(up):
                     up, down = powers(_BASE, 2 * len(words)), powers(_INVERSE, 2 * len(words))
@@ -106,26 +106,49 @@ def marked(docs: DataFrame, line_words: int, window: int) -> DataFrame:
     return docs.select("id", "key", "text").mapInArrow(run, f"hash long, id {kind}, key long, place int")
 
 
-def extend(own: np.ndarray, side: int, start: int, stop: int, words: np.ndarray) -> tuple[int, int]:
-    """The run [start, stop) of a text, made longer on one side while words equal those around the first occurrence.
+def passages(texts: DataFrame, line_words: int, width: int) -> DataFrame:
+    """(hash, id, key, place) of all passages of ``width`` words that hold a line at one of the text's ``places``."""
+    def run(batches):
+        up, down = powers(_BASE, 1 << 12), powers(_INVERSE, 1 << 12)
+        for batch, start, some in texts_of(batches, 2):
+            row, place, code = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            marks = batch.column(3).slice(start, len(some))
+            cuts, marks = np.asarray(marks.offsets) - marks.offsets[0].as_py(), marks.flatten().to_numpy()
+            for i, words in enumerate(some):
+                if len(words) > len(up):
+                    up, down = powers(_BASE, 2 * len(words)), powers(_INVERSE, 2 * len(words))
+                at = marks[cuts[i]: cuts[i + 1]]
+                near = np.zeros(len(words) + 2, np.int64)
+                np.add.at(near, np.maximum(at + line_words - width, 0), 1)
+                np.add.at(near, at + 1, -1)
+                starts = np.flatnonzero(np.cumsum(near)[: len(words) - width + 1] > 0)
+                row.append(np.full(len(starts), start + i))
+                place.append(starts)
+                code.append(line_hashes(words, width, up, down)[starts])
+            rows = pa.array(np.concatenate(row))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(code).view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows),
+                 pa.array(np.concatenate(place).astype(np.int32))], names=["hash", "id", "key", "place"])
 
-    ``words`` begin next to the run; side 0 is the left one.
-    """
-    near = own[max(0, start - len(words)): start][::-1] if side == 0 else own[stop: stop + len(words)]
-    same = near == words[: len(near)]
-    more = len(near) if same.all() else int(np.argmin(same))
-    return (start - more, stop) if side == 0 else (start, stop + more)
+    kind = texts.schema["id"].dataType.simpleString()
+    return texts.select("id", "key", "text", "places").mapInArrow(run, f"hash long, id {kind}, key long, place int")
 
 
-def removed_spans(size: int, runs: list[tuple[int, int]], least_words: int) -> list[tuple[int, int]]:
-    """Stretches of at least so many words that the runs cover."""
+def first_of_repeated(rows: DataFrame) -> DataFrame:
+    """(hash, first) of the hashes with several places."""
+    place = F.struct("id", "key", "place")
+    return rows.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(
+        "first <> last").select("hash", "first")
+
+
+def removed_spans(size: int, starts: np.ndarray, width: int) -> list[tuple[int, int]]:
+    """Stretches that the passages cover."""
     cover = np.zeros(size + 2, np.int64)
-    for start, stop in runs:
-        cover[start + 1] += 1
-        cover[stop + 1] -= 1
+    np.add.at(cover, starts + 1, 1)
+    np.add.at(cover, starts + width + 1, -1)
     inside = np.concatenate([[0], (np.cumsum(cover)[1:-1] > 0).astype(np.int8), [0]])
     edges = np.flatnonzero(np.diff(inside))
-    return [(int(a), int(b)) for a, b in zip(edges[::2], edges[1::2]) if b - a >= least_words]
+    return [(int(a), int(b)) for a, b in zip(edges[::2], edges[1::2])]
 
 
 def without(text: str, spans: list[tuple[int, int]]) -> str:
@@ -148,85 +171,47 @@ def dedup_lines(docs: DataFrame, line_words: int = LINE_WORDS, window: int = WIN
     """
     keyed = docs.withColumn("_key", F.xxhash64(id_column, text_column))
     plain = keyed.select(F.col(id_column).alias("id"), F.col("_key").alias("key"), F.col(text_column).alias("text"))
-    marks = land(marked(plain, line_words, window), "fingerprints")
-    place = F.struct("id", "key", "place")
-    firsts = land(marks.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(
-        "first <> last").select("hash", "first"), "repeated")
+    width = max(line_words, least_words)
+    marks = land(marked(plain, line_words, window, least_words), "fingerprints")
+    shared = land(first_of_repeated(marks).select("hash"), "repeated")
     # A first pass drops most fingerprints that occur once, before they are shuffled for the join.
-    may = maybe_in(marks, "hash", bloom(firsts, "hash"))
-    later = marks.where(may).join(firsts, "hash").where(place != F.col("first")).select(
-        "key", "place", F.col("first.key").alias("from_key"), F.col("first.place").alias("from_place"))
-    # Lines that touch form one run, whatever they were found in; its first line says what lies left, its last what
-    # lies right.
-    in_text = Window.partitionBy("key").orderBy("place")
-    joined = later.distinct().withColumn("new", F.coalesce(
-        F.lag("place").over(in_text) + line_words < F.col("place"), F.lit(True)).cast("int"))
-    source = F.struct("place", "from_key", "from_place")
-    runs = joined.withColumn("run", F.sum("new").over(in_text)).groupBy("key", "run").agg(
-        F.min(source).alias("low"), F.max(source).alias("high"))
-    end = lambda side, key, at: F.struct(F.lit(side).alias("side"), key.alias("from_key"), at.alias("at"))
-    runs = land(runs.select("key", F.col("low.place").alias("start"), (F.col("high.place") + line_words).alias("stop"), F.inline(
-        F.array(end(0, F.col("low.from_key"), F.col("low.from_place")),
-                end(1, F.col("high.from_key"), F.col("high.from_place") + line_words)))), "runs")
-
-    asked = runs.groupBy("from_key").agg(F.collect_set(F.struct("side", "at")).alias("asked"))
-    in_sources, in_runs = bloom(runs, "from_key"), bloom(runs, "key")
-    may_run = maybe_in(keyed, "_key", in_runs)
-    around = plain.where(maybe_in(plain, "key", in_sources)).join(asked, F.col("key") == F.col("from_key")).select(
-        "key", "text", "asked").mapInArrow(
-        lambda batches: _around(batches, window - 1), "from_key long, side int, at int, words array<long>")
-    around = around.dropDuplicates(["from_key", "side", "at"])
-    per_text = runs.join(around, ["from_key", "side", "at"]).groupBy("key").agg(
-        F.collect_list(F.struct("side", "start", "stop", "words")).alias("_runs"))
+    may = maybe_in(marks, "hash", bloom(shared, "hash"))
+    near = land(marks.where(may).join(shared, "hash").groupBy("key").agg(F.collect_set("place").alias("places")), "near")
+    whole = plain.where(maybe_in(plain, "key", bloom(near, "key"))).join(near, "key")
+    found = land(passages(whole, line_words, width), "passages")
+    firsts = land(first_of_repeated(found), "first-passages")
+    may = maybe_in(found, "hash", bloom(firsts, "hash"))
+    later = found.where(may).join(firsts, "hash").where(F.struct("id", "key", "place") != F.col("first"))
+    per_text = land(later.groupBy("key").agg(F.collect_set("place").alias("_starts")), "later")
+    may_run = maybe_in(keyed, "_key", bloom(per_text, "key"))
 
     touched = keyed.where(may_run).join(per_text.withColumnRenamed("key", "_key"), "_key", "left")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     extra = ", spans array<struct<start:int,length:int>>, n_removed long" if report else ""
-    cut = touched.select(*docs.columns, "_runs").mapInArrow(
-        lambda batches: _cut(batches, text_column, least_words, report), f"{fields}{extra}")
+    cut = touched.select(*docs.columns, "_starts").mapInArrow(
+        lambda batches: _cut(batches, text_column, width, report), f"{fields}{extra}")
     none = [F.expr("cast(array() as array<struct<start:int,length:int>>)").alias("spans"),
             F.lit(0).cast("long").alias("n_removed")]
     return keyed.where(~may_run).select(*docs.columns, *(none if report else [])).union(cut)
 
 
-def _around(batches, most: int):
-    """Word hashes next to the asked places, nearest first."""
-    for batch, first, texts in texts_of(batches):
-        rows = []
-        for i, words in enumerate(texts):
-            codes, key = words.view(np.int64), batch.column(0)[first + i].as_py()
-            for end in batch.column(2)[first + i].as_py():
-                at = end["at"]
-                near = codes[max(0, at - most): at][::-1] if end["side"] == 0 else codes[at: at + most]
-                rows.append((key, end["side"], at, near))
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
-        columns = list(zip(*rows)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)],
-                                         names=["from_key", "side", "at", "words"])
-
-
-def _cut(batches, text_column: str, least_words: int, report: bool):
-    """Rows with their repeated words deleted; the last column holds the runs."""
+def _cut(batches, text_column: str, width: int, report: bool):
+    """Rows with their repeated words deleted; the last column holds where repeated passages start."""
     kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32())]))
     for batch, first, texts in texts_of(batches, text_column):
         n = len(texts)
-        runs = batch.column(batch.num_columns - 1).slice(first, n)
-        cuts = np.asarray(runs.offsets) - runs.offsets[0].as_py()
-        side, start, stop, near = (runs.flatten().field(k) for k in range(4))
-        side, start, stop = (c.to_numpy(zero_copy_only=False) for c in (side, start, stop))
-        ends, codes = np.asarray(near.offsets) - (near.offsets[0].as_py() if len(near.offsets) else 0), near.flatten().to_numpy()
+        starts = batch.column(batch.num_columns - 1).slice(first, n)
+        cuts, starts = np.asarray(starts.offsets) - starts.offsets[0].as_py(), starts.flatten().to_numpy()
         column = batch.column(batch.schema.get_field_index(text_column)).slice(first, n)
         out, spans, removed, keep = [], [], [], []
         for i, words in enumerate(texts):
-            own, text = words.view(np.int64), column[i].as_py()
-            found = [extend(own, side[k], int(start[k]), int(stop[k]), codes[ends[k]: ends[k + 1]])
-                     for k in range(cuts[i], cuts[i + 1])]
-            gone = removed_spans(len(own), found, least_words) if found else []
+            text, at = column[i].as_py(), starts[cuts[i]: cuts[i + 1]]
+            gone = removed_spans(len(words), at, width) if len(at) else []
             count = sum(b - a for a, b in gone)
             out.append(without(text, gone) if gone else text)
             spans.append([{"start": a, "length": b - a} for a, b in gone])
             removed.append(count)
-            keep.append(count < len(own) or count == 0)
+            keep.append(count < len(words) or count == 0)
         columns = [batch.column(k).slice(first, n) for k in range(batch.num_columns - 1)]
         columns[batch.schema.get_field_index(text_column)] = pa.array(out, column.type)
         made = pa.RecordBatch.from_arrays(

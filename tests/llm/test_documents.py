@@ -184,6 +184,52 @@ def test_repeated_passages_leave_and_first_ones_stay(docs):
     assert got.set_index("doc_id").text[63 + 0] is not None
 
 
+@pytest.mark.parametrize("between", [False, True])
+def test_a_passage_leaves_whose_fingerprints_a_short_quote_holds_first(spark, between):
+    """B and C share 56 words; every fingerprint of C in them lies in a sentence that A, and maybe D, quote too."""
+    import random
+
+    import numpy as np
+
+    def hashes(own):
+        from assetboard.llm.suffix_lm import word_hashes
+        import pyarrow as pa
+
+        h, at, _ = word_hashes(pa.array([" ".join(own)], pa.large_string()))
+        return line_dedup.line_hashes(h.view(np.uint64)[at], 24, line_dedup.powers(line_dedup._BASE, 4096),
+                                      line_dedup.powers(line_dedup._INVERSE, 4096))
+
+    rng, tried = random.Random(7), 0
+    new = lambda n: [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+    while True:
+        tried += 1
+        assert tried < 5000
+        passage, left, right = new(56), new(60), new(60)
+        marks = line_dedup.fingerprints(hashes(left + passage + right), 27) - 60
+        inside = [m for m in marks if 0 <= m <= 32]
+        if inside and min(inside) >= 10 and max(inside) + 24 <= 45:
+            break
+    quote = passage[10:45]
+    texts = {0: new(60) + quote + new(60), 1: new(60) + passage + new(60), 3: left + passage + right}
+    if between:
+        texts[2] = new(60) + quote + new(60)
+    some = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.length) for s in r.spans] for r in line_dedup.dedup_lines(some).collect()}
+    assert got == {i: [(60, 56)] if i == 3 else [] for i in texts}
+
+
+def test_exactly_the_words_of_repeated_passages_leave(docs):
+    got = {r.doc_id: {k for s in r.spans for k in range(s.start, s.start + s.length)}
+           for r in line_dedup.dedup_lines(docs).collect()}
+    first = {}
+    for i, t in sorted((r[0], r[1]) for r in {r[0]: r for r in rows()}.values()):
+        w, repeated = words(t), set()
+        for k in range(len(w) - 49):
+            if first.setdefault(tuple(w[k: k + 50]), (i, k)) != (i, k):
+                repeated |= set(range(k, k + 50))
+        assert got.get(i, set(range(len(w)))) == repeated
+
+
 def test_winnowing_finds_every_shared_run_of_fifty_words():
     import numpy as np
 
