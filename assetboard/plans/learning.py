@@ -19,9 +19,8 @@ NUMERIC = ["games", "points", "yards", "share_a", "share_b", "career_games", "se
            "current_age_squared", "current_distance_from_peak_age", "round", "pick", "forty_time", "combine_weight", "speed_score",
            "dominator_rating", "breakout_age"]
 CATEGORICAL = ["position"]
-# The registered queries ask for small fits: six boards, or sixty with folds, in chains of Spark jobs on one machine.
-# The library's own defaults, which weekly_run uses, are the full ones.
-QUERY_SETTINGS = learning.TreeSettings(iterations=10, depth=4, trees=20, forest_depth=8)
+# The registered queries fit at the library's full defaults, as weekly_run does.
+QUERY_SETTINGS = learning.TreeSettings()
 DELAY_NUMERIC = ["distance", "fare", "booked_month"]
 DELAY_CATEGORICAL = ["carrier", "cabin"]
 
@@ -201,9 +200,11 @@ def training(t: Inputs):
     return feats, targets
 
 
+@shared
 def training_rows(t: Inputs):
+    """Features beside targets, written once: every fit, with its passes for medians and bins, reads them."""
     feats, targets = training(t)
-    return targets.join(feats, "asset_id").withColumn("_log_target", F.ln("consensus_value"))
+    return land(targets.join(feats, "asset_id").withColumn("_log_target", F.ln("consensus_value")), "training-rows")
 
 
 @shared

@@ -115,3 +115,11 @@ def test_out_of_fold_covers_each_row_once(rows):
 def test_group_split(rows):
     got = learning.fit_groups(rows, "c", "a", "value", None, ["x", "z"], ["c"], ["id"], SMALL)
     assert got.count() == 400 and {(r["c"] == "a", r["fit_group"]) for r in got.select("c", "fit_group").distinct().collect()} == {(True, "a"), (False, "rest")}
+
+
+def test_registered_fits_are_full_ones():
+    from assetboard.plans import learning as plans
+
+    asked, full = plans.QUERY_SETTINGS, (100, 300)
+    assert asked == learning.TreeSettings() and (asked.iterations, asked.trees) == full
+    assert learning.FOLDS == 10
