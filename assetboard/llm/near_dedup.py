@@ -11,6 +11,10 @@ components found are known before the second pass, in which buckets that still h
 compare all pairs across them inside tasks, in blocks, each pair in the first band it shares; what comes out
 is one link per pair of components joined. No bucket emits all its pairs, and none is capped.
 
+A pair at the limit shares no band with a chance of at most ``NO_BAND``: 0.008% at 0.85 (20 bands of 6 values),
+0.007% at 0.80 (24 of 5). Such a pair is linked only through others, so this chance, and not ``miss``, which is
+that of the Bayesian test alone, is what bounds the misses; it falls fast above the limit.
+
 Texts without words, and null texts, have an empty set and link with nothing. Texts with fewer than
 ``width`` words have their whole sequence as one shingle. Repeated rows share a class. A null id never names
 a component unless all its ids are null. Other columns are ignored; an empty table gives an empty result.
@@ -32,12 +36,24 @@ from assetboard.llm.suffix_lm import word_hashes
 from assetboard.session import land
 
 WIDTH, SIMILARITY = 3, 85
-BANDS, ROWS, BATCH = 20, 6, 24
-MISS = 1e-5
+VALUES, BATCH = 120, 24
+MISS, NO_BAND = 1e-5, 1e-4
 SLICE_BYTES = 2_000_000
 BLOCK = 2048
 
 
+def no_band(bands: int, rows: int, similarity: float) -> float:
+    """The chance that a pair of this similarity shares no band."""
+    return (1 - similarity ** rows) ** bands
+
+
+def banding(similarity: float, values: int = VALUES, most: float = NO_BAND) -> tuple[int, int]:
+    """Bands and values in each: the longest bands that leave at most such a chance, and one value a band at worst."""
+    fits = [r for r in range(1, values + 1) if values % r == 0 and no_band(values // r, r, similarity) <= most]
+    rows = max(fits, default=1)
+    return values // rows, rows
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Bits of 64-bit numbers, mixed."""
     x = x ^ (x >> np.uint64(33))
@@ -136,10 +152,15 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return both.where(100 * shared >= similarity * (F.size("set_of_a") + F.size("set_of_b") - shared)).select("a", "b")
 
 
-def classified(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, bands: int = BANDS,
-                    rows: int = ROWS, batch: int = BATCH, miss: float = MISS, id_column: str = "doc_id",
+def classified(docs: DataFrame, width: int = WIDTH, similarity: int = SIMILARITY, bands: int | None = None,
+                    rows: int | None = None, batch: int = BATCH, miss: float = MISS, id_column: str = "doc_id",
                     text_column: str = "text", block: int = BLOCK) -> DataFrame:
-    """(id, key, n_shingles, component_id, kept) of every row; ``key`` hashes id and text."""
+    """(id, key, n_shingles, component_id, kept) of every row; ``key`` hashes id and text.
+
+    Without ``bands`` and ``rows`` both follow from the similarity.
+    """
+    if bands is None or rows is None:
+        bands, rows = banding(similarity / 100)
     values = bands * rows
     needed = needed_matches(values, batch, similarity / 100, miss)
     sketches = land(sketch(docs, width, values, id_column, text_column), "sketches")

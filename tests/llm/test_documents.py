@@ -367,6 +367,16 @@ def test_near_duplicates_equal_brute_force(docs, width, similarity):
     assert sorted(r.doc_id for r in left.collect()) == sorted({i for i, c in component.items() if i == c})
 
 
+def test_bands_follow_the_similarity():
+    import corpus_pipeline
+
+    assert near_dedup.banding(near_dedup.SIMILARITY / 100) == (20, 6)
+    assert near_dedup.banding(corpus_pipeline.NEAR_SIMILARITY / 100) == (24, 5)
+    for similarity in (0.6, 0.7, 0.8, 0.82, 0.85, 0.9):
+        bands, rows = near_dedup.banding(similarity)
+        assert bands * rows == 120 and near_dedup.no_band(bands, rows, similarity) <= near_dedup.NO_BAND
+
+
 def test_links_through_heavily_edited_copies_in_one_bucket(spark):
     """Copies of one text with so many edits that most pairs do not link."""
     import random
