@@ -177,7 +177,9 @@ def pack(pieces: DataFrame, length: int = LENGTH, most_segments: int = MOST_SEGM
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["length", "ids_crc32", "start", id_column], kind="stable", ignore_index=True)
         tokens = part["length"].to_numpy()
-        loss = np.minimum(np.maximum(tokens - 1, 0), limits[2])
+        loss = np.maximum(tokens - 1, 0)
+        if (tokens > limits[0]).any() or (loss > limits[2]).any():
+            raise ValueError("a piece is over a limit of its sequence")
         part["local"], part["offset"] = fill(np.stack([tokens, np.ones_like(tokens), loss], axis=1), limits)
         return part
 
@@ -189,6 +191,8 @@ def pack(pieces: DataFrame, length: int = LENGTH, most_segments: int = MOST_SEGM
         "part", "local", "before")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str | None = None, **options) -> DataFrame:
-    """Pieces of all documents, placed in sequences."""
-    return pack(land(pieces_of(docs, tokenizer), "pieces"), **options)
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, most_loss: int | None = None,
+                   **options) -> DataFrame:
+    """Pieces of all documents, placed in sequences; a piece is cut where it would pass the lower of both limits."""
+    cut = length if most_loss is None else min(length, most_loss + 1)
+    return pack(land(pieces_of(docs, tokenizer, cut), "pieces"), length=length, most_loss=most_loss, **options)

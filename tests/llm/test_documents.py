@@ -271,6 +271,14 @@ def test_pieces_hold_all_ids_once_within_the_limits(docs):
     assert sorted(got.sequence_id.unique()) == list(range(got.sequence_id.nunique()))
 
 
+def test_no_sequence_is_over_a_limit_on_loss_bearing_tokens(docs):
+    got = packing.pack_documents(docs, length=512, most_loss=100).toPandas()
+    loss = (got.length - 1).groupby(got.sequence_id).sum()
+    assert loss.max() <= 100 and got.groupby("sequence_id").length.sum().max() <= 512
+    pieces = got.drop_duplicates(["doc_id", "start"])
+    assert (pieces.groupby("doc_id").length.sum() == pieces.groupby("doc_id").doc_tokens.first()).all()
+
+
 def test_fill_respects_every_limit():
     import numpy as np
 
