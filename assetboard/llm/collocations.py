@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetboard.llm.common import BLOOM_BITS, slices, utf8_buffer
+from assetboard.llm.common import bloom_of_hashes, in_bits, slices, utf8_buffer
 from assetboard.session import land
 
 #: Codes of two bytes: their first byte is below 0xF8.
@@ -111,17 +111,6 @@ def word_table(docs: DataFrame, seeds=range(8)) -> tuple[DataFrame, int]:
     raise RuntimeError("two words share a hash under every seed")
 
 
-def filter_of(hashes: DataFrame, bits: int = BLOOM_BITS) -> np.ndarray:
-    """A filter of fixed size over a column of hashes."""
-    at = F.pmod("hash", F.lit(bits))
-    words = hashes.select(F.floor(at / 32).cast("int").alias("word"), F.expr(
-        f"shiftleft(1L, cast(pmod(hash, {bits}) % 32 as int))").alias("bit")).groupBy("word").agg(
-        F.bit_or("bit").alias("bit")).toPandas()
-    out = np.zeros(bits // 32, np.uint32)
-    out[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64).astype(np.uint32)
-    return out
-
-
 def word_codes(hashes: np.ndarray, common: np.ndarray, order: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Number of each word: 0 for rare, from 1 for common ones in order, beyond for others by their place."""
     number = np.arange(len(hashes)) + len(common) + 1
@@ -131,9 +120,7 @@ def word_codes(hashes: np.ndarray, common: np.ndarray, order: np.ndarray, bits:
         number[known] = order[at[known]] + 1
     else:
         known = np.zeros(len(hashes), bool)
-    position = hashes.view(np.int64) % (32 * len(bits))
-    rare = ~known & ((bits[position >> 5] >> (position & 31).astype(np.uint32)) & np.uint32(1) == 0)
-    number[rare] = 0
+    number[~known & ~in_bits(hashes, bits)] = 0
     return number
 
 
@@ -168,7 +155,7 @@ def count_windows(docs: DataFrame, words: DataFrame, seed: int, longest: int, le
     top = common_words(words, least_count).toPandas()
     common, order = top["hash"].to_numpy(np.int64).view(np.uint64), top["code"].to_numpy(np.int64)
     by_hash = np.argsort(common)
-    shared = docs.sparkSession.sparkContext.broadcast((common[by_hash], order[by_hash], filter_of(frequent)))
+    shared = docs.sparkSession.sparkContext.broadcast((common[by_hash], order[by_hash], bloom_of_hashes(frequent, "hash")))
 
     def run(batches):
         known, ranks, bits = shared.value

@@ -119,3 +119,19 @@ def maybe_in(rows: DataFrame, column: str, words: np.ndarray) -> Column:
         return pd.Series((shared.value[p >> 5] >> (p & 31).astype(np.uint32)) & np.uint32(1) == 1)
 
     return member(F.pmod(F.xxhash64(column), F.lit(bits)))
+
+
+def bloom_of_hashes(values: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray:
+    """Like ``bloom`` for a column that holds hashes already, so that tasks can ask it with ``in_bits``."""
+    words = values.select(F.floor(F.pmod(F.col(column), F.lit(bits)) / 32).cast("int").alias("word"), F.expr(
+        f"shiftleft(1L, cast(pmod({column}, {bits}) % 32 as int))").alias("bit")).groupBy("word").agg(
+        F.bit_or("bit").alias("bit")).toPandas()
+    out = np.zeros(bits // 32, np.uint32)
+    out[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64).astype(np.uint32)
+    return out
+
+
+def in_bits(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Which 64-bit hashes may be in a filter of ``bloom_of_hashes``."""
+    position = hashes.view(np.int64) % (32 * len(words))
+    return (words[position >> 5] >> (position & 31).astype(np.uint32)) & np.uint32(1) == 1

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetboard.llm import (cap_links, collocations, line_dedup, mixing, near_dedup, packing, sharding, suffix_lm,
-                            toxicity, vector_search, warc)
+from assetboard.llm import (cap_links, collocations, line_dedup, mixing, near_dedup, packing, sharding, spelling,
+                            suffix_lm, toxicity, vector_search, warc)
 from assetboard.llm import token_counts as tc
 from assetboard.llm.common import table
 
@@ -80,6 +80,11 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
@@ -100,7 +105,8 @@ ORACLES["op13_collocations"] = r"""
 with pieces as (
   select coalesce(lang, 'und') as lang, unnest(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) as piece from documents),
+-
+]')) as piece from documents),
 lists as (select lang, regexp_extract_all(piece, '[^ 	]+') as w from pieces),
 windows as (select lang, w, unnest(range(1, len(w) + 1)) as i from lists),
 phrases as (
