@@ -35,7 +35,7 @@ from assetboard.session import land
 #: Codes of two bytes: their first byte is below 0xF8.
 COMMON = 0xF800
 PAD, RARE, OTHER = b"\xfd", b"\xfe", b"\xff"
-SLICE_BYTES = 12_000_000
+SLICE_BYTES = 6_000_000
 SCALE = 1_000_000
 _ENDS = np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8)
 
@@ -87,7 +87,7 @@ def by_language(batches):
 
 
 def count_words(docs: DataFrame, seed: int) -> DataFrame:
-    """(hash, lang, word, n, apart) of all words; ``apart`` where two words have the hash."""
+    """(hash, lang, word, n) of all words."""
     def run(batches):
         for lang, texts in by_language(batches):
             words, at, _ = words_in_pieces(texts)
@@ -97,17 +97,15 @@ def count_words(docs: DataFrame, seed: int) -> DataFrame:
                  words.cast(pa.string()), pa.array(n)], names=["hash", "lang", "word", "n"])
 
     rows = docs.mapInArrow(run, "hash long, lang string, word string, n long")
-    word = F.struct("lang", "word")
-    return rows.groupBy("hash").agg(F.min(word).alias("w"), F.max(word).alias("v"), F.sum("n").alias("n")).select(
-        "hash", "w.lang", "w.word", "n", (F.col("w") != F.col("v")).alias("apart"))
+    return rows.groupBy("hash", "lang", "word").agg(F.sum("n").alias("n"))
 
 
 def word_table(docs: DataFrame, seeds=range(8)) -> tuple[DataFrame, int]:
     """The words with hashes of their own, and the seed that gave them."""
     for seed in seeds:
         words = land(count_words(docs, seed), "words")
-        if words.where("apart").isEmpty():
-            return words.drop("apart"), seed
+        if words.groupBy("hash").count().where("count > 1").isEmpty():
+            return words, seed
     raise RuntimeError("two words share a hash under every seed")
 
 
@@ -211,21 +209,20 @@ def code_size(code: Column) -> Column:
     return F.when(head == F.lit(OTHER), 9).when(head.isin(PAD, RARE), 1).otherwise(2)
 
 
-def split_window(window: Column, longest: int) -> list[Column]:
-    """The columns of a window; null for padding and for what is rare."""
-    out, rest = [], window
-    for _ in range(longest):
-        size = code_size(rest)
-        word = rest.substr(F.lit(1), size)
-        out.append(F.when(~word.isin(PAD, RARE), word))
-        rest = rest.substr(size + 1, F.length(rest))
-    return out
+def split_window(windows: DataFrame, names: list[str]) -> DataFrame:
+    """A window's words in columns; null for padding and for what is rare. One step a column, so none is done twice."""
+    out = windows.withColumnRenamed("window", "rest")
+    for name in names:
+        out = out.withColumn("size", code_size(F.col("rest")))
+        out = out.withColumn(name, F.when((F.col("size") > 1), F.expr("substring(rest, 1, size)")))
+        out = out.withColumn("rest", F.expr("substring(rest, size + 1)")) if name != names[-1] else out
+    return out.select(*names, "n")
 
 
 def count_phrases(windows: DataFrame, longest: int, least_count: int) -> DataFrame:
     """(phrase, words, n) of all phrases of one to ``longest`` words that occur often enough; words as codes."""
     names = [f"w{k + 1}" for k in range(longest)]
-    columns = windows.select(*[c.alias(n) for c, n in zip(split_window(F.col("window"), longest), names)], "n")
+    columns = split_window(windows, names)
     whole = columns.where(F.col("n") >= least_count).where(F.col(names[-1]).isNotNull()).select(
         F.array(*names).alias("words"), "n")
     sums = columns.rollup(*names[:-1]).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
@@ -273,7 +270,8 @@ def collocations(docs: DataFrame, longest: int = 3, least_count: int = 10, share
     plain = docs.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).cast("string").alias("text"))
     words, seed = word_table(plain)
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    windows = count_windows(plain, words, seed, longest, least_count)
+    # Written, since the whole windows and the sums of their prefixes both read them.
+    windows = land(count_windows(plain, words, seed, longest, least_count), "windows")
     phrases = land(count_phrases(windows, longest, least_count).select(
         phrase_key(F.col("words")).alias("phrase"), "words", F.size("words").alias("size"), "n"), "phrases")
     kept = without_covered(land(score_phrases(phrases, longest), "scored"), share)
