@@ -35,7 +35,9 @@ from assetboard.session import land
 #: Codes of two bytes: their first byte is below 0xF8.
 COMMON = 0xF800
 PAD, RARE, OTHER = b"\xfd", b"\xfe", b"\xff"
-SLICE_BYTES = 6_000_000
+SLICE_BYTES = 2_500_000
+#: Different words that a task counts before it passes them on.
+WORDS_AT_ONCE = 300_000
 SCALE = 1_000_000
 _ENDS = np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8)
 
@@ -88,13 +90,24 @@ def by_language(batches):
 
 def count_words(docs: DataFrame, seed: int) -> DataFrame:
     """(hash, lang, word, n) of all words."""
+    def passed_on(counts: dict[str, dict[bytes, int]]):
+        for lang, of in counts.items():
+            words = pa.array(of.keys(), pa.large_binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashed(words, lang, seed).view(np.int64)), pa.array([lang] * len(words), pa.string()),
+                 words.cast(pa.string()), pa.array(of.values(), pa.int64())], names=["hash", "lang", "word", "n"])
+
     def run(batches):
+        counts: dict[str, dict[bytes, int]] = {}
         for lang, texts in by_language(batches):
             words, at, _ = words_in_pieces(texts)
-            n = np.bincount(at, minlength=len(words)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hashed(words, lang, seed).view(np.int64)), pa.array([lang] * len(words), pa.string()),
-                 words.cast(pa.string()), pa.array(n)], names=["hash", "lang", "word", "n"])
+            of = counts.setdefault(lang, {})
+            for word, n in zip(words.to_pylist(), np.bincount(at, minlength=len(words)).tolist()):
+                of[word] = of.get(word, 0) + n
+            if sum(map(len, counts.values())) > WORDS_AT_ONCE:
+                yield from passed_on(counts)
+                counts = {}
+        yield from passed_on(counts)
 
     rows = docs.mapInArrow(run, "hash long, lang string, word string, n long")
     return rows.groupBy("hash", "lang", "word").agg(F.sum("n").alias("n"))
@@ -189,9 +202,9 @@ def count_windows(docs: DataFrame, words: DataFrame, seed: int, longest: int, le
                 frame = pd.DataFrame(dict(enumerate(parts))).value_counts(sort=False)
                 some, n = [frame.index.get_level_values(k).to_numpy() for k in range(longest)], frame.to_numpy()
             of_local = np.concatenate([[-1, 0], numbers])
-            coded = encoded([of_local[s] for s in some], hashes, len(known))
-            for low in range(0, len(n), 500_000):
-                yield pa.RecordBatch.from_arrays([coded.slice(low, 500_000).cast(pa.binary()), pa.array(n[low: low + 500_000].astype(np.int64))],
+            coded, n = encoded([of_local[s] for s in some], hashes, len(known)), n.astype(np.int64)
+            for low in range(0, len(n), 200_000):
+                yield pa.RecordBatch.from_arrays([coded.slice(low, 200_000).cast(pa.binary()), pa.array(n[low: low + 200_000])],
                                                  names=["window", "n"])
 
     return docs.mapInArrow(run, "window binary, n long").groupBy("window").agg(F.sum("n").alias("n"))
@@ -203,34 +216,43 @@ def common_words(words: DataFrame, least_count: int) -> DataFrame:
     return top.select("hash", (F.row_number().over(Window.orderBy(F.desc("n"), "hash")) - 1).alias("code"))
 
 
-def code_size(code: Column) -> Column:
-    """Bytes of the word code that starts a binary."""
-    head = F.substring(code, 1, 1)
-    return F.when(head == F.lit(OTHER), 9).when(head.isin(PAD, RARE), 1).otherwise(2)
+def with_prefixes(windows: DataFrame, longest: int) -> DataFrame:
+    """(p1, ..., n): the prefixes of each window, null from the first padded or rare word on. One step a word."""
+    out = windows.withColumn("upto", F.lit(0))
+    for k in range(1, longest + 1):
+        head = F.expr("substring(window, upto + 1, 1)")
+        out = out.withColumn("size", F.when(head == F.lit(OTHER), 9).when(head.isin(PAD, RARE), 1).otherwise(2))
+        out = out.withColumn("upto", F.col("upto") + F.col("size"))
+        out = out.withColumn(f"p{k}", F.when(F.col("size") > 1, F.expr("substring(window, 1, upto)")))
+    return out.select(*[f"p{k}" for k in range(1, longest + 1)], "n")
 
 
-def split_window(windows: DataFrame, names: list[str]) -> DataFrame:
-    """A window's words in columns; null for padding and for what is rare. One step a column, so none is done twice."""
-    out = windows.withColumnRenamed("window", "rest")
-    for name in names:
-        out = out.withColumn("size", code_size(F.col("rest")))
-        out = out.withColumn(name, F.when((F.col("size") > 1), F.expr("substring(rest, 1, size)")))
-        out = out.withColumn("rest", F.expr("substring(rest, size + 1)")) if name != names[-1] else out
-    return out.select(*names, "n")
+def split_phrase(rows: DataFrame, phrase: str, words: int) -> DataFrame:
+    """``rows`` with the codes of ``phrase``, which has so many words, in an array. One step a word, so none is done twice."""
+    out = rows.withColumn("rest", F.col(phrase))
+    for k in range(words):
+        size = F.when(F.expr("substring(rest, 1, 1)") == F.lit(OTHER), 9).otherwise(2)
+        out = out.withColumn("size", size).withColumn(f"code{k}", F.expr("substring(rest, 1, size)"))
+        out = out.withColumn("rest", F.expr("substring(rest, size + 1)"))
+    return out.select(*rows.columns, F.array(*[f"code{k}" for k in range(words)]).alias("words"))
 
 
 def count_phrases(windows: DataFrame, longest: int, least_count: int) -> DataFrame:
-    """(phrase, words, n) of all phrases of one to ``longest`` words that occur often enough; words as codes."""
-    names = [f"w{k + 1}" for k in range(longest)]
-    columns = split_window(windows, names)
-    whole = columns.where(F.col("n") >= least_count).where(F.col(names[-1]).isNotNull()).select(
-        F.array(*names).alias("words"), "n")
-    sums = columns.rollup(*names[:-1]).agg(F.sum("n").alias("n"), F.grouping_id().alias("level"))
-    # The last columns are summed over, by the bits of the level; a null within is padding or rare.
-    size = F.lit(longest - 1) - F.length(F.regexp_replace(F.bin("level"), "0", ""))
-    shorter = sums.where((F.col("n") >= least_count) & (size > 0)).select(
-        F.slice(F.array(*names[:-1]), 1, size).alias("words"), "n").where(F.element_at("words", -1).isNotNull())
-    return whole.union(shorter)
+    """(phrase, words, size, n) of all phrases of one to ``longest`` words that occur often enough; words as codes.
+
+    ROLLUP sums over the prefixes of windows, from the second longest to the first word.
+    """
+    names, windows = [f"p{k}" for k in range(1, longest + 1)], with_prefixes(windows, longest)
+    often = F.col("n") >= least_count
+    sums = windows.rollup(*names[:-1]).agg(F.sum("n").alias("n"), F.grouping_id().alias("level")).where(often)
+    out = None
+    for k in range(1, longest + 1):
+        # With k words the last longest - 1 - k columns are summed over, and the longest windows are counted as they are.
+        of_level = windows.where(often) if k == longest else sums.where(F.col("level") == (1 << (longest - 1 - k)) - 1)
+        part = of_level.where(F.col(names[k - 1]).isNotNull()).select(F.col(names[k - 1]).alias("phrase"), "n")
+        part = split_phrase(part, "phrase", k).select("phrase", "words", F.lit(k).alias("size"), "n")
+        out = part if out is None else out.union(part)
+    return out
 
 
 def phrase_key(words: Column) -> Column:
@@ -272,8 +294,7 @@ def collocations(docs: DataFrame, longest: int = 3, least_count: int = 10, share
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     # Written, since the whole windows and the sums of their prefixes both read them.
     windows = land(count_windows(plain, words, seed, longest, least_count), "windows")
-    phrases = land(count_phrases(windows, longest, least_count).select(
-        phrase_key(F.col("words")).alias("phrase"), "words", F.size("words").alias("size"), "n"), "phrases")
+    phrases = land(count_phrases(windows, longest, least_count), "phrases")
     kept = without_covered(land(score_phrases(phrases, longest), "scored"), share)
 
     # Codes back to words; all words of a phrase have one language.
