@@ -30,12 +30,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assetboard.llm.common import bloom_of_hashes, in_bits, slices, utf8_buffer
-from assetboard.session import land
+from assetboard.session import land, scratch_path
 
 #: Codes of two bytes: their first byte is below 0xF8.
 COMMON = 0xF800
 PAD, RARE, OTHER = b"\xfd", b"\xfe", b"\xff"
-SLICE_BYTES = 2_500_000
+SLICE_BYTES = 1_200_000
 #: Different words that a task counts before it passes them on.
 WORDS_AT_ONCE = 300_000
 SCALE = 1_000_000
@@ -293,7 +293,9 @@ def collocations(docs: DataFrame, longest: int = 3, least_count: int = 10, share
     words, seed = word_table(plain)
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     # Written, since the whole windows and the sums of their prefixes both read them.
-    windows = land(count_windows(plain, words, seed, longest, least_count), "windows")
+    path = scratch_path(docs.sparkSession, "windows")
+    count_windows(plain, words, seed, longest, least_count).write.option("compression", "zstd").parquet(path)
+    windows = docs.sparkSession.read.schema("window binary, n long").parquet(path)
     phrases = land(count_phrases(windows, longest, least_count), "phrases")
     kept = without_covered(land(score_phrases(phrases, longest), "scored"), share)
 
