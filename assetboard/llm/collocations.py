@@ -35,9 +35,9 @@ from assetboard.session import land, scratch_path
 #: Codes of two bytes: their first byte is below 0xF8.
 COMMON = 0xF800
 PAD, RARE, OTHER = b"\xfd", b"\xfe", b"\xff"
-SLICE_BYTES = 1_200_000
+SLICE_BYTES = 2_500_000
 #: Different words that a task counts before it passes them on.
-WORDS_AT_ONCE = 300_000
+WORDS_AT_ONCE = 100_000
 SCALE = 1_000_000
 _ENDS = np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8)
 
@@ -79,13 +79,13 @@ def hashed(words: pa.Array, lang: str, seed: int) -> np.ndarray:
 
 
 def by_language(batches):
-    """(language, texts) of runs of rows with one language and bounded bytes."""
+    """(language, texts) of runs of rows with bounded bytes."""
     for batch in batches:
         langs = pa.compute.fill_null(batch.column(0).cast(pa.string()), "und")
-        for lang in pa.compute.unique(langs).to_pylist():
-            texts = batch.column(1).filter(pa.compute.equal(langs, lang))
-            for start, stop in slices(texts, SLICE_BYTES):
-                yield lang, texts.slice(start, stop - start)
+        for start, stop in slices(batch.column(1), SLICE_BYTES):
+            of, texts = langs.slice(start, stop - start), batch.column(1).slice(start, stop - start)
+            for lang in pa.compute.unique(of).to_pylist():
+                yield lang, texts.filter(pa.compute.equal(of, lang))
 
 
 def count_words(docs: DataFrame, seed: int) -> DataFrame:
