@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
-from assetboard.operators.metrics import roc_auc
+from assetboard.operators.boosting import BoostedBoards, BoostSettings, Spec, fit_boosted_boards
+from assetboard.operators.forest import forest_predictions
+from assetboard.operators.metrics import regression_metrics, roc_auc
 from assetboard.operators.ordering import hash_positions, prefix_sums
-from assetboard.operators.quality import fit_imputer, usable_features
+from assetboard.operators.quality import fit_imputer
 from assetboard.session import land
 
 # Seed, folds, leaf size, quantile of assets without history, hidden layers.
@@ -181,39 +181,6 @@ def fit_network(train: DataFrame, validation: DataFrame, label: str, n_features:
 
 # --- board regressors ---------------------------------------------------------------------------
 
-def tree_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], out: str = "features") -> PipelineModel:
-    """Tree input with missing values kept apart.
-
-    Trees take no NaN, so a missing number becomes a value below the column's minimum: one split
-    isolates it.
-    """
-    low = train.agg(*[F.min(F.col(c).cast("double")).alias(f"_l{i}") for i, c in enumerate(numeric)]).first()
-    filled = ", ".join(f"coalesce(double(`{c}`), {(low[i] or 0.0) - 1.0!r}D) AS `t_{c}`" for i, c in enumerate(numeric))
-    return _tree_pipeline(train, filled, numeric, categorical, out)
-
-
-def baseline_features(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], out: str = "features") -> PipelineModel:
-    """Median for missing numbers, most frequent value for missing categories."""
-    fills = fit_imputer(train, numeric, categorical)
-    filled = ", ".join(f"coalesce(double(`{c}`), {float(fills.get(c) or 0.0)!r}D) AS `t_{c}`" for c in numeric)
-    return _tree_pipeline(train, filled, numeric, categorical, out, fills)
-
-
-def _tree_pipeline(train, filled, numeric, categorical, out, fills: Mapping | None = None) -> PipelineModel:
-    categories = ", ".join(
-        f"coalesce(`{c}`, {_sql_text((fills or {}).get(c, 'Unknown'))}) AS `c_{c}`" for c in categorical)
-    stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(x for x in (filled, categories) if x)} FROM __THIS__")]
-    if categorical:
-        stages.append(StringIndexer(inputCols=[f"c_{c}" for c in categorical], outputCols=[f"i_{c}" for c in categorical],
-                                    handleInvalid="keep", stringOrderType="alphabetAsc"))
-    stages.append(VectorAssembler(inputCols=[f"t_{c}" for c in numeric] + [f"i_{c}" for c in categorical], outputCol=out))
-    return Pipeline(stages=stages).fit(train)
-
-
-def _sql_text(value: str) -> str:
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 @dataclass(frozen=True)
 class TreeSettings:
     """Sizes of the tree fits. The defaults are full fits; smaller ones must be asked for."""
@@ -221,104 +188,34 @@ class TreeSettings:
     iterations: int = 100
     depth: int = 5
     step: float = 0.1
+    #: Trees of the comparison forest, which are grown until their leaves are pure.
     trees: int = 300
-    #: Depth of the comparison forest, which is grown as far as Spark allows unless told otherwise.
-    forest_depth: int = 30
     min_leaf: int = MIN_LEAF
-    max_bins: int = 64
     seed: int = SEED
 
 
-#: Partitions of a training frame, whatever the session's shuffle setting: bagging follows the partitioning.
-FIT_PARTITIONS = 8
-
-
-def ordered_for_fit(df: DataFrame, ids: Sequence[str], partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """Fixed partitioning and row order, since tree sampling depends on both."""
-    return df.repartition(partitions, *ids).sortWithinPartitions(*ids)
-
-
-def fit_boosted(train: DataFrame, log_target: str, weight: str | None, numeric, categorical, settings: TreeSettings) -> PipelineModel:
-    """Boosted trees on the log target."""
-    prepared = tree_features(train, numeric, categorical)
-    learner = GBTRegressor(labelCol=log_target, maxIter=settings.iterations, maxDepth=settings.depth, stepSize=settings.step,
-                           minInstancesPerNode=settings.min_leaf, maxBins=settings.max_bins, seed=settings.seed,
-                           predictionCol="log_prediction")
-    if weight:
-        learner = learner.setWeightCol(weight)
-    return PipelineModel(stages=[*prepared.stages, learner.fit(prepared.transform(train))])
-
-
-def fit_forest(train: DataFrame, log_target: str, weight: str | None, numeric, categorical, settings: TreeSettings) -> PipelineModel:
-    """The comparison baseline: imputed inputs, all features at every split."""
-    prepared = baseline_features(train, numeric, categorical)
-    learner = RandomForestRegressor(labelCol=log_target, numTrees=settings.trees, maxDepth=settings.forest_depth, maxBins=settings.max_bins,
-                                    featureSubsetStrategy="all", seed=settings.seed, predictionCol="log_prediction")
-    if weight:
-        learner = learner.setWeightCol(weight)
-    return PipelineModel(stages=[*prepared.stages, learner.fit(prepared.transform(train))])
+#: The models of every board: the mean, and the quantile for assets without history.
+BOARD_SPECS = (Spec(), Spec("quantile", RISK_QUANTILE))
 
 
 @dataclass
-class QuantileForest:
-    """A forest whose leaves hold a weighted quantile of the log target instead of its mean."""
-
-    model: PipelineModel
-    leaf_values: list[list[float]] = field(repr=False)
+class BoardFits:
+    """Fitted models of all boards, for the assets they were fitted on or for changed features later."""
 
-    def transform(self, df: DataFrame, out: str = "log_quantile") -> DataFrame:
-        """Average leaf quantile over the trees: a column expression, no shuffle."""
-        table = F.from_json(F.lit(json.dumps(self.leaf_values)), "array<array<double>>")
-        leaves = vector_to_array("_leaf")
-        values = F.transform(leaves, lambda leaf, tree: F.get(F.get(table, tree), leaf.cast("int")))
-        mean = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v) / F.size(values)
-        return self.model.transform(df).withColumn(out, mean).drop("_leaf")
-
-
-def fit_quantile_forest(train: DataFrame, log_target: str, weight: str | None, numeric, categorical, ids: Sequence[str],
-                        settings: TreeSettings, quantile: float = RISK_QUANTILE) -> QuantileForest:
-    """Grow a forest, then replace each leaf by the weighted quantile of its training rows.
-
-    Cumulative weights inside a leaf are distributed prefix sums, so a leaf may hold any share of
-    the rows. The fitted table has at most trees * 2^depth entries.
-    """
-    rows = train.withColumn("_w", F.col(weight).cast("double") if weight else F.lit(1.0))
-    prepared = tree_features(rows, numeric, categorical)
-    learner = RandomForestRegressor(labelCol=log_target, weightCol="_w", numTrees=settings.trees, maxDepth=settings.depth,
-                                    minInstancesPerNode=settings.min_leaf, maxBins=settings.max_bins, seed=settings.seed,
-                                    predictionCol="_forest_mean", leafCol="_leaf")
-    model = PipelineModel(stages=[*prepared.stages, learner.fit(prepared.transform(rows))])
-    placed = model.transform(rows).select(
-        F.posexplode(vector_to_array("_leaf")).alias("tree", "leaf"), F.col(log_target).alias("y"), "_w")
-    # Equal targets in a leaf act as one step of the cumulative weight, so they are combined first.
-    steps = placed.groupBy("tree", F.col("leaf").cast("int").alias("leaf"), "y").agg(F.sum("_w").alias("w"))
-    running = prefix_sums(steps, ["tree", "leaf"], [F.col("y")], {"before": "w"}, {"total": "before"})
-    reached = running.where(F.col("before") + F.col("w") >= F.col("total") * F.lit(quantile) - 1e-12)
-    found = reached.groupBy("tree", "leaf").agg(F.min("y").alias("q")).collect()
-    table = [[0.0] * (1 + max((r["leaf"] for r in found if r["tree"] == i), default=0)) for i in range(settings.trees)]
-    for r in found:
-        table[r["tree"]][r["leaf"]] = r["q"]
-    return QuantileForest(model, table)
-
-
-@dataclass
-class BoardFit:
-    """Fitted models of one board and what is needed to score changed features later."""
-
-    mean_model: PipelineModel
-    quantile_model: QuantileForest
-    numeric: list[str]
-    categorical: list[str]
+    models: BoostedBoards
 
     def predict(self, features: DataFrame, history: str = "career_games") -> DataFrame:
         """Mean prediction, quantile prediction, and the one that counts: the quantile without history."""
-        drop = [c for c in ("features", *[f"t_{c}" for c in self.numeric], *[f"c_{c}" for c in self.categorical],
-                            *[f"i_{c}" for c in self.categorical])]
-        mean = self.mean_model.transform(features).drop(*drop)
-        both = self.quantile_model.transform(mean).drop(*drop, "_forest_mean")
-        return final_prediction(
-            both.withColumn("mean_prediction", F.exp("log_prediction")).withColumn("quantile_prediction", F.exp("log_quantile"))
-            .drop("log_prediction", "log_quantile"), history)
+        both = self.models.score(features, {"_log_mean": 0, "_log_low": 1})
+        both = both.withColumn("mean_prediction", F.exp("_log_mean")).withColumn("quantile_prediction", F.exp("_log_low"))
+        return final_prediction(both.drop("_log_mean", "_log_low"), history)
+
+    def save(self, path: str, spark) -> None:
+        self.models.save(path, spark)
+
+    @classmethod
+    def load(cls, path: str, spark) -> "BoardFits":
+        return cls(BoostedBoards.load(path, spark))
 
 
 def final_prediction(df: DataFrame, history: str = "career_games") -> DataFrame:
@@ -334,26 +231,39 @@ def rookie_discount(predictions: DataFrame, boards: Sequence[str]) -> DataFrame:
         F.count("*").alias("n_rookies"), (F.avg(cut) * 100).alias("mean_discount_pct"))
 
 
-def fit_board(train: DataFrame, target: str, weight: str | None, numeric: Sequence[str], categorical: Sequence[str],
-              ids: Sequence[str], settings: TreeSettings = TreeSettings()) -> BoardFit:
-    """Mean and quantile models of one board on the log target; columns that do not vary are left out."""
-    usable = usable_features(train, [*numeric, *categorical])
-    num, cat = [c for c in numeric if c in usable], [c for c in categorical if c in usable]
-    rows = land(ordered_for_fit(train.withColumn("_log_target", F.ln(target)), ids), "fit-rows")
-    mean = fit_boosted(rows, "_log_target", weight, num, cat, settings)
-    low = fit_quantile_forest(rows, "_log_target", weight, num, cat, ids, settings)
-    return BoardFit(mean, low, num, cat)
+def fit_rows(train: DataFrame, keys: Sequence[str], ids: Sequence[str], target: str, weight: str | None, numeric: Sequence[str],
+             categorical: Sequence[str], more: Sequence[str] = ()) -> DataFrame:
+    """The columns that fits read, with the log target, written once."""
+    named = dict.fromkeys([*keys, *ids, target, *([weight] if weight else []), *numeric, *categorical, *more])
+    return land(train.select(*named, F.ln(target).alias("_log_target")), "fit-rows")
+
+
+def boosted(rows: DataFrame, keys, ids, weight, numeric, categorical, specs, settings: TreeSettings, fold: str | None = None) -> BoostedBoards:
+    sizes = BoostSettings(settings.iterations, settings.depth, settings.step, settings.min_leaf)
+    return fit_boosted_boards(rows, keys, ids, "_log_target", weight, numeric, categorical, specs, sizes, fold)
 
 
-def fit_boards(train: DataFrame, boards: Sequence[tuple], keys: Sequence[str], target: str, weight: str | None,
-               numeric: Sequence[str], categorical: Sequence[str], ids: Sequence[str], settings: TreeSettings = TreeSettings(),
-               parallel: int = 3) -> dict[tuple, BoardFit]:
-    """One fit per board. Each fit is a distributed job; a few run at a time so that their stages overlap."""
+def fit_boards(train: DataFrame, keys: Sequence[str], target: str, weight: str | None, numeric: Sequence[str],
+               categorical: Sequence[str], ids: Sequence[str], settings: TreeSettings = TreeSettings()) -> BoardFits:
+    """Mean and quantile models of every board on the log target, all in lock-step. No ``keys`` make one board."""
+    rows = fit_rows(train, keys, ids, target, weight, numeric, categorical)
+    return BoardFits(boosted(rows, keys, ids, weight, numeric, categorical, BOARD_SPECS, settings))
 
-    def one(board: tuple) -> BoardFit:
-        return fit_board(train.where(board_is(keys, board)), target, weight, numeric, categorical, ids, settings)
 
-    return dict(zip(boards, overlapped(one, boards, parallel)))
+def out_of_fold(train: DataFrame, keys: Sequence[str], target: str, weight: str | None, numeric: Sequence[str],
+                categorical: Sequence[str], ids: Sequence[str], settings: TreeSettings = TreeSettings(), k: int = FOLDS,
+                spec: Spec = Spec(), out: str = "oof_prediction") -> DataFrame:
+    """Keys, ids, target, weight and fold of every row, and its prediction by a model of its board that has not seen it.
+
+    Folds are a dimension of the fit: all boards and folds grow together. Boards of one row have no folds and no rows here.
+    """
+    rows = fit_rows(train, keys, ids, target, weight, numeric, categorical)
+    placed = hash_positions(rows, keys, ids, settings.seed, "_at", "_size").where("_size > 1")
+    folded = land(placed.withColumn("fold", F.pmod("_at", F.least(F.col("_size"), F.lit(k))).cast("int")).drop("_at", "_size"), "folds")
+    specs = [replace(spec, held_out=i) for i in range(k)]
+    models = boosted(folded, keys, ids, weight, numeric, categorical, specs, settings, "fold")
+    kept = dict.fromkeys([*keys, *ids, target, *([weight] if weight else []), "fold"])
+    return models.score(folded, {"_log": 0}, "fold").select(*kept, F.exp("_log").alias(out))
 
 
 def overlapped(job: Callable, items: Sequence, parallel: int = 3) -> list:
@@ -373,54 +283,43 @@ def board_is(keys: Sequence[str], board: Sequence) -> Column:
     return condition
 
 
-def predict_boards(features: DataFrame, members: DataFrame, fits: Mapping[tuple, BoardFit], keys: Sequence[str], asset: str,
-                   history: str = "career_games") -> DataFrame:
-    """Score every board with its own fitted models, on the assets it was fitted for."""
-    columns = [*members.columns, "mean_prediction", "quantile_prediction", "is_rookie", "model_value"]
-    return stacked([
-        fit.predict(members.where(board_is(keys, board)).join(features, asset), history).select(*columns)
-        for board, fit in fits.items()
-    ])
+def predict_boards(features: DataFrame, members: DataFrame, fits: BoardFits, asset: str, history: str = "career_games") -> DataFrame:
+    """Score every board's assets (``members``: board keys and asset) by the board's own models."""
+    scored = fits.predict(members.join(features, asset), history)
+    return scored.select(*members.columns, "mean_prediction", "quantile_prediction", "is_rookie", "model_value")
 
 
-def save_fit(fit: BoardFit, path: str, spark) -> None:
-    """Write both pipelines and their settings under one folder."""
-    fit.mean_model.write().overwrite().save(f"{path}/mean")
-    fit.quantile_model.model.write().overwrite().save(f"{path}/quantile")
-    row = (fit.numeric, fit.categorical, fit.quantile_model.leaf_values)
-    spark.createDataFrame([row], "numeric array<string>, categorical array<string>, leaf_values array<array<double>>").write.mode(
-        "overwrite").parquet(f"{path}/settings")
+def fit_forests(train: DataFrame, keys: Sequence[str], target: str, weight: str | None, numeric: Sequence[str], categorical: Sequence[str],
+                ids: Sequence[str], settings: TreeSettings = TreeSettings(), k: int | None = None, out: str = "model_value") -> DataFrame:
+    """Keys, ids, target and the comparison forest's prediction of every row; with ``k`` folds, out of fold."""
+    rows = fit_rows(train, keys, ids, target, weight, numeric, categorical)
+    if k:
+        placed = hash_positions(rows, keys, ids, settings.seed, "_at", "_size").where("_size > 1")
+        rows = land(placed.withColumn("fold", F.pmod("_at", F.least(F.col("_size"), F.lit(k))).cast("int")).drop("_at", "_size"), "folds")
+    found = forest_predictions(rows, keys, ids, "_log_target", weight, numeric, categorical, settings.trees, settings.seed,
+                               fold="fold" if k else None, out="_log")
+    named = list(dict.fromkeys([*keys, *ids]))
+    return rows.select(*named, target).join(found.select(*named, F.exp("_log").alias(out)), named)
 
 
-def load_fit(path: str, spark) -> BoardFit:
-    row = spark.read.parquet(f"{path}/settings").first()
-    forest = QuantileForest(PipelineModel.load(f"{path}/quantile"), [list(x) for x in row["leaf_values"]])
-    return BoardFit(PipelineModel.load(f"{path}/mean"), forest, list(row["numeric"]), list(row["categorical"]))
+def with_group(df: DataFrame, group: str, value: str, out: str = "fit_group") -> DataFrame:
+    return df.withColumn(out, F.when(F.col(group) == value, F.lit(value)).otherwise(F.lit("rest")))
 
 
-def fit_groups(train: DataFrame, group: str, value: str, target: str, weight: str | None, numeric, categorical, ids: Sequence[str],
-               settings: TreeSettings = TreeSettings()) -> DataFrame:
-    """Separate fits for one group and for the rest, scored on their own rows and stacked."""
+def fit_groups(train: DataFrame, keys: Sequence[str], group: str, value: str, target: str, weight: str | None, numeric, categorical,
+               ids: Sequence[str], settings: TreeSettings = TreeSettings()) -> tuple[BoardFits, DataFrame]:
+    """Separate models for one group of each board and for the rest: the fits, and the rows scored by them.
 
-    def one(part: tuple[str, DataFrame]) -> DataFrame:
-        fit = fit_board(part[1], target, weight, numeric, categorical, ids, settings)
-        return fit.predict(part[1]).withColumn("fit_group", F.lit(part[0]))
-
-    parts = [(value, train.where(F.col(group) == value)), ("rest", train.where(~F.col(group).eqNullSafe(F.lit(value))))]
-    return stacked(overlapped(one, parts, 2))
-
-
-def out_of_fold(df: DataFrame, ids: Sequence[str], fit: Callable[[DataFrame], Transformer], k: int = FOLDS, fold: str = "fold",
-                prediction: str = "log_prediction", out: str = "oof_prediction", seed: int = SEED) -> DataFrame:
-    """Prediction of every row by a model that has not seen it; empty when there are fewer than two rows."""
-    rows = land(assign_folds(df, ids, k, seed=seed, out=fold), "folds")
-    folds = [r[fold] for r in rows.select(fold).distinct().orderBy(fold).collect()]
-    if len(folds) < 2:
-        return rows.withColumn(out, F.lit(None).cast("double")).where(F.lit(False))
+    The group is one more key, so its models grow in lock-step with all others.
+    """
+    rows = with_group(train, group, value)
+    fits = fit_boards(rows, [*keys, "fit_group"], target, weight, numeric, categorical, ids, settings)
+    return fits, fits.predict(rows)
 
-    def one(i: int) -> DataFrame:
-        # Written once: each median, mode, indexer and tree pass would repeat the sort.
-        model = fit(land(ordered_for_fit(rows.where(F.col(fold) != i), ids), "fold"))
-        return model.transform(rows.where(F.col(fold) == i)).select(*rows.columns, F.exp(prediction).alias(out))
 
-    return stacked(overlapped(one, folds))
+def group_metrics(train: DataFrame, keys: Sequence[str], group: str, value: str, target: str, weight: str | None, numeric, categorical,
+                  ids: Sequence[str], settings: TreeSettings = TreeSettings(), k: int = FOLDS) -> DataFrame:
+    """Out-of-fold metrics of separate models: per board and group, and pooled over a board's groups."""
+    scored = land(out_of_fold(with_group(train, group, value), [*keys, "fit_group"], target, weight, numeric, categorical, ids, settings, k), "oof-groups")
+    parts = scored.unionByName(scored.withColumn("fit_group", F.lit("pooled")))
+    return regression_metrics(land(parts, "oof-parts"), [*keys, "fit_group"], target, "oof_prediction", ids[0])

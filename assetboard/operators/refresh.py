@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,7 +10,7 @@ from assetboard.functions.numeric import shrink_weight
 from assetboard.operators.features import PRODUCTION_COLUMNS
 from assetboard.operators.boards import BOARD, assemble_board
 from assetboard.operators.joins import safe_left_join
-from assetboard.operators.learning import BoardFit, predict_boards
+from assetboard.operators.learning import BoardFits, predict_boards
 from assetboard.sources.sinks import write_snapshot
 
 # Games below which in-season data has no weight, and the prior's weight in games.
@@ -49,7 +49,7 @@ def blend_in_season(features: DataFrame, partial: DataFrame, asset: str, columns
     return joined.select(*out)
 
 
-def recompute_board(features: DataFrame, partial: DataFrame | None, fits: Mapping[tuple, BoardFit], targets: DataFrame,
+def recompute_board(features: DataFrame, partial: DataFrame | None, fits: BoardFits, targets: DataFrame,
                     names: DataFrame, picks: DataFrame, asset: str, columns: Sequence[str] = PRODUCTION_COLUMNS,
                     snapshot: tuple[str, str] | None = None) -> DataFrame:
     """All boards with the fitted models and the season to date; no refit.
@@ -58,7 +58,7 @@ def recompute_board(features: DataFrame, partial: DataFrame | None, fits: Mappin
     the assets each board was fitted on. ``snapshot`` is (path, date) of a dated copy.
     """
     current = features if partial is None else blend_in_season(features, partial, asset, columns)
-    scored = predict_boards(current, targets, fits, BOARD, asset)
+    scored = predict_boards(current, targets, fits, asset)
     board = assemble_board(scored, names, current, picks, asset)
     if snapshot:
         write_snapshot(board, snapshot[0], snapshot[1])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -12,11 +12,9 @@ from assetboard.functions.text import normalize_name
 from assetboard.operators import boards, features, identity, picks, quality
 from assetboard.operators.boards import BOARD
 from assetboard.operators.consensus import blend_consensus, rank_power_weights
-from assetboard.operators.learning import (FOLDS, BoardFit, TreeSettings, board_is, fit_boards, fit_boosted, fit_forest, out_of_fold,
-                                           predict_boards, stacked)
+from assetboard.operators.learning import FOLDS, BoardFits, TreeSettings, fit_boards, fit_forests, out_of_fold, predict_boards
 from assetboard.operators.metrics import regression_metrics
 from assetboard.operators.ordering import keep_one
-from assetboard.operators.quality import usable_features
 from assetboard.session import land
 from assetboard.sources.sinks import write_boards
 
@@ -57,7 +55,7 @@ class Run:
     features: DataFrame
     targets: DataFrame
     picks: DataFrame
-    fits: Mapping[tuple, BoardFit]
+    fits: BoardFits
     board: DataFrame
     #: Out-of-fold Spearman, MAE and MAE of the top 50 per board and model; null without validation.
     metrics: DataFrame | None = None
@@ -168,32 +166,25 @@ def weekly_run(s: Sources, season: int, settings: TreeSettings = TreeSettings(),
     universe = land(picks.pick_universe(
         s.prices.where(F.col("position") == "PICK").select(*BOARD, "name", "value"),
         s.page_dynasty.where(F.col("position") == "RDP").select("name", "sf_value", "oneqb_value")), "picks")
-    every = [(f, n) for f in formats for n in sizes]
-    fits = fit_boards(targets.join(table, "gsis_id"), every, BOARD, "consensus_value", "sample_weight", features.NUMERIC_FEATURES,
-                      features.CATEGORICAL_FEATURES, ["gsis_id"], settings)
-    scored = predict_boards(table, targets, fits, BOARD, "gsis_id")
+    wanted = F.col("format").isin(*formats) & F.col("team_size").isin(*sizes)
+    train, chosen = targets.join(table, "gsis_id").where(wanted), targets.where(wanted)
+    fit = ("consensus_value", "sample_weight", features.NUMERIC_FEATURES, features.CATEGORICAL_FEATURES, ["gsis_id"], settings)
+    fits = fit_boards(train, BOARD, *fit)
+    scored = predict_boards(table, chosen, fits, "gsis_id")
     names = identity.key_view(crosswalk, "gsis_id", ["name"], [F.asc("mfl_id")])
     board = land(boards.assemble_board(scored, names, table, universe, "gsis_id"), "board")
     gates.check("board", board, [quality.NotNull("name"), quality.NotNull("model_value"), quality.NotNull("consensus_value"),
                                  quality.Unique((*BOARD, "asset_id"))])
-    validated = validate(targets.join(table, "gsis_id"), every, settings, folds) if folds else None
+    validated = validate(train, fit, folds) if folds else None
     return Run(crosswalk, table, targets, universe, fits, board, validated, gates.report)
 
 
-def validate(train: DataFrame, every: Sequence[tuple], settings: TreeSettings, folds: int) -> DataFrame:
+def validate(train: DataFrame, fit: tuple, folds: int) -> DataFrame:
     """Out-of-fold metrics of the boosted model and of the comparison forest, per board."""
-    rows = land(train.withColumn("_log_target", F.ln("consensus_value")).repartition(*BOARD), "validation")
-    parts = []
-    for name, learner in (("boosted", fit_boosted), ("forest", fit_forest)):
-        for each in every:
-            mine = rows.where(board_is(BOARD, each))
-            usable = usable_features(mine, [*features.NUMERIC_FEATURES, *features.CATEGORICAL_FEATURES])
-            numeric = [c for c in features.NUMERIC_FEATURES if c in usable]
-            categorical = [c for c in features.CATEGORICAL_FEATURES if c in usable]
-            fit = lambda df, f=learner, n=numeric, c=categorical: f(df, "_log_target", "sample_weight", n, c, settings)
-            scored = out_of_fold(mine, ["gsis_id"], fit, k=folds)
-            parts.append(scored.select(F.lit(name).alias("model"), *BOARD, "gsis_id", "consensus_value", "oof_prediction"))
-    return land(regression_metrics(land(stacked(parts), "oof"), ["model", *BOARD], "consensus_value", "oof_prediction", "gsis_id"), "oof-metrics")
+    columns = [*BOARD, "gsis_id", "consensus_value", "oof_prediction"]
+    boosted = out_of_fold(train, BOARD, *fit, k=folds).select(F.lit("boosted").alias("model"), *columns)
+    forest = fit_forests(train, BOARD, *fit, k=folds, out="oof_prediction").select(F.lit("forest").alias("model"), *columns)
+    return land(regression_metrics(land(boosted.unionByName(forest), "oof"), ["model", *BOARD], "consensus_value", "oof_prediction", "gsis_id"), "oof-metrics")
 
 
 def publish(run: Run, path: str, season: int) -> tuple[DataFrame, DataFrame]:

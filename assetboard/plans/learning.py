@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from assetboard.functions.numeric import grid_round
-from assetboard.operators import boards, learning, marts, metrics, picks, quality, refresh
+from assetboard.operators import boards, learning, marts, metrics, picks, quality, refresh, runs
 from assetboard.operators.consensus import rank_power_weights
 from assetboard.plans.panels import feature_frame, to_date_frame
 from assetboard.plans.profiles import labelled_reps
@@ -21,6 +21,8 @@ NUMERIC = ["games", "points", "yards", "share_a", "share_b", "career_games", "se
 CATEGORICAL = ["position"]
 # The registered queries fit at the library's full defaults, as weekly_run does.
 QUERY_SETTINGS = learning.TreeSettings()
+# Separate models of groups have larger leaves, a fixed value.
+SPLIT_SETTINGS = learning.TreeSettings(min_leaf=20)
 DELAY_NUMERIC = ["distance", "fare", "booked_month"]
 DELAY_CATEGORICAL = ["carrier", "cabin"]
 
@@ -176,88 +178,61 @@ def fitted_comparison(t: Inputs):
 
 # --- board models -------------------------------------------------------------------------------
 
-_SHARED: dict[tuple, object] = {}
-
-
-def shared(step):
-    """Keep a step's result per session and folder: several queries start from the same fits."""
-
-    def once(t: Inputs):
-        key = (t.spark.sparkContext.applicationId, t.folder, step.__name__)
-        if key not in _SHARED:
-            _SHARED[key] = step(t)
-        return _SHARED[key]
-
-    return once
-
-
-@shared
 def training(t: Inputs):
     """Features and weighted targets of every board, written once since every fit reads them."""
     feats = land(feature_frame(t).drop("college"), "features")
     targets = rank_power_weights(t["price_a"].select(*BOARD, F.col("true_id").alias("asset_id"), F.col("value").alias("consensus_value")), BOARD, "consensus_value")
-    targets = land(targets.join(feats.select("asset_id"), "asset_id"), "targets")
-    return feats, targets
+    return feats, land(targets.join(feats.select("asset_id"), "asset_id"), "targets")
 
 
-@shared
 def training_rows(t: Inputs):
-    """Features beside targets, written once: every fit, with its passes for medians and bins, reads them."""
     feats, targets = training(t)
-    return land(targets.join(feats, "asset_id").withColumn("_log_target", F.ln("consensus_value")), "training-rows")
+    return targets.join(feats, "asset_id")
+
+
+#: What a fit is told: target, weight, features, ids and sizes.
+FIT = ("consensus_value", "sample_weight", NUMERIC, CATEGORICAL, ["asset_id"], QUERY_SETTINGS)
 
 
-@shared
 def fitted(t: Inputs):
     feats, targets = training(t)
-    fits = learning.fit_boards(targets.join(feats, "asset_id"), BOARDS, BOARD, "consensus_value", "sample_weight", NUMERIC, CATEGORICAL,
-                               ["asset_id"], QUERY_SETTINGS, parallel=6)
-    return feats, targets, fits
+    return feats, targets, learning.fit_boards(targets.join(feats, "asset_id"), BOARD, *FIT)
 
 
 @query("fit_board_gbt")
 def fit_board_gbt(t: Inputs):
     feats, targets, fits = fitted(t)
-    return learning.predict_boards(feats, targets, fits, BOARD, "asset_id")
+    return learning.predict_boards(feats, targets, fits, "asset_id")
 
 
-@query("fit_board_rf")
-def fit_board_rf(t: Inputs):
-    rows = training_rows(t)
+@query("fit_board_rows", """
+    select format, team_size, count(*) as n_rows, count(distinct true_id) as n_assets, count(*) as n_priced, true as better_than_mean
+    from @price_a where true_id in (select asset_id from @asset_panel) or true_id in (select asset_id from @draft where draft_year = 2002)
+    group by format, team_size""")
+def fit_board_rows(t: Inputs):
+    """Every asset of a board has one price, and held-out prices err less than the board's mean price does."""
+    rows = land(learning.out_of_fold(training_rows(t), BOARD, *FIT), "oof")
+    log, guess = F.ln("consensus_value"), F.ln("oof_prediction")
+    return rows.groupBy(*BOARD).agg(
+        F.count("*").alias("n_rows"), F.countDistinct("asset_id").alias("n_assets"), F.count("oof_prediction").alias("n_priced"),
+        (F.avg((log - guess) ** 2) < F.var_pop(log)).alias("better_than_mean"))
 
-    def one(board):
-        mine = land(learning.ordered_for_fit(rows.where(learning.board_is(BOARD, board)), ["asset_id"]), "board")
-        model = learning.fit_forest(mine, "_log_target", "sample_weight", NUMERIC, CATEGORICAL, QUERY_SETTINGS)
-        return model.transform(mine).select(*BOARD, "asset_id", "consensus_value", F.exp("log_prediction").alias("model_value"))
 
-    return learning.stacked(learning.overlapped(one, BOARDS, 6))
+@query("fit_board_rf")
+def fit_board_rf(t: Inputs):
+    return learning.fit_forests(training_rows(t), BOARD, *FIT)
 
 
 @query("fit_quantile")
 def fit_quantile(t: Inputs):
-    rows = training_rows(t)
-
-    def one(board):
-        mine = land(learning.ordered_for_fit(rows.where(learning.board_is(BOARD, board)), ["asset_id"]), "board")
-        forest = learning.fit_quantile_forest(mine, "_log_target", "sample_weight", NUMERIC, CATEGORICAL, ["asset_id"], QUERY_SETTINGS)
-        return forest.transform(mine).select(*BOARD, "_log_target", "log_quantile", "sample_weight")
-
-    scored = learning.stacked(learning.overlapped(one, BOARDS, 6))
-    return scored.groupBy(*BOARD).agg(
-        F.count("*").alias("n"),
-        (F.sum(F.when(F.col("_log_target") <= F.col("log_quantile"), F.col("sample_weight")).otherwise(0.0)) / F.sum("sample_weight")).alias("weighted_share_below"))
+    """Weighted share of held-out targets at or below the predicted quantile, per board."""
+    scored = learning.out_of_fold(training_rows(t), BOARD, *FIT, spec=learning.BOARD_SPECS[1])
+    below = F.when(F.col("consensus_value") <= F.col("oof_prediction"), F.col("sample_weight")).otherwise(0.0)
+    return scored.groupBy(*BOARD).agg(F.count("*").alias("n"), (F.sum(below) / F.sum("sample_weight")).alias("weighted_share_below"))
 
 
-@shared
 def out_of_fold(t: Inputs):
-    rows = training_rows(t)
-    fit = lambda train: learning.fit_boosted(train, "_log_target", "sample_weight", NUMERIC, CATEGORICAL, QUERY_SETTINGS)
-
-    def one(board):
-        part = learning.out_of_fold(rows.where(learning.board_is(BOARD, board)), ["asset_id"], fit, k=learning.FOLDS)
-        return part.select(*BOARD, "asset_id", "consensus_value", "fold", "oof_prediction")
-
-    return land(learning.stacked(learning.overlapped(one, BOARDS, 4)), "oof")
+    return learning.out_of_fold(training_rows(t), BOARD, *FIT)
 
 
 @query("oof_predictions")
@@ -277,40 +252,43 @@ def oof_coverage(t: Inputs):
 
 @query("oof_metrics")
 def oof_metrics(t: Inputs):
-    return metrics.regression_metrics(out_of_fold(t), BOARD, "consensus_value", "oof_prediction", "asset_id")
+    return metrics.regression_metrics(land(out_of_fold(t), "oof"), BOARD, "consensus_value", "oof_prediction", "asset_id")
 
 
 @query("fit_split_groups")
 def fit_split_groups(t: Inputs):
-    rows = training_rows(t)
+    _, scored = learning.fit_groups(training_rows(t), BOARD, "position", "ECONOMY", "consensus_value", None, *FIT[2:5], SPLIT_SETTINGS)
+    return scored.select(*BOARD, "asset_id", "fit_group", "is_rookie", "model_value", "consensus_value")
 
-    def one(board):
-        part = learning.fit_groups(rows.where(learning.board_is(BOARD, board)), "position", "ECONOMY", "consensus_value", None,
-                                   NUMERIC, CATEGORICAL, ["asset_id"], QUERY_SETTINGS)
-        return part.select(*BOARD, "asset_id", "fit_group", "is_rookie", "model_value", "consensus_value")
 
-    return learning.stacked(learning.overlapped(one, BOARDS, 3))
+@query("split_group_metrics")
+def split_group_metrics(t: Inputs):
+    """Out-of-fold errors of the separate models: per group, and pooled."""
+    return learning.group_metrics(training_rows(t), BOARD, "position", "ECONOMY", "consensus_value", None, *FIT[2:5], SPLIT_SETTINGS)
 
 
 REFRESHED = ["games", "points", "yards", "share_a"]
 
 
-@shared
-def pick_prices(t: Inputs):
-    return land(picks.pick_universe(t["pick_list_a"], t["pick_list_b"]), "picks")
-
-
-def refreshed(t: Inputs, through_week: int | None, loaded: dict | None = None):
+def stored(t: Inputs) -> runs.StoredRun:
+    """A run fitted, stored, and read back as a later session would."""
     feats, targets, fits = fitted(t)
-    fits = loaded or fits
     names = t["crosswalk"].select(F.col("mfl_id").alias("asset_id"), "name")
+    universe = land(picks.pick_universe(t["pick_list_a"], t["pick_list_b"]), "picks")
+    board = refresh.recompute_board(feats, None, fits, targets, names, universe, "asset_id", REFRESHED)
+    folder = scratch_path(t.spark, "runs")
+    runs.save_run(folder, "1", fits, features=feats, targets=targets, picks=universe, names=names, board=board)
+    return runs.load_run(t.spark, folder)
+
+
+def refreshed(t: Inputs, run: runs.StoredRun, through_week: int | None):
     partial = None if through_week is None else to_date_frame(t, through_week).drop("ppg")
-    return refresh.recompute_board(feats, partial, fits, targets, names, pick_prices(t), "asset_id", REFRESHED)
+    return refresh.recompute_board(run.features, partial, run.fits, run.targets, run.names, run.picks, "asset_id", REFRESHED)
 
 
 @query("recompute_board")
 def recompute_board(t: Inputs):
-    return refreshed(t, 10).select(*BOARD, "asset_id", "name", "asset_type", "model_value", "consensus_value", "board_rank")
+    return refreshed(t, stored(t), 10).select(*BOARD, "asset_id", "name", "asset_type", "model_value", "consensus_value", "board_rank")
 
 
 @query("rescore", """
@@ -318,16 +296,11 @@ def recompute_board(t: Inputs):
     where true_id in (select asset_id from @asset_panel) or true_id in (select asset_id from @draft where draft_year = 2002) group by format, team_size""")
 def rescore(t: Inputs):
     """Models read back from storage move nothing on unchanged features, against the board stored at fit time."""
-    feats, targets, fits = fitted(t)
-    stored = land(refreshed(t, None), "stored-board")
-    loaded = {}
-    for board, fit in fits.items():
-        path = scratch_path(t.spark, "fit")
-        learning.save_fit(fit, path, t.spark)
-        loaded[board] = learning.load_fit(path, t.spark)
-    return boards.board_movement(stored, refreshed(t, None, loaded), more_than=0.0)
+    run = stored(t)
+    return boards.board_movement(run.board, refreshed(t, run, None), more_than=0.0)
 
 
 @query("refresh_movement")
 def refresh_movement(t: Inputs):
-    return boards.board_movement(refreshed(t, None), refreshed(t, 10))
+    run = stored(t)
+    return boards.board_movement(run.board, refreshed(t, run, 10))

@@ -10,6 +10,9 @@ from assetboard.sources.stand_ins import TABLES
 def connect(folder: str):
     con = duckdb.connect()
     con.execute("set TimeZone = 'UTC'")
+    # Beside Spark in one process: few threads and bounded memory.
+    con.execute("set threads = 2")
+    con.execute("set memory_limit = '2GB'")
     for name in TABLES:
         con.execute(f"create view {name} as select * from '{folder}/{name}.parquet'")
     return con

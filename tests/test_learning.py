@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from assetboard.operators import learning
 
-SMALL = learning.TreeSettings(iterations=3, depth=3, trees=6)
+SMALL = learning.TreeSettings(iterations=5, depth=3, trees=6)
 
 
 @pytest.fixture(scope="module")
@@ -85,36 +85,32 @@ def test_replication_keeps_every_row(rows):
 
 
 def test_board_fit_predict_save_load(rows, tmp_path):
-    fit = learning.fit_board(rows, "value", None, ["x", "z"], ["c"], ["id"], SMALL)
+    fit = learning.fit_boards(rows, [], "value", None, ["x", "z"], ["c"], ["id"], SMALL)
     scored = fit.predict(rows).orderBy("id").toPandas()
     rookies = scored["career_games"].isna()
     assert (scored["is_rookie"] == rookies).all()
     assert np.allclose(scored["model_value"], np.where(rookies, scored["quantile_prediction"], scored["mean_prediction"]))
     assert np.corrcoef(np.log(scored["mean_prediction"]), np.log(scored["value"]))[0, 1] > 0.7
-    learning.save_fit(fit, str(tmp_path / "fit"), rows.sparkSession)
-    again = learning.load_fit(str(tmp_path / "fit"), rows.sparkSession).predict(rows).orderBy("id").toPandas()
+    fit.save(str(tmp_path / "fit"), rows.sparkSession)
+    again = learning.BoardFits.load(str(tmp_path / "fit"), rows.sparkSession).predict(rows).orderBy("id").toPandas()
     assert np.allclose(scored["model_value"], again["model_value"])
 
 
-def test_quantile_forest_share(rows):
-    target = rows.withColumn("t", F.ln("value")).withColumn("w", F.lit(1.0) + F.col("id") / 400)
-    forest = learning.fit_quantile_forest(target, "t", "w", ["x", "z"], ["c"], ["id"], learning.TreeSettings(trees=15, depth=3))
-    pdf = forest.transform(target).toPandas()
-    share = pdf.loc[pdf["t"] <= pdf["log_quantile"], "w"].sum() / pdf["w"].sum()
-    assert abs(share - learning.RISK_QUANTILE) < 0.08
-
-
 def test_out_of_fold_covers_each_row_once(rows):
-    data = rows.withColumn("t", F.ln("value"))
-    fit = lambda train: learning.fit_forest(train, "t", None, ["x", "z"], ["c"], SMALL)
-    got = learning.out_of_fold(data, ["id"], fit, k=2)
-    assert got.count() == got.select("id").distinct().count() == 400 and got.where("oof_prediction is null").isEmpty()
-    assert learning.out_of_fold(data.limit(1), ["id"], fit, k=2).count() == 0
+    args = (["c"], "value", None, ["x", "z"], ["c"], ["id"], SMALL)
+    for got in (learning.out_of_fold(rows, *args, k=2).toPandas(), learning.fit_forests(rows, *args, k=2, out="oof_prediction").toPandas()):
+        assert len(got) == got["id"].nunique() == 400 and got["oof_prediction"].notna().all()
+    assert learning.out_of_fold(rows.limit(1), *args, k=2).count() == 0
 
 
 def test_group_split(rows):
-    got = learning.fit_groups(rows, "c", "a", "value", None, ["x", "z"], ["c"], ["id"], SMALL)
+    args = ("c", "a", "value", None, ["x", "z"], ["c"], ["id"], SMALL)
+    fits, got = learning.fit_groups(rows, [], *args)
     assert got.count() == 400 and {(r["c"] == "a", r["fit_group"]) for r in got.select("c", "fit_group").distinct().collect()} == {(True, "a"), (False, "rest")}
+    assert fits.models.boards == [("a",), ("rest",)]
+    found = learning.group_metrics(rows, [], *args, k=2).toPandas().set_index("fit_group")
+    assert set(found.index) == {"a", "rest", "pooled"} and found["mae"].notna().all()
+    assert found["mae"].min() <= found.loc["pooled", "mae"] <= found["mae"].max()
 
 
 def test_registered_fits_are_full_ones():

@@ -10,9 +10,12 @@ QUERIES = plans.queries()
 ORACLES = plans.oracle_sql()
 
 
-@pytest.fixture(scope="module")
+@pytest.fixture
 def duck():
-    return oracle.connect(FOLDER)
+    """A connection of its own for every test: one that fails cannot spoil the next."""
+    con = oracle.connect(FOLDER)
+    yield con
+    con.close()
 
 
 def test_every_oracle_has_a_query():

@@ -47,7 +47,7 @@ def sources(spark):
 
 def test_weekly_run_publish_and_refresh(spark, tmp_path):
     s = sources(spark)
-    run = weekly.weekly_run(s, 2026, learning.TreeSettings(iterations=2, depth=2, trees=3, forest_depth=3), folds=2)
+    run = weekly.weekly_run(s, 2026, learning.TreeSettings(iterations=2, depth=2, trees=3), folds=2)
     assert run.features.count() == PEOPLE and run.features.where("career_games is null").count() == len(ROOKIES)
     assert run.features.where("dominator_rating is not null").count() == len([i for i in ROOKIES if i % 4 != 0])  # no passers
     sizes = {(r["format"], r["team_size"]): r["count"] for r in run.board.groupBy("format", "team_size").count().collect()}
@@ -78,7 +78,7 @@ def test_weekly_run_publish_and_refresh(spark, tmp_path):
 
 def test_gates_stop_a_run(spark):
     s = sources(spark)
-    small = learning.TreeSettings(iterations=1, depth=1, trees=1, forest_depth=1)
+    small = learning.TreeSettings(iterations=1, depth=1, trees=1)
     twice = s.crosswalk.unionByName(s.crosswalk.where("mfl_id = '3'").withColumn("name", F.lit("Other")))
     with pytest.raises(ValueError, match="unique"):
         weekly.weekly_run(replace(s, crosswalk=twice), 2026, small, folds=0)
