@@ -13,6 +13,27 @@ BLOOM_BITS = 1 << 24
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_KEEPERS: dict[str, object] = {}
+
+
+def claim(owner: str, forget=lambda: None) -> None:
+    """Free what other operators keep in this worker, which lives on from stage to stage; ``forget`` frees the owner's."""
+    for other in [k for k in _KEEPERS if k != owner]:
+        _KEEPERS.pop(other)()
+    _KEEPERS[owner] = forget
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that the table does not have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

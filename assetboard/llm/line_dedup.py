@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetboard.llm.common import bloom, is_gap, maybe_in, slices, utf8_buffer
+from assetboard.llm.common import bloom, claim, fresh, is_gap, maybe_in, slices, utf8_buffer
 from assetboard.llm.suffix_lm import word_hashes
 from assetboard.session import land
 
@@ -70,6 +70,7 @@ def fingerprints(hashes: np.ndarray, window: int) -> np.ndarray:
 
 def texts_of(batches, column: int | str = 1):
     """Word hashes of every row of every batch: (batch, row, hashes)."""
+    claim("line_dedup")
     for batch in batches:
         texts = pa.compute.fill_null(batch.column(column), "")
         for start, stop in slices(texts, SLICE_BYTES):
@@ -169,8 +170,9 @@ def dedup_lines(docs: DataFrame, line_words: int = LINE_WORDS, window: int = WIN
 
     ``spans`` lists (start, length) in words of the original text. Without ``report`` the two are left out.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(id_column, text_column))
-    plain = keyed.select(F.col(id_column).alias("id"), F.col("_key").alias("key"), F.col(text_column).alias("text"))
+    key, starts = fresh(docs, "_key", "_starts")
+    keyed = docs.withColumn(key, F.xxhash64(id_column, text_column))
+    plain = keyed.select(F.col(id_column).alias("id"), F.col(key).alias("key"), F.col(text_column).alias("text"))
     width = max(line_words, least_words)
     marks = land(marked(plain, line_words, window, least_words), "fingerprints")
     shared = land(first_of_repeated(marks).select("hash"), "repeated")
@@ -182,13 +184,13 @@ def dedup_lines(docs: DataFrame, line_words: int = LINE_WORDS, window: int = WIN
     firsts = land(first_of_repeated(found), "first-passages")
     may = maybe_in(found, "hash", bloom(firsts, "hash"))
     later = found.where(may).join(firsts, "hash").where(F.struct("id", "key", "place") != F.col("first"))
-    per_text = land(later.groupBy("key").agg(F.collect_set("place").alias("_starts")), "later")
-    may_run = maybe_in(keyed, "_key", bloom(per_text, "key"))
+    per_text = land(later.groupBy("key").agg(F.collect_set("place").alias(starts)), "later")
+    may_run = maybe_in(keyed, key, bloom(per_text, "key"))
 
-    touched = keyed.where(may_run).join(per_text.withColumnRenamed("key", "_key"), "_key", "left")
+    touched = keyed.where(may_run).join(per_text.withColumnRenamed("key", key), key, "left")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     extra = ", spans array<struct<start:int,length:int>>, n_removed long" if report else ""
-    cut = touched.select(*docs.columns, "_starts").mapInArrow(
+    cut = touched.select(*docs.columns, starts).mapInArrow(
         lambda batches: _cut(batches, text_column, width, report), f"{fields}{extra}")
     none = [F.expr("cast(array() as array<struct<start:int,length:int>>)").alias("spans"),
             F.lit(0).cast("long").alias("n_removed")]

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetboard.llm.common import bloom, maybe_in, slices
+from assetboard.llm.common import bloom, claim, fresh, maybe_in, slices
 from assetboard.llm.components import components
 from assetboard.llm.suffix_lm import word_hashes
 from assetboard.session import land
@@ -97,6 +97,7 @@ def signatures(codes: np.ndarray, sizes: np.ndarray, values: int, seed: int = 11
 def sketch(docs: DataFrame, width: int, values: int, id_column: str, text_column: str) -> DataFrame:
     """(id, key, n_shingles, set_a, set_b, signature) of every row; sets are null where empty."""
     def run(batches):
+        claim("near_dedup")
         for batch in batches:
             texts = pa.compute.fill_null(batch.column(2), "")
             for start, stop in slices(texts, SLICE_BYTES):
@@ -222,12 +223,12 @@ def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column
     found = classified(docs, id_column=id_column, text_column=text_column, **options)
     by_key = found.groupBy("key").agg(F.bool_and("kept").alias("kept"), F.count("*").alias("rows"))
     odd = land(by_key.where("not kept or rows > 1"), "dropped")
-    keyed = docs.withColumn("_key", F.xxhash64(id_column, text_column))
-    may = maybe_in(keyed, "_key", bloom(odd, "key"))
-    doubtful = keyed.where(may).join(odd.select(F.col("key").alias("_key"), "kept", F.col("rows").alias("_rows"))
-                                     .withColumnRenamed("kept", "_kept"), "_key", "left")
-    once = doubtful.where("_kept is null")
-    again = doubtful.where("_kept").dropDuplicates(["_key"])
+    key, stays = fresh(docs, "_key", "_kept")
+    keyed = docs.withColumn(key, F.xxhash64(id_column, text_column))
+    may = maybe_in(keyed, key, bloom(odd, "key"))
+    doubtful = keyed.where(may).join(odd.select(F.col("key").alias(key), F.col("kept").alias(stays)), key, "left")
+    once = doubtful.where(F.col(stays).isNull())
+    again = doubtful.where(F.col(stays)).dropDuplicates([key])
     return keyed.where(~may).select(docs.columns).union(once.select(docs.columns)).union(again.select(docs.columns))
 
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetboard.llm.common import blocks_for, cut_texts, slices, sums_per_row
+from assetboard.llm.common import blocks_for, claim, cut_texts, slices, sums_per_row
 from assetboard.session import land
 
 LENGTH = 4096
@@ -101,6 +101,7 @@ class IdEncoder:
 
 
 def encoder(path: str) -> IdEncoder:
+    claim("packing", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = IdEncoder(path)
     return _ENCODERS[path]

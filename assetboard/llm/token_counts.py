@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from assetboard.llm.common import cut_texts, slices, sums_per_row
+from assetboard.llm.common import claim, cut_texts, slices, sums_per_row
 
 CHUNK_BYTES = 32_768
 OVERLAP_BYTES = 512
@@ -72,6 +72,7 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file; tasks of one worker share its cache."""
+    claim("token_counts", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]

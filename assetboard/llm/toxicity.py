@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assetboard.llm.common import bounds_at, is_gap, slices, utf8_buffer
+from assetboard.llm.common import bounds_at, claim, is_gap, slices, utf8_buffer
 
 WINDOW, STRIDE = 32, 16
 GRAMS = (3, 4, 5)
@@ -397,6 +397,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int, id_col
 
 def worker_scorer(shared, name: str) -> Scorer | None:
     """The worker's scorer of a broadcast network; tasks of one worker share its cache."""
+    claim("toxicity", _SCORERS.clear)
     if shared.value is None:
         return None
     if name not in _SCORERS:
