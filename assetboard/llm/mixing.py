@@ -17,10 +17,12 @@ out one by one. An empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetboard.llm.common import WORD, blocks_for
+from assetboard.llm.common import WORD, blocks_for, fresh
 from assetboard.session import land
 
 PHI = 0.6180339887498949
@@ -28,8 +30,12 @@ BLOCK_TOKENS = 64
 CELLS = 1024
 
 
-def source_targets(sizes: DataFrame, most_repeats: int = 3, cycle: int = 3) -> DataFrame:
-    """(source, source_size, target, low, high): targets and cumulative shares from (source, source_size)."""
+def source_targets(sizes: DataFrame, most_repeats: int = 3, cycle: int = 3, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """(source, source_size, target, n_blocks, slots, low, high) from (source, source_size).
+
+    A source is cut into ``n_blocks`` equal blocks of at most ``block_tokens`` words and wants ``slots`` of them; low
+    and high are its cumulative shares of all slots.
+    """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     weighed = sizes.withColumn("weight", 1 + (F.row_number().over(by_name) - 1) % cycle).withColumn(
         "cap", (most_repeats * F.col("source_size")).cast("double"))
@@ -47,11 +53,13 @@ def source_targets(sizes: DataFrame, most_repeats: int = 3, cycle: int = 3) -> D
         whole)["level"])
     targets = levels.withColumn("target", F.coalesce(
         F.least(F.col("level") * F.col("weight"), F.col("cap")), F.col("cap")))
-    upto = F.sum("target").over(by_name.rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("target").over(whole)
+    targets = targets.withColumn("n_blocks", F.ceil(F.col("source_size") / block_tokens)).withColumn(
+        "slots", F.when(F.col("source_size") > 0, F.col("target") * F.col("n_blocks") / F.col("source_size")).otherwise(0.0))
+    upto = F.sum("slots").over(by_name.rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("slots").over(whole)
     return targets.select(
-        "source", "source_size", "target",
-        F.when(total > 0, (upto - F.col("target")) / total).otherwise(F.lit(0.0)).alias("low"),
+        "source", "source_size", "target", "n_blocks", "slots",
+        F.when(total > 0, (upto - F.col("slots")) / total).otherwise(F.lit(0.0)).alias("low"),
         F.when(total > 0, upto / total).otherwise(F.lit(0.0)).alias("high"))
 
 
@@ -90,19 +98,18 @@ def mix(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, most_repeats: int = 3
         F.col(source_column).alias("source"),
         F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     ), "mix-rows")
-    totals = rows.agg(F.count("*").alias("n"), F.sum("size").alias("words")).first()
-    n, words = totals["n"], totals["words"] or 0
-    sources = land(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), most_repeats),
-                   "mix-sources")
+    n = rows.count()
+    sources = land(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), most_repeats,
+                                  block_tokens=block_tokens), "mix-sources")
     keyed = rows.withColumn("shuffle", F.xxhash64("id", F.lit(17))).withColumn(
         "hash_block", F.pmod("shuffle", F.lit(blocks_for(n, 4096))))
     laid = land(ranked(keyed, ["source"], "hash_block", ["shuffle", "id", "size"], F.col("size"), "start").withColumn(
         "row", F.monotonically_increasing_id()), "mix-laid")
 
-    bounds = sources.withColumn("n_blocks", F.ceil(F.col("source_size") / block_tokens)).where("high > low")
+    bounds = sources.where("high > low").select("source", "n_blocks", "low", "high")
     bounds = bounds.withColumn("cell", F.explode(F.sequence(
         F.floor(F.col("low") * CELLS), F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1).cast("long")))))
-    n_slots = -(-words // block_tokens)
+    n_slots = math.ceil(sources.agg(F.sum("slots")).first()[0] or 0.0)
     slots = spark.range(n_slots).select(F.col("id").alias("slot"), golden_point(F.col("id")).alias("point")).withColumn(
         "cell", F.least(F.floor(F.col("point") * CELLS), F.lit(CELLS - 1).cast("long")))
     slots = slots.join(bounds, "cell").where("point >= low and point < high").select(
@@ -111,13 +118,24 @@ def mix(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, most_repeats: int = 3
     slots = slots.select("slot", "source", (F.col("rank") % F.col("n_blocks")).alias("block"),
                          F.floor(F.col("rank") / F.col("n_blocks")).alias("epoch")).where(F.col("epoch") < most_repeats)
 
-    # The pieces of every block, from the documents that lie in it.
-    first = F.floor(F.col("start") / block_tokens)
-    last = F.floor((F.col("start") + F.col("size") - 1) / block_tokens)
-    pieces = laid.where("size > 0").select(
-        F.col("source").alias("_source"), "row", "start", "size", F.explode(F.sequence(first, last)).alias("_block"))
-    low = F.greatest(F.col("_block") * block_tokens, F.col("start"))
-    high = F.least((F.col("_block") + 1) * block_tokens, F.col("start") + F.col("size"))
+    # The pieces of every block, from the documents that lie in it. The first ``_longer`` blocks of a source have a word
+    # more than the others, which have ``_least``.
+    cut = sources.where("n_blocks > 0").select(
+        F.col("source").alias("_source"), F.expr("source_size div n_blocks").alias("_least"), F.expr("source_size % n_blocks").alias("_longer"))
+    cut = cut.withColumn("_head", F.col("_longer") * (F.col("_least") + 1))
+
+    def block_at(word: str) -> Column:
+        return F.expr(f"case when {word} < _head then ({word}) div (_least + 1) else _longer + ({word} - _head) div _least end")
+
+    def start_of(block: Column) -> Column:
+        return F.when(block <= F.col("_longer"), block * (F.col("_least") + 1)).otherwise(
+            F.col("_head") + (block - F.col("_longer")) * F.col("_least"))
+
+    pieces = laid.where("size > 0").join(cut, F.col("source").eqNullSafe(F.col("_source"))).select(
+        "_source", "row", "start", "size", "_least", "_longer", "_head",
+        F.explode(F.sequence(block_at("start"), block_at("start + size - 1"))).alias("_block"))
+    low = F.greatest(start_of(F.col("_block")), F.col("start"))
+    high = F.least(start_of(F.col("_block") + 1), F.col("start") + F.col("size"))
     pieces = pieces.select("_source", "_block", "row", (low - F.col("start")).alias("word_start"),
                            (high - low).alias("n_words"))
     schedule = slots.join(pieces, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block")))
@@ -139,8 +157,8 @@ def mix_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     A row that the mix takes less than half of leaves, as does one without words.
     """
     sized, schedule = mix(docs, id_column=id_column, text_column=text_column, **options)
-    copies = taken_words(sized, schedule).where("size > 0").groupBy("key").agg(
-        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_copies")).where("_copies > 0")
-    keyed = docs.withColumn("_key", F.xxhash64(id_column, text_column)).join(
-        copies.withColumnRenamed("key", "_key"), "_key")
-    return keyed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    key, times, copy = fresh(docs, "_key", "_copies", "_copy")
+    copies = taken_words(sized, schedule).where("size > 0").groupBy(F.col("key").alias(key)).agg(
+        F.round(F.sum("taken") / F.sum("size")).cast("int").alias(times)).where(F.col(times) > 0)
+    keyed = docs.withColumn(key, F.xxhash64(id_column, text_column)).join(copies, key)
+    return keyed.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(docs.columns)
