@@ -26,11 +26,12 @@ UNITS_PER_PART = 4096
 WEIGHTS = np.array([16.0, 1.0, 1.0])
 
 
-def place(demand: np.ndarray, shards: int) -> np.ndarray:
-    """Shard of each unit; ``demand`` holds bytes, tokens and rows per unit."""
-    share = np.maximum(demand.sum(axis=0) / shards, 1)
+def place(demand: np.ndarray, shards: int, taken: np.ndarray | None = None) -> np.ndarray:
+    """Shard of each unit; ``demand`` holds bytes, tokens and rows per unit, ``taken`` what shards hold already."""
+    taken = np.zeros((shards, demand.shape[1])) if taken is None else taken
+    share = np.maximum((demand.sum(axis=0) + taken.sum(axis=0)) / shards, 1)
     need = demand / share
-    residual = np.ones((shards, need.shape[1]))
+    residual = 1 - taken / share
     chosen = np.zeros(len(need), dtype=np.int64)
     for i in np.argsort(-(need @ WEIGHTS), kind="stable"):
         best = int(np.argmax(residual @ (need[i] * WEIGHTS)))
@@ -53,8 +54,8 @@ def assign_shards(docs: DataFrame, shards: int = 8, id_column: str = "doc_id", t
     totals = rows.agg(F.count("*").alias("n"), F.sum("size").alias("size")).first()
     n, total = totals["n"], totals["size"] or 0
     parts = blocks_for(n, units_per_part)
-    most_bytes = max(1, total // (shards * parts * 4))
-    most_rows = max(1, n // (shards * parts * 4))
+    # Equal texts stay together unless they outweigh a quarter of a shard.
+    most_bytes, most_rows = max(1, total // (shards * 4)), max(1, n // (shards * 4))
 
     # A group's number of units, at the row: hot groups are summed before the shuffle.
     groups = rows.groupBy("group").agg(F.sum("size").alias("b"), F.count("*").alias("r"))
@@ -63,17 +64,28 @@ def assign_shards(docs: DataFrame, shards: int = 8, id_column: str = "doc_id", t
     salted = rows.join(splits, "group", "left").withColumn(
         "salt", F.pmod(F.xxhash64("id"), F.coalesce("splits", F.lit(1))))
     salted = salted.withColumn("unit", F.xxhash64("group", "salt"))
-    units = salted.groupBy("group", "salt").agg(
-        F.sum("size").alias("b"), F.sum("n_tokens").alias("t"), F.count("*").alias("r"),
-    ).withColumn("part", F.pmod(F.xxhash64("group", "salt", F.lit(1)), F.lit(parts)))
-
-    def pack(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["group", "salt"], kind="stable")
-        first = int(part["part"].iloc[0]) % shards
-        chosen = place(part[["b", "t", "r"]].to_numpy(dtype=np.float64), shards)
-        return pd.DataFrame({"group": part["group"], "salt": part["salt"], "shard": (chosen + first) % shards})
-
-    placed = units.groupBy("part").applyInPandas(pack, "group string, salt long, shard int")
+    units = land(salted.groupBy("group", "salt").agg(
+        F.sum("size").alias("b"), F.sum("n_tokens").alias("t"), F.count("*").alias("r")), "shard-units")
+    # What is large for a part is packed among its like and first; the parts then fill what it leaves in each shard.
+    large = (F.col("b") > most_bytes / parts) | (F.col("r") > most_rows / parts)
+    draw = F.xxhash64("group", "salt", F.lit(1))
+
+    def packed(some: DataFrame, of: int, taken: np.ndarray | None) -> DataFrame:
+        def pack(part: pd.DataFrame) -> pd.DataFrame:
+            part = part.sort_values(["group", "salt"], kind="stable")
+            first = int(part["part"].iloc[0]) % shards
+            held = None if taken is None else np.roll(taken, -first, axis=0)
+            chosen = place(part[["b", "t", "r"]].to_numpy(dtype=np.float64), shards, held)
+            return pd.DataFrame({"group": part["group"], "salt": part["salt"], "shard": (chosen + first) % shards})
+
+        return some.withColumn("part", F.pmod(draw, F.lit(of))).groupBy("part").applyInPandas(pack, "group string, salt long, shard int")
+
+    heavy = units.where(large)
+    placed = land(packed(heavy, blocks_for(heavy.count(), units_per_part), None), "shard-large")
+    taken = np.zeros((shards, 3))
+    for r in heavy.join(placed, ["group", "salt"]).groupBy("shard").agg(F.sum("b"), F.sum("t"), F.sum("r")).collect():
+        taken[r[0]] = r[1:]
+    placed = placed.union(packed(units.where(~large), parts, taken / parts))
     sharded = land(salted.drop("unit", "splits").join(placed, ["group", "salt"]), "shard-placed")
     return number_rows(sharded, "shard", n).select(
         F.col("id").alias(id_column), "size", "text_crc32", "n_tokens", "shard", "slot")
