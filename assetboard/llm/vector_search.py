@@ -76,15 +76,16 @@ class Tree:
             waiting += [(int(child), at[own == i]) for i, child in enumerate(self.children[node]) if (own == i).any()]
         return out
 
-    def visits(self, query: np.ndarray, most: int) -> list[int]:
-        """The first leaves that a query visits, best bin first."""
+    def visits(self, query: np.ndarray, most: int, sizes: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """The first leaves that a query visits, best bin first: ``most``, or as many more as hold ``least`` rows."""
         out: list[int] = []
         queue = [(0.0, 0, self.root)]
-        pushed = 1
-        while queue and len(out) < most:
+        pushed, held = 1, 0
+        while queue and (len(out) < most or held < least):
             _, _, node = heapq.heappop(queue)
             if node < 0:
                 out.append(-node - 1)
+                held += int(sizes[-node - 1]) if sizes is not None else least
                 continue
             for near, child in zip((self.centres[node] @ query).tolist(), self.children[node].tolist()):
                 heapq.heappush(queue, (-near, pushed, child))
@@ -143,11 +144,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, sample: int = SAMPL
     wanted = land(wanted.join(placed.select("vector", "class"), "vector").select("id", "class", "vector"), "queries")
     queries = wanted.dropDuplicates(["class"]).select("class", "vector")
     visits = calibrated(placed, queries, tree, k, probes, recall)
+    # Classes by leaf, at most one number for each vector of the sample; a query goes on until it has met enough.
+    by_leaf = placed.groupBy("leaf").count().toPandas()
+    held = np.zeros(max(tree.leaves, 1), np.int64)
+    held[by_leaf["leaf"].to_numpy(np.int64)] = by_leaf["count"].to_numpy(np.int64)
+    leaf_sizes = spark.sparkContext.broadcast(held)
 
     def route(batches):
         for batch in batches:
             units = unit(matrix(batch.column(1))) if len(batch) else []
-            leaves = [shared.value.visits(q, visits) for q in units]
+            leaves = [shared.value.visits(q, visits, leaf_sizes.value, k + 1) for q in units]
             repeat = pa.array(np.repeat(np.arange(len(leaves)), [len(x) for x in leaves]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(repeat), batch.column(1).take(repeat),

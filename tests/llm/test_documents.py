@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
-from fixtures import SCHEMA, documents, rows, words  # noqa: E402
+from fixtures import CLASH, SCHEMA, documents, rows, words  # noqa: E402
 
 from assetboard.llm import line_dedup, mixing, near_dedup, packing, sharding, suffix_lm  # noqa: E402
 
@@ -428,3 +428,34 @@ def test_null_ids(spark):
     assert mixing.taken_words(*mixing.mix(some)).count() == 4
     got = near_dedup.near_duplicates(some).collect()
     assert sorted((r.component_id or 0, r.kept) for r in got) == [(0, True), (4, False), (4, False), (4, True)]
+
+
+# --- small sources, whole groups, clashing names ----------------------------------------------------------
+
+def test_sources_smaller_than_a_block_come_near_their_targets(spark):
+    rows = [(i, "w " * 10, "en", "a big one", 20, *CLASH) for i in range(1000)]
+    rows += [(2000 + n, "w " * n, "en", f"small {n}", 2 * n, *CLASH) for n in (10, 30, 65)]
+    got = mixing.taken_words(*mixing.mix(documents(spark, rows))).toPandas()
+    for n in (10, 30, 65):
+        row = got[got["doc_id"] == 2000 + n].iloc[0]
+        assert row["target"] == 3 * n and abs(row["taken"] - row["target"]) <= min(n, mixing.BLOCK_TOKENS), n
+    big = got[got["doc_id"] < 1000]
+    assert abs(big["taken"].sum() - big["target"].iloc[0]) <= 2 * mixing.BLOCK_TOKENS
+
+
+def test_equal_texts_stay_in_one_shard_below_a_share_of_it(spark):
+    docs = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 100 == 0, F.lit("copied text")).otherwise(
+            F.concat(F.lit("text "), "id", F.repeat(F.lit(" x"), (F.col("id") % 7).cast("int")))).alias("text"))
+    got = sharding.assign_shards(docs).withColumn("copied", F.col("doc_id") % 100 == 0).toPandas()
+    assert got[got["copied"]]["shard"].nunique() == 1
+    sizes = got.groupby("shard")["size"].sum()
+    assert len(sizes) == 8 and sizes.max() < 1.02 * sizes.mean()
+
+
+def test_names_of_helper_columns_survive(spark):
+    names = ["_key", "_copies", "_copy", "_rows", "_kept", "_starts"]
+    docs = documents(spark).select("*", *[F.concat(F.lit(n), "doc_id").alias(n) for n in names])
+    for out in (line_dedup.dedup_lines(docs, report=False), near_dedup.drop_near_duplicates(docs), mixing.mix_documents(docs)):
+        assert out.columns == docs.columns
+        assert out.where(" or ".join(f"`{n}` <> concat('{n}', doc_id)" for n in names)).isEmpty() and not out.isEmpty()

@@ -64,6 +64,8 @@ def test_visits_are_widened_to_every_leaf_when_needed():
     q = vector_search.unit(rng.standard_normal((1, 8)))[0]
     assert sorted(tree.visits(q, tree.leaves)) == list(range(tree.leaves))
     assert tree.visits(q, 3) == tree.visits(q, tree.leaves)[:3]
+    ones = np.ones(tree.leaves, np.int64)
+    assert tree.visits(q, 3, ones, 6) == tree.visits(q, tree.leaves)[:6]  # goes on until enough rows were met
 
 
 @pytest.mark.parametrize("block", [512, 6])
