@@ -8,24 +8,23 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assetboard.operators.boosting import BoostedBoards, BoostSettings, Spec, fit_boosted_boards
 from assetboard.operators.forest import forest_predictions
-from assetboard.operators.metrics import regression_metrics, roc_auc
+from assetboard.operators.metrics import regression_metrics
 from assetboard.operators.ordering import hash_positions, prefix_sums
 from assetboard.operators.quality import fit_imputer
 from assetboard.session import land
 
-# Seed, folds, leaf size, quantile of assets without history, hidden layers.
+# Seed, folds, leaf size, quantile of assets without history.
 SEED = 474
 FOLDS = 10
 MIN_LEAF = 10
 RISK_QUANTILE = 0.35
-HIDDEN_LAYERS = (32, 16)
 DELAY_SPLIT = {"train": 0.70, "val": 0.15, "test": 0.15}
 SALES_SPLIT = {"train": 0.75, "test": 0.25}
 
@@ -145,40 +144,6 @@ def weights_table(model, names: Sequence[str], spark, keep: Sequence[str] | None
     return spark.createDataFrame(rows, "processed_input string, weight double").orderBy(F.desc(F.abs("weight")), "processed_input")
 
 
-def replicate_by_weight(df: DataFrame, weight: str, ids: Sequence[str], seed: int = SEED) -> DataFrame:
-    """Rows repeated in proportion to their weight, for learners without weights.
-
-    The smallest weight stands for one copy, so no row is dropped; fractional copies are settled by
-    a seeded hash.
-    """
-    least = df.agg(F.min(weight)).first()[0]
-    copies = F.col(weight) / F.lit(float(least))
-    draw = F.pmod(F.xxhash64(*[F.col(c) for c in ids], F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
-    whole = F.floor(copies) + F.when(draw < copies - F.floor(copies), 1).otherwise(0)
-    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), whole.cast("int")))).drop("_copy")
-
-
-def fit_network(train: DataFrame, validation: DataFrame, label: str, n_features: int, features: str = "features",
-                hidden: Sequence[int] = HIDDEN_LAYERS, rounds: int = 10, iterations: int = 10, patience: int = 2, seed: int = SEED):
-    """Feed-forward network trained in rounds, stopped on validation AUC, best round returned."""
-    best, best_auc, waited, weights = None, -1.0, 0, None
-    for _ in range(rounds):
-        learner = MultilayerPerceptronClassifier(featuresCol=features, labelCol=label, layers=[n_features, *hidden, 2],
-                                                 maxIter=iterations, seed=seed)
-        if weights is not None:
-            learner = learner.setInitialWeights(weights)
-        model = learner.fit(train)
-        weights = model.weights
-        auc = roc_auc(positive_probability(model.transform(validation)), label, "score").first()[0] or 0.0
-        if auc > best_auc:
-            best, best_auc, waited = model, auc, 0
-        else:
-            waited += 1
-            if waited >= patience:
-                break
-    return best, best_auc
-
-
 # --- board regressors ---------------------------------------------------------------------------
 
 @dataclass(frozen=True)

@@ -15,6 +15,8 @@ from assetboard.sources.sinks import write_snapshot
 
 # Games below which in-season data has no weight, and the prior's weight in games.
 MIN_GAMES = 3
+# Fixed value: games that make a season a full one in the back-test.
+FULL_GAMES = 10
 PRIOR_STRENGTH = 5
 
 

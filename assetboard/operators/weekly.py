@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -188,9 +189,15 @@ def validate(train: DataFrame, fit: tuple, folds: int) -> DataFrame:
 
 
 def publish(run: Run, path: str, season: int) -> tuple[DataFrame, DataFrame]:
-    """Write the boards, and return the search index and the run's metadata."""
+    """Write the boards, the search index and the run's metadata below ``path``; return the latter two as written."""
     directory = run.crosswalk.select(F.col("gsis_id").alias("asset_id"), "sleeper_id", "team")
     published = boards.published(run.board, directory)
-    write_boards(published, path)
+    write_boards(published, f"{path}/boards")
     index = boards.search_index(published.where((F.col("format") == "sf_dynasty") & (F.col("team_size") == 12)))
-    return index, boards.board_metadata(published, season)
+    index.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/search_index")
+    # Written last, so that a folder with metadata holds whole boards.
+    stamp = datetime.now(timezone.utc).isoformat()
+    metadata = boards.board_metadata(published, season).withColumn("generated_at", F.lit(stamp))
+    metadata.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
+    read = index.sparkSession.read
+    return read.schema(index.schema).json(f"{path}/search_index"), read.schema(metadata.schema).json(f"{path}/metadata")

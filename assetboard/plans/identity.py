@@ -131,9 +131,9 @@ def active_ids(t: Inputs):
 
 @query("active_universe_filter", f"""
     select p.asset_id, p.season, exists (select 1 from @draft d where d.asset_id = p.asset_id) as drafted from @asset_panel p
-    where p.asset_id in (select mfl_id from ({RESOLVED_A}) q where mfl_id is not null and value > 150000)""")
+    where p.asset_id in (select mfl_id from ({RESOLVED_A}) q where mfl_id is not null)""")
 def active_universe_filter(t: Inputs):
-    active = resolved_a(t).where(F.col("value") > 150000).select(F.col("mfl_id").alias("asset_id"))
+    active = resolved_a(t).where(F.col("mfl_id").isNotNull()).select(F.col("mfl_id").alias("asset_id"))
     panel = keep_matching(t["asset_panel"].select("asset_id", "season"), active, "asset_id")
     drafted = keep_matching(panel, t["draft"], "asset_id").withColumn("drafted", F.lit(True))
     return drafted.unionByName(keep_unmatched(panel, t["draft"], {"asset_id": "asset_id"}).withColumn("drafted", F.lit(False)))

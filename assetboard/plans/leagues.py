@@ -113,7 +113,7 @@ def eb_blend(t: Inputs):
 
 @query("blend_backtest", f"""
     with prior as (select asset_id, cast(points as double) / games as prior_ppg from @asset_panel where season = 2000),
-    full_ as (select asset_id, sum(points) / cast(count(distinct week) as double) as true_ppg from @asset_week group by asset_id having count(distinct week) >= 4),
+    full_ as (select asset_id, sum(points) / cast(count(distinct week) as double) as true_ppg from @asset_week group by asset_id having count(distinct week) >= 10),
     pool as (select p.asset_id, prior_ppg, true_ppg from prior p join full_ f on p.asset_id = f.asset_id),
     cuts as (select * from (values (1), (2), (8), (16)) c(cut)),
     part_ as (select w.asset_id, c.cut, count(distinct week) as g, sum(points) as pts from @asset_week w join cuts c on week <= cut group by w.asset_id, c.cut),
@@ -134,4 +134,4 @@ def blend_backtest(t: Inputs):
 
 def to_full_season(t: Inputs):
     weeks = t["asset_week"].groupBy("asset_id").agg(F.countDistinct("week").alias("g"), F.sum("points").alias("p"))
-    return weeks.where("g >= 4").select("asset_id", safe_ratio(F.col("p"), F.col("g")).alias("true_ppg"))
+    return weeks.where(F.col("g") >= refresh.FULL_GAMES).select("asset_id", safe_ratio(F.col("p"), F.col("g")).alias("true_ppg"))

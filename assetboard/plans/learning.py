@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from assetboard.functions.numeric import grid_round
-from assetboard.operators import boards, learning, marts, metrics, picks, quality, refresh, runs
+from assetboard.operators import boards, learning, marts, metrics, network, picks, quality, refresh, runs
 from assetboard.operators.consensus import rank_power_weights
 from assetboard.plans.panels import feature_frame, to_date_frame
 from assetboard.plans.profiles import labelled_reps
@@ -112,10 +112,8 @@ def fit_logistic(t: Inputs):
 @query("fit_mlp")
 def fit_mlp(t: Inputs):
     train, validation = delay_frames(t)
-    width = len(learning.feature_names(validation))
-    balanced = learning.replicate_by_weight(train, "class_weight", ROW)
-    model, _ = learning.fit_network(balanced, validation, "label", width)
-    return learning.positive_probability(model.transform(validation)).select(*ROW, "label", "score")
+    model, _ = network.fit_network(train, validation, "label", ROW, "class_weight", seed=learning.SEED)
+    return model.score(validation).select(*ROW, "label", "score")
 
 
 @query("fit_sales")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from assetboard.operators import learning
+from assetboard.operators import learning, network
 
 SMALL = learning.TreeSettings(iterations=5, depth=3, trees=6)
 
@@ -75,13 +75,43 @@ def test_logistic_solves_the_penalised_sum(rows):
     assert [abs(r["weight"]) for r in table] == sorted((abs(r["weight"]) for r in table), reverse=True)
 
 
-def test_replication_keeps_every_row(rows):
-    weighted = learning.with_class_weights(rows, "y")
-    copies = learning.replicate_by_weight(weighted, "class_weight", ["id"]).groupBy("y").agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"))
-    got = {r["y"]: (r["n"], r["ids"]) for r in copies.collect()}
-    sizes = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
-    assert {y: ids for y, (_, ids) in got.items()} == sizes
-    assert abs(got[0][0] - got[1][0]) < 0.1 * max(sizes.values())
+def test_network_slopes_are_differences():
+    rng = np.random.default_rng(2)
+    x, y, w = rng.normal(size=(20, 4)), rng.integers(0, 2, 20).astype(float), rng.uniform(0.5, 2, 20)
+    net = network.Network.start(4, (5, 3), 1)
+    masks = [(network.uniform(np.arange(20), n, 3) >= 0.2) / 0.8 for n in (5, 3)]
+
+    def loss(layers):
+        seen = x
+        for (a, b), mask in zip(layers[:-1], masks):
+            seen = np.maximum(seen @ a + b, 0) * mask
+        p = 1 / (1 + np.exp(-(seen @ layers[-1][0] + layers[-1][1])[:, 0]))
+        return -(w * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum()
+
+    for k, pair in enumerate(net.gradients(x, y, w, masks)):
+        for part, slope in enumerate(pair):
+            at = tuple(rng.integers(0, s) for s in slope.shape)
+            moved = []
+            for by in (1e-6, -1e-6):
+                layers = [tuple(p.copy() for p in layer) for layer in net.layers]
+                layers[k][part][at] += by
+                moved.append(loss(layers))
+            assert np.isclose((moved[0] - moved[1]) / 2e-6, slope[at], atol=1e-4)
+
+
+def test_network_learns_what_no_plane_parts(spark):
+    rng = np.random.default_rng(5)
+    data = [(i, float(a), float(b), int((a > 0) != (b > 0)), 1.0 + (i % 2)) for i, (a, b) in enumerate(rng.normal(size=(3000, 2)))]
+    df = spark.createDataFrame(data, "id long, a double, b double, y int, w double")
+    encoded = learning.encoder(df, ["a", "b"], []).transform(df)
+    train, validation = encoded.where("id < 2400"), encoded.where("id >= 2400")
+    args = (train, validation, "y", ["id"], "w")
+    model, auc = network.fit_network(*args, rate=0.01, epochs=3, steps=20, seed=4)
+    again, same = network.fit_network(train.repartition(3), *args[1:], rate=0.01, epochs=3, steps=20, seed=4)
+    assert auc > 0.9 and abs(auc - same) < 1e-6
+    scored = model.score(validation).toPandas()
+    assert "features" not in scored and scored["score"].between(0, 1).all() and len(scored) == 600
+    assert network.fit_network(train.where("false"), *args[1:]) == (None, 0.0)
 
 
 def test_board_fit_predict_save_load(rows, tmp_path):

@@ -63,6 +63,7 @@ def test_weekly_run_publish_and_refresh(spark, tmp_path):
     row = metadata.first()
     assert index.count() == PEOPLE + 27 and (row["player_count"], row["pick_count"], len(row["formats"])) == (PEOPLE, 27, 6)
     assert index.where("asset_type = 'player' and sleeper_id is null").isEmpty()
+    assert row["generated_at"].endswith("+00:00") and spark.read.json(str(tmp_path / "boards" / "boards")).count() == run.board.count()
 
     names = run.crosswalk.select("gsis_id", "name")
     again = refresh.recompute_board(run.features, None, run.fits, run.targets, names, run.picks, "gsis_id")
