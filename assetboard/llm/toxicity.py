@@ -32,7 +32,7 @@ GRAMS = (3, 4, 5)
 GRAM_BUCKETS = 1 << 16
 SAMPLE_DOCS = 800
 SLICE_BYTES = 1_000_000
-CACHE_WORDS = 200_000
+CACHE_WORDS = 50_000
 THRESHOLD = 0.7
 _EDGES = ".,;:!?\"'()[]{}"
 
