@@ -1,11 +1,9 @@
-"""Splits, encoders, weighted fits and out-of-fold scoring with pyspark.ml."""
+"""Splits, encoders, linear classifiers, and the fits and out-of-fold predictions of all boards."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -16,8 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from assetboard.operators.boosting import BoostedBoards, BoostSettings, Spec, fit_boosted_boards
 from assetboard.operators.forest import forest_predictions
 from assetboard.operators.metrics import regression_metrics
-from assetboard.operators.ordering import hash_positions, prefix_sums
-from assetboard.operators.quality import fit_imputer
+from assetboard.operators.ordering import hash_positions
 from assetboard.session import land
 
 # Seed, folds, leaf size, quantile of assets without history.
@@ -231,23 +228,6 @@ def out_of_fold(train: DataFrame, keys: Sequence[str], target: str, weight: str
     return models.score(folded, {"_log": 0}, "fold").select(*kept, F.exp("_log").alias(out))
 
 
-def overlapped(job: Callable, items: Sequence, parallel: int = 3) -> list:
-    """Results of ``job`` per item; a few independent Spark jobs run at a time."""
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(items)))) as pool:
-        return list(pool.map(job, items))
-
-
-def stacked(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
-def board_is(keys: Sequence[str], board: Sequence) -> Column:
-    condition = F.lit(True)
-    for k, v in zip(keys, board):
-        condition = condition & (F.col(k) == F.lit(v))
-    return condition
-
-
 def predict_boards(features: DataFrame, members: DataFrame, fits: BoardFits, asset: str, history: str = "career_games") -> DataFrame:
     """Score every board's assets (``members``: board keys and asset) by the board's own models."""
     scored = fits.predict(members.join(features, asset), history)

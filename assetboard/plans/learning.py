@@ -3,7 +3,6 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from assetboard.functions.numeric import grid_round
 from assetboard.operators import boards, learning, marts, metrics, network, picks, quality, refresh, runs
 from assetboard.operators.consensus import rank_power_weights
 from assetboard.plans.panels import feature_frame, to_date_frame

@@ -3,7 +3,6 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from assetboard.operators import learning, network
 
