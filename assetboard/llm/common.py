@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -16,10 +19,22 @@ WORD = r"[^\x20\x09-\x0D]+"
 _KEEPERS: dict[str, object] = {}
 
 
+def give_back() -> None:
+    """Give memory that Python, Arrow and the C library hold without need back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library has it
+    if trim is not None:
+        trim(0)
+
+
 def claim(owner: str, forget=lambda: None) -> None:
     """Free what other operators keep in this worker, which lives on from stage to stage; ``forget`` frees the owner's."""
-    for other in [k for k in _KEEPERS if k != owner]:
+    others = [k for k in _KEEPERS if k != owner]
+    for other in others:
         _KEEPERS.pop(other)()
+    if others:
+        give_back()
     _KEEPERS[owner] = forget
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assetboard.llm.common import bounds_at, claim, is_gap, slices, utf8_buffer
+from assetboard.llm.common import bounds_at, claim, give_back, is_gap, slices, utf8_buffer
 
 WINDOW, STRIDE = 32, 16
 GRAMS = (3, 4, 5)
@@ -410,6 +410,8 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_docs: int, id_column: str,
     """A broadcast of the network trained on the sample (none without both labels), and a name for it."""
     texts, toxic = training_sample(docs, labels, sample_docs, id_column, text_column)
     net = fit(texts, toxic, **options) if len(set(toxic)) > 1 else None
+    del texts, toxic
+    give_back()  # what training on the driver took
     return docs.sparkSession.sparkContext.broadcast(net), uuid.uuid4().hex
 
 
