@@ -415,6 +415,12 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_docs: int, id_column: str,
     return docs.sparkSession.sparkContext.broadcast(net), uuid.uuid4().hex
 
 
+def done() -> None:
+    """At a task's end nothing stays in its worker, which lives on through other stages."""
+    _SCORERS.clear()
+    give_back()
+
+
 def scored_slices(scorer: Scorer | None, column: pa.Array):
     """(start, stop, scores, windows) of runs of rows."""
     texts = pa.compute.fill_null(column, "")
@@ -439,6 +445,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE
                     [*kept, pa.array(score), pa.array((score >= threshold).astype(np.int32)),
                      pa.array(windows.astype(np.int64))],
                     names=[id_column, "held_out", "score", "predicted", "n_windows"])
+        done()
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, text_column, held_out(id_column).alias("held_out")).mapInArrow(
@@ -456,5 +463,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOC
             column = batch.column(batch.schema.get_field_index(text_column))
             for start, stop, score, _ in scored_slices(scorer, column):
                 yield batch.slice(start, stop - start).filter(pa.array(score < threshold))
+        done()
 
     return docs.mapInArrow(run, docs.schema)
