@@ -68,10 +68,11 @@ def recompute_board(features: DataFrame, partial: DataFrame | None, fits: BoardF
 
 
 def blend_backtest(pool: DataFrame, weeks: DataFrame, asset: str, week: str, points: str, cutoffs: Sequence[int],
-                   min_games: int = MIN_GAMES, prior_strength: int = PRIOR_STRENGTH) -> DataFrame:
+                   min_games: int = MIN_GAMES, prior_strength: int = PRIOR_STRENGTH, pools: str | None = None) -> DataFrame:
     """Error of the prior alone and of the blend against the full season, per cutoff week.
 
-    ``pool``: asset, prior_ppg, true_ppg. Weeks are aggregated once per (asset, week); each cutoff is
+    ``pool``: asset, prior_ppg, true_ppg, and in ``pools`` the names of the pools an asset counts in, each
+    reported by itself. Weeks are aggregated once per (asset, week); each cutoff is
     a conditional sum over that, so the weekly table is read once for all cutoffs.
     """
     weekly = weeks.groupBy(asset, week).agg(F.sum(points).alias("_pts"))
@@ -86,11 +87,13 @@ def blend_backtest(pool: DataFrame, weeks: DataFrame, asset: str, week: str, poi
                  F.col(f"_p{cut}").alias("p"))
         for cut in cutoffs
     ])
-    rows = joined.select("prior_ppg", "true_ppg", F.inline(cells))
+    if pools:
+        joined = joined.withColumn("pool", F.explode(pools))
+    rows = joined.select("prior_ppg", "true_ppg", *(["pool"] if pools else []), F.inline(cells))
     w = shrink_weight(F.col("g"), min_games, prior_strength)
     sample = F.coalesce(F.col("p").cast("double") / F.nullif(F.col("g").cast("double"), F.lit(0.0)), F.col("prior_ppg"))
     blended = w * sample + (F.lit(1.0) - w) * F.col("prior_ppg")
-    return rows.groupBy("through_week").agg(
+    return rows.groupBy(*(["pool"] if pools else []), "through_week").agg(
         F.count("*").alias("n_assets"),
         F.avg(F.col("g").cast("double")).alias("mean_games"),
         F.coalesce(F.avg(F.when(F.col("g") > 0, w)), F.lit(0.0)).alias("mean_weight"),

@@ -113,25 +113,27 @@ def eb_blend(t: Inputs):
 
 @query("blend_backtest", f"""
     with prior as (select asset_id, cast(points as double) / games as prior_ppg from @asset_panel where season = 2000),
-    full_ as (select asset_id, sum(points) / cast(count(distinct week) as double) as true_ppg from @asset_week group by asset_id having count(distinct week) >= 10),
-    pool as (select p.asset_id, prior_ppg, true_ppg from prior p join full_ f on p.asset_id = f.asset_id),
+    full_ as (select asset_id, sum(points) / cast(count(distinct week) as double) as true_ppg, count(distinct week) as weeks from @asset_week group by asset_id),
+    pool as (select p.asset_id, prior_ppg, true_ppg, b.pool from prior p join full_ f on p.asset_id = f.asset_id
+             join (values ('every season', 0), ('full season', 10)) b(pool, least_weeks) on weeks >= least_weeks),
     cuts as (select * from (values (1), (2), (8), (16)) c(cut)),
     part_ as (select w.asset_id, c.cut, count(distinct week) as g, sum(points) as pts from @asset_week w join cuts c on week <= cut group by w.asset_id, c.cut),
-    j as (select cut, prior_ppg, true_ppg, coalesce(g, 0) as g, coalesce(cast(pts as double) / g, prior_ppg) as s,
+    j as (select pool, cut, prior_ppg, true_ppg, coalesce(g, 0) as g, coalesce(cast(pts as double) / g, prior_ppg) as s,
                  case when coalesce(g, 0) < 3 then 0.0 else g / (g + 5.0) end as w
           from pool cross join cuts left join part_ using (asset_id, cut))
-    select cut as through_week, count(*) as n_assets, {r('avg(g)')} as mean_games, {r('coalesce(avg(case when g > 0 then w end), 0)')} as mean_weight, {r('max(w)')} as max_weight,
+    select pool, cut as through_week, count(*) as n_assets, {r('avg(g)')} as mean_games, {r('coalesce(avg(case when g > 0 then w end), 0)')} as mean_weight, {r('max(w)')} as max_weight,
            {r('avg(abs(prior_ppg - true_ppg))')} as mae_prior, {r('avg(abs(w * s + (1 - w) * prior_ppg - true_ppg))')} as mae_blended,
            avg(abs(w * s + (1 - w) * prior_ppg - true_ppg)) < avg(abs(prior_ppg - true_ppg)) as improved
-    from j group by cut""")
+    from j group by pool, cut""")
 def blend_backtest(t: Inputs):
-    """Week 1 is the guard row: one game carries no weight."""
+    """Over every asset with a prior, and over full seasons alone. Week 1 is the guard row: one game carries no weight."""
     prior = t["asset_panel"].where("season = 2000").select("asset_id", safe_ratio(F.col("points"), F.col("games")).alias("prior_ppg"))
-    whole = to_full_season(t)
-    d = refresh.blend_backtest(prior.join(whole, "asset_id"), t["asset_week"], "asset_id", "week", "points", (1, 2, 8, 16))
-    return d.select("through_week", "n_assets", *[grid_round(F.col(c)).alias(c) for c in ("mean_games", "mean_weight", "max_weight", "mae_prior", "mae_blended")], "improved")
+    pools = F.filter(F.array(F.lit("every season"), F.when(F.col("weeks") >= refresh.FULL_GAMES, "full season")), lambda p: p.isNotNull())
+    pool = prior.join(true_season(t), "asset_id").withColumn("pools", pools)
+    d = refresh.blend_backtest(pool, t["asset_week"], "asset_id", "week", "points", (1, 2, 8, 16), pools="pools")
+    return d.select("pool", "through_week", "n_assets", *[grid_round(F.col(c)).alias(c) for c in ("mean_games", "mean_weight", "max_weight", "mae_prior", "mae_blended")], "improved")
 
 
-def to_full_season(t: Inputs):
-    weeks = t["asset_week"].groupBy("asset_id").agg(F.countDistinct("week").alias("g"), F.sum("points").alias("p"))
-    return weeks.where(F.col("g") >= refresh.FULL_GAMES).select("asset_id", safe_ratio(F.col("p"), F.col("g")).alias("true_ppg"))
+def true_season(t: Inputs):
+    weeks = t["asset_week"].groupBy("asset_id").agg(F.countDistinct("week").alias("weeks"), F.sum("points").alias("p"))
+    return weeks.select("asset_id", "weeks", safe_ratio(F.col("p"), F.col("weeks")).alias("true_ppg"))
