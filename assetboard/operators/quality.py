@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from assetboard.functions.numeric import grid_round
 from assetboard.operators.ordering import column_quantiles
+from assetboard.session import land
 
 
 def _stack(pairs: Sequence[tuple[str, Column]], name: str, value: str) -> Column:
@@ -75,7 +76,11 @@ def duplicate_row_count(df: DataFrame) -> DataFrame:
 
 
 def drop_sparse_columns(df: DataFrame, limit: float = 0.40) -> tuple[DataFrame, list[str]]:
-    """Drop columns with more than ``limit`` missing (an all-null column is one of them)."""
+    """Drop columns with more than ``limit`` missing (an all-null column is one of them).
+
+    The rows are read once for the shares and once for the result, so they are written once.
+    """
+    df = land(df, "dense")
     dropped = [c for c, share in missing_fractions(df).items() if share is not None and (share > limit or share == 1.0)]
     return df.drop(*dropped), dropped
 
