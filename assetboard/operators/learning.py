@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from assetboard.operators.boosting import BoostedBoards, BoostSettings, Spec, fit_boosted_boards
 from assetboard.operators.forest import forest_predictions
 from assetboard.operators.metrics import regression_metrics
-from assetboard.operators.ordering import hash_positions
+from assetboard.operators.ordering import hash_parts, hash_positions
 from assetboard.session import land
 
 # Seed, folds, leaf size, quantile of assets without history.
@@ -30,15 +30,20 @@ SALES_SPLIT = {"train": 0.75, "test": 0.25}
 
 def stratified_split(df: DataFrame, label: str, ids: Sequence[str], shares: Mapping[str, float], seed: int = SEED,
                      out: str = "split") -> DataFrame:
-    """Exact class shares per split (to the row), the same on every run."""
-    placed = hash_positions(df, [label], ids, seed, "_at", "_size")
-    upto, split, names = 0.0, None, list(shares)
-    for name in names[:-1]:
-        upto += shares[name]
-        inside = F.col("_at") < F.floor(F.col("_size") * F.lit(upto) + 0.5)
-        split = F.when(inside, name) if split is None else split.when(inside, name)
-    last = F.lit(names[-1])
-    return placed.withColumn(out, last if split is None else split.otherwise(last)).drop("_at", "_size")
+    """Exact class shares per split (to the row), the same on every run.
+
+    The rows are counted by hash before they are dealt, so they are written once; dealing shuffles only the rows
+    next to a border between two splits.
+    """
+    def part(at: Column, size: Column) -> Column:
+        upto, split, names = 0.0, None, list(shares)
+        for name in names[:-1]:
+            upto += shares[name]
+            inside = at < F.floor(size * F.lit(upto) + 0.5)
+            split = F.when(inside, name) if split is None else split.when(inside, name)
+        return F.lit(names[-1]) if split is None else split.otherwise(F.lit(names[-1]))
+
+    return hash_parts(land(df, "split"), [label], ids, seed, part, out)
 
 
 def exact_sample(df: DataFrame, n: int, ids: Sequence[str], seed: int = SEED) -> DataFrame:

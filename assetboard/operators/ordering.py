@@ -8,7 +8,7 @@ Top-k per group is left to a ranked filter, which Spark cuts to k rows per map t
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -227,21 +227,43 @@ def hash_positions(df: DataFrame, keys: Sequence[str], ids: Sequence[str], seed:
     written, at most 2^bits rows per group, so that the planner knows their size.
     """
     keys = list(keys)
+    hashed, offsets = _hash_slices(df, keys, ids, seed, size_out, bits)
+    inside = Window.partitionBy(*keys, "_slice").orderBy("_hash", *ids)
+    local = hashed.withColumn("_rank", F.row_number().over(inside) - 1)
+    joined = _attach(local, offsets, [*keys, "_slice"])
+    return joined.withColumn(out, F.col("_offset") + F.col("_rank")).drop("_hash", "_slice", "_rank", "_offset", "_n")
+
+
+def hash_parts(df: DataFrame, keys: Sequence[str], ids: Sequence[str], seed: int, part: Callable[[Column, Column], Column],
+               out: str = "part", bits: int = 14) -> DataFrame:
+    """``part(position, group size)`` of each row in the seeded shuffle of ``hash_positions``, for parts that are stretches of it.
+
+    A slice whose first and last position lie in one part goes there as a whole; only slices that a border cuts
+    are ranked, a few per group, so no other row is shuffled. ``df`` is read three times, so it should be a written table.
+    """
+    keys = list(keys)
+    hashed, offsets = _hash_slices(df, keys, ids, seed, "_size", bits)
+    first, last = part(F.col("_offset"), F.col("_size")), part(F.col("_offset") + F.col("_n") - 1, F.col("_size"))
+    joined = _attach(hashed, offsets.withColumn(out, F.when(first == last, first)), [*keys, "_slice"])
+    inside = Window.partitionBy(*keys, "_slice").orderBy("_hash", *ids)
+    cut = joined.where(F.col(out).isNull()).withColumn("_rank", F.row_number().over(inside) - 1)
+    cut = cut.withColumn(out, part(F.col("_offset") + F.col("_rank"), F.col("_size")))
+    return joined.where(F.col(out).isNotNull()).select(*df.columns, out).union(cut.select(*df.columns, out))
+
+
+def _hash_slices(df: DataFrame, keys: list[str], ids: Sequence[str], seed: int, size_out: str, bits: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with hash and slice, and per group and slice its first position, rows, and the group's size."""
     hashed = df.withColumn("_hash", F.xxhash64(*[F.col(c) for c in ids], F.lit(seed))).withColumn(
         "_slice", F.shiftright("_hash", 64 - bits).cast("int")
     )
     counts = hashed.groupBy(*keys, "_slice").agg(F.count("*").alias("_n"))
     by_group = Window.partitionBy(*keys)
     earlier = by_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = land(counts.select(
-        *keys, "_slice",
+    return hashed, land(counts.select(
+        *keys, "_slice", "_n",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
         F.sum("_n").over(by_group).alias(size_out),
     ), "slices")
-    inside = Window.partitionBy(*keys, "_slice").orderBy("_hash", *ids)
-    local = hashed.withColumn("_rank", F.row_number().over(inside) - 1)
-    joined = _attach(local, offsets, [*keys, "_slice"])
-    return joined.withColumn(out, F.col("_offset") + F.col("_rank")).drop("_hash", "_slice", "_rank", "_offset")
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None) -> DataFrame:
