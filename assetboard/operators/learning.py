@@ -5,10 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from assetboard.operators.boosting import BoostedBoards, BoostSettings, Spec, fit_boosted_boards
@@ -88,27 +86,56 @@ def scale(df: DataFrame, deviations: Mapping[str, float]) -> DataFrame:
     return df.select(*[(F.col(c) / F.lit(deviations[c])).alias(c) if c in deviations else F.col(c) for c in df.columns])
 
 
+@dataclass(frozen=True)
+class Encoder:
+    """Slots of a feature vector: numbers over their deviations, then one slot per category, all as plain columns."""
+
+    deviations: Mapping[str, float]
+    #: The categories of each column that have a slot, in order.
+    slots: Mapping[str, Sequence[str]]
+    #: Categories without a slot that are no error; ``None`` where any value may come.
+    left_out: Mapping[str, Sequence[str]] | None = None
+    out: str = "features"
+
+    def transform(self, df: DataFrame, vector: bool = True) -> DataFrame:
+        """``df`` with its features, as a vector or as an array of doubles; a missing number is an error."""
+        values, names = [], []
+        for c, deviation in self.deviations.items():
+            number = F.col(c).cast("double")
+            wrong = F.raise_error(F.lit(f"missing number in {c}")).cast("double")
+            values.append(F.when(number.isNull() | F.isnan(number), wrong).otherwise(number / F.lit(float(deviation))))
+            names.append(f"s_{c}")
+        numbers = len(names)
+        for c, labels in self.slots.items():
+            text = F.col(c).cast("string")
+            known = F.lit(0.0)
+            if self.left_out is not None:
+                wrong = F.raise_error(F.concat(F.lit(f"unknown category in {c}: "), F.coalesce(text, F.lit("null")))).cast("double")
+                known = F.when(text.isin([*labels, *self.left_out[c]]), F.lit(0.0)).otherwise(wrong)
+            values += [F.when(text == F.lit(label), F.lit(1.0)).otherwise(known) for label in labels]
+            names += [f"h_{c}_{label}" for label in labels]
+        attributes = [{"idx": i, "name": name} for i, name in enumerate(names)]
+        kinds = {kind: found for kind, found in (("numeric", attributes[:numbers]), ("binary", attributes[numbers:])) if found}
+        array = F.array(*values).cast("array<double>")
+        return df.select("*", (array_to_vector(array) if vector else array).alias(
+            self.out, metadata={"ml_attr": {"attrs": kinds, "num_attrs": len(names)}}))
+
+
 def encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], drop_first: bool = False,
-            out: str = "features", scaled: bool = True) -> PipelineModel:
+            out: str = "features", scaled: bool = True) -> Encoder:
     """Numeric columns, scaled to unit variance unless told otherwise, next to one-hot categories.
 
     Unknown categories become all zeros; ``drop_first`` leaves out the alphabetically first category
     instead and knows no unknowns.
     """
     deviations = fit_scaler(train, numeric) if numeric and scaled else {c: 1.0 for c in numeric}
-    stages: list = []
-    if numeric:
-        parts = ", ".join(f"double(`{c}`) / {deviations[c]!r}D AS `s_{c}`" for c in numeric)
-        stages.append(SQLTransformer(statement=f"SELECT *, {parts} FROM __THIS__"))
+    found: dict = {c: [] for c in categorical}
     if categorical:
-        order = "alphabetDesc" if drop_first else "alphabetAsc"
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=[f"i_{c}" for c in categorical],
-                                    handleInvalid="error" if drop_first else "keep", stringOrderType=order))
-        stages.append(OneHotEncoder(inputCols=[f"i_{c}" for c in categorical], outputCols=[f"h_{c}" for c in categorical],
-                                    dropLast=True))
-    inputs = [f"s_{c}" for c in numeric] + [f"h_{c}" for c in categorical]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=out))
-    return Pipeline(stages=stages).fit(train)
+        sets = train.agg(*[F.collect_set(F.col(c).cast("string")).alias(f"_c{i}") for i, c in enumerate(categorical)]).first()
+        found = {c: sorted(sets[i], reverse=drop_first) for i, c in enumerate(categorical)}
+    if drop_first:
+        return Encoder(deviations, {c: labels[:-1] for c, labels in found.items()}, {c: labels[-1:] for c, labels in found.items()}, out)
+    return Encoder(deviations, found, None, out)
 
 
 def feature_names(encoded: DataFrame, column: str = "features") -> list[str]:

@@ -85,16 +85,19 @@ def one_hot(t: Inputs):
 
 # --- classifiers --------------------------------------------------------------------------------
 
-def delay_frames(t: Inputs):
-    """Imputed, encoded and class-weighted train and validation rows; everything is fitted on train."""
+def delay_frames(t: Inputs, vector: bool = True):
+    """Imputed, encoded and class-weighted train and validation rows; everything is fitted on train.
+
+    The split rows are written; what follows is columns over them, cheaper to make again than to write and read.
+    """
     rows = land(split_flights(t), "delay")
     train = rows.where("split = 'train'")
     fills = quality.fit_imputer(train, DELAY_NUMERIC, DELAY_CATEGORICAL)
     train, validation = (quality.impute(rows.where(F.col("split") == s), fills) for s in ("train", "val"))
     model = learning.encoder(train, DELAY_NUMERIC, DELAY_CATEGORICAL)
     keep = [*ROW, "label", "features"]
-    weighted = learning.with_class_weights(model.transform(train).select(*keep), "label")
-    return land(weighted, "train"), land(model.transform(validation).select(*keep), "validation")
+    weighted = learning.with_class_weights(train, "label")
+    return model.transform(weighted, vector).select(*keep, "class_weight"), model.transform(validation, vector).select(*keep)
 
 
 @query("fit_logistic")
