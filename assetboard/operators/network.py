@@ -1,7 +1,9 @@
 """A feed-forward network for two classes, trained by mini-batches whose gradients are summed where the rows are.
 
 Hidden layers are rectified and thinned by dropout, the output is a sigmoid, the loss the weighted cross-entropy.
-An epoch has ``steps`` mini-batches; a hash of row and epoch deals every row to one of them. Tasks add up the
+An epoch has ``steps`` mini-batches; a hash of row and epoch deals every row to one of them. The rows are dealt once
+an epoch, inside their partitions and in order of the mini-batches, into a cached table whose scan passes over what
+a mini-batch does not need; so an epoch reads every row about once, not once per mini-batch. Tasks add up the
 gradients of their rows of a mini-batch, the driver adds those sums, as large as the network, and takes an Adam
 step. Dropout is drawn from the same hashes, so a run repeats itself whatever the partitioning, but for the order
 of sums. After every epoch the area under the curve of the validation rows decides whether to go on; the best
@@ -16,12 +18,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from assetboard.operators.metrics import roc_auc
+from assetboard.session import land
 
 # Layers, shares dropped, step size.
 HIDDEN, DROPOUT, RATE = (32, 16), (0.2, 0.1), 0.001
@@ -79,7 +82,7 @@ class Network:
                 p = model.value.forward(x) if len(x) else np.zeros(0)
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p)], names=[*rest, out])
 
-        wide = df.select(*rest, vector_to_array(features).alias(out))
+        wide = df.select(*rest, values_of(df, features).alias(out))
         fields = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in rest), f"`{out}` double"])
         return wide.mapInArrow(run, fields)
 
@@ -89,21 +92,62 @@ def rows_of(lists: pa.Array) -> np.ndarray:
     return flat.reshape(len(lists), -1) if len(lists) else np.zeros((0, 0))
 
 
-def fit_network(train: DataFrame, validation: DataFrame, label: str, ids: Sequence[str], weight: str | None = None, features: str = "features",
-                hidden: Sequence[int] = HIDDEN, dropout: Sequence[float] = DROPOUT, rate: float = RATE, epochs: int = 10, steps: int = 40,
-                patience: int = 2, seed: int = 0) -> tuple[Network | None, float]:
-    """The best epoch's network and its validation AUC; none without training rows. Both tables should be written ones."""
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    rows = train.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"), w.alias("w"), F.xxhash64(*ids).alias("h"))
+def values_of(df: DataFrame, features: str) -> Column:
+    """The features as an array, which they may be already."""
+    return F.col(features) if isinstance(df.schema[features].dataType, ArrayType) else vector_to_array(features)
+
 
-    def to_blocks(batches):
+def packed(table: np.ndarray, h: np.ndarray) -> bytes:
+    """Rows and their hashes as bytes; columns of zeros and ones take a byte a value."""
+    flags = ((table == 0) | (table == 1)).all(axis=0)
+    return pickle.dumps((flags, table[:, flags].astype(np.uint8), table[:, ~flags], h), protocol=5)
+
+
+def unpacked(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    flags, ones, numbers, h = pickle.loads(block)
+    table = np.empty((len(h), len(flags)))
+    table[:, flags], table[:, ~flags] = ones, numbers
+    return table, h
+
+
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """(width, block) of (x, y, w, h): many rows a block, their features, label and weight side by side."""
+    def run(batches):
         for batch in batches:
             if batch.num_rows:
-                block = (rows_of(batch.column(0)), *(batch.column(i).to_numpy() for i in (1, 2, 3)))
-                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block, protocol=5)], pa.binary())], names=["block"])
+                x = rows_of(batch.column(0))
+                block = packed(np.column_stack([x, *(batch.column(i).to_numpy() for i in (1, 2))]), batch.column(3).to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array([x.shape[1]], pa.int32()), pa.array([block], pa.binary())], names=["width", "block"])
+
+    return rows.mapInArrow(run, "width int, block binary")
 
-    blocks = rows.mapInArrow(to_blocks, "block binary").rdd.map(lambda r: pickle.loads(r[0])).persist(StorageLevel.MEMORY_AND_DISK)
-    width = next(iter(blocks.map(lambda b: b[0].shape[1]).take(1)), None)
+
+def dealt(blocks: DataFrame, draw: int, steps: int) -> DataFrame:
+    """(step, block) of every row, in order of the mini-batches within a partition."""
+    def run(batches):
+        for batch in batches:
+            for block in batch.column(0):
+                table, h = unpacked(block.as_py())
+                step = (uniform(h, 1, draw)[:, 0] * steps).astype(np.int32)
+                order = np.argsort(step, kind="stable")
+                found, first = np.unique(step[order], return_index=True)
+                parts = [packed(table[some], h[some]) for some in np.split(order, first[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(parts, pa.binary())], names=["step", "block"])
+
+    return blocks.select("block").mapInArrow(run, "step int, block binary").sortWithinPartitions("step")
+
+
+def fit_network(train: DataFrame, validation: DataFrame, label: str, ids: Sequence[str], weight: str | None = None, features: str = "features",
+                hidden: Sequence[int] = HIDDEN, dropout: Sequence[float] = DROPOUT, rate: float = RATE, epochs: int = 10, steps: int = 40,
+                patience: int = 2, seed: int = 0) -> tuple[Network | None, float]:
+    """The best epoch's network and its validation AUC; none without training rows.
+
+    The training rows are written in blocks; the validation rows are read every epoch and should come from a written table.
+    """
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    blocks = land(blocks_of(train.select(values_of(train, features).alias("x"), F.col(label).cast("double").alias("y"), w.alias("w"),
+                                         F.xxhash64(*ids).alias("h"))), "blocks")
+    width = next((r["width"] for r in blocks.select("width").take(1)), None)
     if width is None:
         return None, 0.0
     net = Network.start(width, hidden, seed)
@@ -112,9 +156,13 @@ def fit_network(train: DataFrame, validation: DataFrame, label: str, ids: Sequen
     square = [np.zeros_like(p) for p in mean]
     best, best_auc, waited, taken = net, -1.0, 0, 0
     for epoch in range(epochs):
+        draw = seed + 7919 * epoch
+        rows = dealt(blocks, draw, steps).persist()
         for step in range(steps):
             sums, n = None, 0
-            for part, count in blocks.mapPartitions(lambda bs, m=net, e=epoch, s=step: summed(bs, m, e, s, steps, dropout, seed)).collect():
+            run = lambda batches, m=net, d=draw: summed(batches, m, d, dropout)
+            for r in rows.where(F.col("step") == step).select("block").mapInArrow(run, "sums binary").collect():
+                part, count = pickle.loads(r["sums"])
                 sums = part if sums is None else [a + b for a, b in zip(sums, part)]
                 n += count
             if not n:
@@ -127,6 +175,7 @@ def fit_network(train: DataFrame, validation: DataFrame, label: str, ids: Sequen
                 square[i] = 0.999 * square[i] + 0.001 * g * g
                 new.append(p - rate * (mean[i] / (1 - 0.9 ** taken)) / (np.sqrt(square[i] / (1 - 0.999 ** taken)) + 1e-7))
             net = Network(list(zip(new[::2], new[1::2])))
+        rows.unpersist()
         auc = roc_auc(net.score(validation.select(label, features), features), label, "score").first()[0] or 0.0
         if auc > best_auc:
             best, best_auc, waited = net, auc, 0
@@ -134,20 +183,20 @@ def fit_network(train: DataFrame, validation: DataFrame, label: str, ids: Sequen
             waited += 1
             if waited >= patience:
                 break
-    blocks.unpersist()
     return best, best_auc
 
 
-def summed(blocks, net: Network, epoch: int, step: int, steps: int, dropout: Sequence[float], seed: int):
+def summed(batches, net: Network, draw: int, dropout: Sequence[float]):
     """One partition's sums of gradients over its rows of a mini-batch, and their number."""
     total, n = None, 0
-    for x, y, w, h in blocks:
-        some = np.flatnonzero((uniform(h, 1, seed + 7919 * epoch)[:, 0] * steps).astype(int) == step)
-        if not len(some):
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        masks = [(uniform(h[some], len(b), seed + 7919 * epoch + 104729 * (k + 1)) >= share) / (1 - share)
+        tables, hashes = zip(*(unpacked(block.as_py()) for block in batch.column(0)))
+        table, h = np.concatenate(tables), np.concatenate(hashes)
+        masks = [(uniform(h, len(b), draw + 104729 * (k + 1)) >= share) / (1 - share)
                  for k, ((_, b), share) in enumerate(zip(net.layers, dropout))]
-        part = [p for pair in net.gradients(x[some], y[some], w[some], masks) for p in pair]
-        total, n = part if total is None else [a + b for a, b in zip(total, part)], n + len(some)
+        part = [p for pair in net.gradients(table[:, :-2], table[:, -2], table[:, -1], masks) for p in pair]
+        total, n = part if total is None else [a + b for a, b in zip(total, part)], n + len(h)
     if n:
-        yield total, n
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((total, n), protocol=5)], pa.binary())], names=["sums"])

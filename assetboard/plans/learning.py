@@ -113,7 +113,7 @@ def fit_logistic(t: Inputs):
 
 @query("fit_mlp")
 def fit_mlp(t: Inputs):
-    train, validation = delay_frames(t)
+    train, validation = delay_frames(t, vector=False)
     model, _ = network.fit_network(train, validation, "label", ROW, "class_weight", seed=learning.SEED)
     return model.score(validation).select(*ROW, "label", "score")
 
