@@ -65,7 +65,13 @@ def value_share(df: DataFrame, column: str) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
+    """Keys that occur more than once, and how often.
+
+    They are grouped as one struct, so that the counts are always merged in tasks of their own: after a join on
+    one of the keys a single task would hold both sides of the join and the counts before and after merging.
+    """
+    counts = df.groupBy(F.struct(*keys).alias("_key")).agg(F.count("*").alias("copies"))
+    return counts.where(F.col("copies") > 1).select("_key.*", "copies")
 
 
 def duplicate_row_count(df: DataFrame) -> DataFrame:
