@@ -136,12 +136,17 @@ def sums_per_row(values: np.ndarray, per_row: np.ndarray) -> np.ndarray:
 
 def bloom(values: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray:
     """A filter of fixed size: bits set for every value. When it fills up it passes more, never less."""
-    at = F.pmod(F.xxhash64(column), F.lit(bits))
-    words = values.select(F.floor(at / 32).cast("int").alias("word"), F.expr(
-        f"shiftleft(1L, cast(pmod(xxhash64({column}), {bits}) % 32 as int))").alias("bit")).groupBy("word").agg(
-        F.bit_or("bit").alias("bit")).toPandas()
+    return set_bits(values, F.xxhash64(column), bits)
+
+
+def set_bits(values: DataFrame, hashes: Column, bits: int) -> np.ndarray:
+    """Bits set at every hash, as 32-bit words; they come to the driver as Arrow batches, not as rows."""
+    at = F.pmod(hashes, F.lit(bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 32).cast("int"))
+    words = values.select(F.floor(at / 32).cast("int").alias("word"), bit.alias("bit")).groupBy("word").agg(
+        F.bit_or("bit").alias("bit")).toArrow()
     out = np.zeros(bits // 32, np.uint32)
-    out[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64).astype(np.uint32)
+    out[words["word"].to_numpy()] = words["bit"].to_numpy().astype(np.uint32)
     return out
 
 
@@ -159,12 +164,7 @@ def maybe_in(rows: DataFrame, column: str, words: np.ndarray) -> Column:
 
 def bloom_of_hashes(values: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray:
     """Like ``bloom`` for a column that holds hashes already, so that tasks can ask it with ``in_bits``."""
-    words = values.select(F.floor(F.pmod(F.col(column), F.lit(bits)) / 32).cast("int").alias("word"), F.expr(
-        f"shiftleft(1L, cast(pmod({column}, {bits}) % 32 as int))").alias("bit")).groupBy("word").agg(
-        F.bit_or("bit").alias("bit")).toPandas()
-    out = np.zeros(bits // 32, np.uint32)
-    out[words["word"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64).astype(np.uint32)
-    return out
+    return set_bits(values, F.col(column), bits)
 
 
 def in_bits(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:

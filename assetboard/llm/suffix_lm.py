@@ -61,6 +61,39 @@ def folded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return raw, starts, is_gap(raw)
 
 
+def xxh64(words: pa.LargeBinaryArray) -> np.ndarray:
+    """``xxhash.xxh64_intdigest`` of every word: those under 32 bytes all at once, longer ones one by one."""
+    starts = np.frombuffer(words.buffers()[1], np.int64)[words.offset: words.offset + len(words) + 1]
+    sizes = np.diff(starts)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    data = np.concatenate([data[starts[0]: starts[-1]], np.zeros(8, np.uint8)])
+    at = starts[:-1] - starts[0]
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turned(x: np.ndarray, n: int) -> np.ndarray:
+        return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+
+    out = p5 + sizes.astype(np.uint64)
+    short = sizes < 32
+    for k in range(3):
+        some = np.flatnonzero(short & (sizes >= 8 * k + 8))
+        out[some] = turned(out[some] ^ turned(eights[at[some] + 8 * k] * p2, 31) * p1, 27) * p1 + p4
+    some = np.flatnonzero(short & (sizes & 4 > 0))
+    four = eights[at[some] + (sizes[some] & 24)] & np.uint64(0xFFFFFFFF)
+    out[some] = turned(out[some] ^ four * p1, 23) * p2 + p3
+    for k in range(3):
+        some = np.flatnonzero(short & (sizes & 3 > k))
+        out[some] = turned(out[some] ^ data[at[some] + (sizes[some] & 28) + k] * p5, 11) * p1
+    out = (out ^ (out >> np.uint64(33))) * p2
+    out = (out ^ (out >> np.uint64(29))) * p3
+    out ^= out >> np.uint64(32)
+    for i in np.flatnonzero(~short):
+        out[i] = xxhash.xxh64_intdigest(words[i].as_py())
+    return out
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of each distinct word, the word of each place, and the row of each place."""
     raw, starts, gap = folded(texts)
@@ -72,9 +105,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     is_word = ~gap[bounds[:-1]]
     words = runs.filter(pa.array(is_word)).dictionary_encode()
     rows = np.searchsorted(starts, bounds[:-1][is_word], side="right") - 1
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(w) for w in words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
-    return hashes.view(np.int64), np.asarray(words.indices), rows
+    return xxh64(words.dictionary).view(np.int64), np.asarray(words.indices), rows
 
 
 def code_points(texts: pa.Array) -> np.ndarray:

@@ -246,6 +246,79 @@ def test_winnowing_finds_every_shared_run_of_fifty_words():
         assert marks[0] & marks[1]
 
 
+def test_copies_cost_no_row_for_each_word(spark, monkeypatch):
+    """Inside copies fingerprints have equal surroundings; only around an edit are passages hashed one by one."""
+    import random
+
+    rng, landed = random.Random(5), {}
+    text = [f"w{rng.randrange(10 ** 9)}" for _ in range(3000)]
+    edited = [*text[:1500], "edited", *text[1501:]]
+    land = line_dedup.land
+    monkeypatch.setattr(line_dedup, "land", lambda df, label: landed.setdefault(label, land(df, label)))
+    for last, most in ((text, 0), (edited, 1000)):
+        landed.clear()
+        some = spark.createDataFrame([(i, " ".join(text)) for i in range(20)] + [(20, " ".join(last))], "doc_id long, text string")
+        got = {r.doc_id: [(s.start, s.length) for s in r.spans] for r in line_dedup.dedup_lines(some).collect()}
+        assert got == ({0: []} if last is text else {0: [], 20: [(0, 1500), (1501, 1499)]})
+        assert landed["passages"].count() <= most
+
+
+@pytest.mark.parametrize("line_words, window, least_words", [(4, 5, 8), (4, 5, 11), (6, 2, 7)])
+def test_pieces_of_common_texts_in_any_order_equal_brute_force(spark, line_words, window, least_words):
+    import random
+
+    rng = random.Random(least_words)
+    pool = [[f"w{rng.randrange(10 ** 6)}" for _ in range(rng.randint(3, 30))] for _ in range(12)] + [["x"] * 15]
+    texts = [[w for p in rng.choices(pool, k=rng.randint(0, 6)) for w in p[rng.randint(0, 3): len(p) - rng.randint(0, 3)]]
+             for _ in range(150)]
+    some = [(i - 1 if i else None, " ".join(w)) for i, w in enumerate(texts)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(some + some[:5] * 3, "doc_id long, text string").repartition(5),
+                                 line_words, window, least_words).collect()
+    spans = {r.doc_id: {k for s in r.spans for k in range(s.start, s.start + s.length)} for r in got}
+    first, n_left = {}, 0
+    for (i, _), w in zip(some, texts):
+        gone = set()
+        for k in range(len(w) - least_words + 1):
+            if first.setdefault(tuple(w[k: k + least_words]), (i, k)) != (i, k):
+                gone |= set(range(k, k + least_words))
+        assert spans.get(i, set(range(len(w)))) == gone
+        n_left += len(w) > len(gone) or not w
+    assert len(spans) == n_left
+
+
+def test_word_hashes_are_those_of_xxhash():
+    import random
+
+    import pyarrow as pa
+    import xxhash
+
+    rng = random.Random(4)
+    some = pa.array([bytes(rng.randrange(256) for _ in range(n % 70)) for n in range(700)], pa.large_binary())
+    for own in (some, some.slice(33, 500), some.slice(3, 0)):
+        assert suffix_lm.xxh64(own).tolist() == [xxhash.xxh64_intdigest(w.as_py()) for w in own]
+
+
+def test_filter_bits_do_not_reach_the_driver_as_rows(spark):
+    """Half a million words of bits: as rows they took over 100 MB of the driver's Python."""
+    import tracemalloc
+
+    import numpy as np
+
+    from assetboard.llm.common import bloom, bloom_of_hashes, in_bits
+
+    values = spark.range(3_000_000).select("id", F.xxhash64("id").alias("hash"))
+    made = []
+    tracemalloc.start()
+    try:
+        made = [bloom(values, "id"), bloom_of_hashes(values, "hash")]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.array_equal(*made) and peak < 50e6
+    hashes = values.limit(1000).select("hash").toPandas()["hash"].to_numpy()
+    assert in_bits(hashes, made[1]).all() and not in_bits(hashes + 1, made[1]).all()
+
+
 # --- 7 -------------------------------------------------------------------------------------------------
 
 def test_pieces_hold_all_ids_once_within_the_limits(docs):
