@@ -23,14 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assetboard.llm.common import blocks_for, claim, cut_texts, slices, sums_per_row
+from assetboard.llm.common import blocks_for, claim, cut_texts, give_back, slices, sums_per_row
 from assetboard.session import land
 
 LENGTH = 4096
 MOST_SEGMENTS = 512
 PIECES_PER_PART = 4096
-CACHE_PARTS = 1_200_000
-SLICE_BYTES = 2_000_000
+#: Parts whose ids a worker keeps, with bytes and ids of one at most: 38 MB, whatever it meets.
+CACHE_SLOTS, KEY_BYTES, KEY_IDS = 1 << 19, 32, 8
+SLICE_BYTES = 1_000_000
 _ENCODERS: dict[str, "IdEncoder"] = {}
 
 
@@ -41,63 +42,91 @@ def default_tokenizer() -> str:
 
 
 class IdEncoder:
-    """One tokenizer of a worker, with the ids of the parts it met last in one growing pool."""
+    """One tokenizer of a worker, and a table of fixed size with the ids of parts it met; newer parts replace older ones.
 
-    def __init__(self, path: str, cache_parts: int = CACHE_PARTS):
+    A part has one slot, by a hash of its bytes, and is known only if all its bytes stand there. Parts over
+    ``KEY_BYTES`` bytes or ``KEY_IDS`` ids are encoded wherever a slice has them.
+    """
+
+    def __init__(self, path: str, slots: int = CACHE_SLOTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache_parts = cache_parts
-        self.forget()
+        self.keys = np.zeros((slots, KEY_BYTES // 8), np.uint64)
+        self.sizes = np.zeros(slots, np.int8)  # 0 where a slot is empty: a part has a byte at least
+        self.counts = np.zeros(slots, np.int8)
+        self.ids = np.zeros((slots, KEY_IDS), np.int32)
 
-    def forget(self) -> None:
-        self.cache: dict[bytes, int] = {}
-        self.pool = np.zeros(1 << 16, np.int32)
-        self.ends = np.zeros(1 << 14, np.int64)
-        self.used = 0
+    def tokens(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts and the number of each, by the tokenizer.
 
-    def learn(self, parts: list[bytes]) -> None:
-        """Encode parts joined by spaces, a thousand at a time: white space ends a token, so ids stay the same."""
+        A thousand are encoded at a time, joined by spaces: white space ends a token, so ids stay the same.
+        """
+        ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for at in range(0, len(parts), 1000):
-            some = parts[at: at + 1000]
-            texts = [p.decode() for p in some]
+            texts = [p.decode() for p in parts.slice(at, 1000).to_pylist()]
             encoded = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
             stops = np.cumsum([len(t) + 1 for t in texts])
             starts = np.array([s for s, _ in encoded.offsets], dtype=np.int64)
-            counts = np.bincount(np.searchsorted(stops, starts, side="right"), minlength=len(some))
-            ids = np.array(encoded.ids, dtype=np.int32)
-            if self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.int32)])
-            known = len(self.cache)
-            if known + len(some) > len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), len(some)), np.int64)])
-            self.pool[self.used: self.used + len(ids)] = ids
-            self.ends[known: known + len(some)] = self.used + np.cumsum(counts)
-            self.used += len(ids)
-            self.cache.update(zip(some, range(known, known + len(some))))
+            counts.append(np.bincount(np.searchsorted(stops, starts, side="right"), minlength=len(texts)))
+            ids.append(np.array(encoded.ids, dtype=np.int32))
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def ids_of(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all distinct parts and the number of each; those that are not in the table go into it."""
+        keys, sizes = padded(parts)
+        slot = slots_of(keys, sizes, len(self.sizes))
+        short = sizes <= KEY_BYTES
+        known = short & (self.sizes[slot] == sizes) & (self.keys[slot] == keys).all(axis=1)
+        new = np.flatnonzero(~known)
+        made, counts_made = self.tokens(parts.take(pa.array(new)))
+        counts = self.counts[slot].astype(np.int64)
+        counts[new] = counts_made
+        ids = np.zeros(counts.sum() + KEY_IDS, np.int32)  # so much longer that KEY_IDS can be read from any start
+        old = np.repeat(known, counts)
+        ids[:len(old)][~old] = made
+        ids[:len(old)][old] = self.ids[slot[known]][np.arange(KEY_IDS) < counts[known][:, None]]
+        kept = new[short[new] & (counts_made <= KEY_IDS)]
+        kept = kept[np.unique(slot[kept], return_index=True)[1]]
+        at, first = slot[kept], (np.cumsum(counts) - counts)[kept]
+        self.keys[at], self.sizes[at], self.counts[at] = keys[kept], sizes[kept], counts[kept]
+        self.ids[at] = ids[first[:, None] + np.arange(KEY_IDS)]
+        return ids, counts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one text after the other, and the number of ids of each."""
         parts, per_row = cut_texts(texts)
-        distinct = parts.dictionary.to_pylist()
-        new = [p for p in distinct if p not in self.cache]
-        if len(self.cache) + len(new) > self.cache_parts:
-            self.forget()
-            new = distinct
-        self.learn(new)
-        cache = self.cache
-        places = np.fromiter((cache[p] for p in distinct), dtype=np.int64, count=len(distinct))
-        places = places[np.asarray(parts.indices)] if len(distinct) else places
-        ends = self.ends[places]
-        starts = np.where(places > 0, self.ends[places - 1], 0)
-        lengths = ends - starts
-        # Position in the pool of every id: a run of consecutive places for each part.
-        at = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(lengths) else starts, lengths)
+        ids, counts = self.ids_of(parts.dictionary)
+        starts = np.cumsum(counts) - counts
+        places = np.asarray(parts.indices)
+        lengths = counts[places]
+        # Position among the parts' ids of every id: a run of consecutive places for each part.
+        at = np.repeat(starts[places] - (np.cumsum(lengths) - lengths), lengths)
         at += np.arange(len(at))
-        return self.pool[at], sums_per_row(lengths, per_row)
+        return ids[at], sums_per_row(lengths, per_row)
+
+
+def padded(parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``KEY_BYTES`` bytes of every part as 64-bit words, zeros after its end, and its bytes."""
+    bounds = np.frombuffer(parts.buffers()[1], dtype=np.int64)[parts.offset: parts.offset + len(parts) + 1]
+    sizes = np.diff(bounds)
+    data = parts.buffers()[2]
+    raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
+    raw = np.concatenate([raw, np.zeros(KEY_BYTES, np.uint8)])
+    block = np.lib.stride_tricks.sliding_window_view(raw, KEY_BYTES)[bounds[:-1]]
+    block[np.arange(KEY_BYTES) >= sizes[:, None]] = 0
+    return block.view(np.uint64), sizes
+
+
+def slots_of(keys: np.ndarray, sizes: np.ndarray, slots: int) -> np.ndarray:
+    h = sizes.astype(np.uint64)
+    for word in keys.T:
+        h = (h ^ word) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return (h % np.uint64(slots)).astype(np.int64)
 
 
 def encoder(path: str) -> IdEncoder:
@@ -115,9 +144,8 @@ def pieces_of(docs: DataFrame, tokenizer: str | None = None, length: int = LENGT
     def run(batches):
         enc = encoder(path)
         for batch in batches:
-            texts = pa.compute.fill_null(batch.column(1), "")
-            for start, stop in slices(texts, slice_bytes):
-                ids, counts = enc.encode(texts.slice(start, stop - start))
+            for start, stop in slices(batch.column(1), slice_bytes):
+                ids, counts = enc.encode(batch.column(1).slice(start, stop - start))
                 stops = np.cumsum(counts)
                 row, first, size, crc, tokens = [], [], [], [], []
                 for i, (end, count) in enumerate(zip(stops.tolist(), counts.tolist())):
@@ -133,6 +161,7 @@ def pieces_of(docs: DataFrame, tokenizer: str | None = None, length: int = LENGT
                     [batch.column(0).take(pa.array(row, pa.int64())),
                      *(pa.array(x, pa.int64()) for x in (first, size, crc, tokens))],
                     names=[id_column, "start", "length", "ids_crc32", "doc_tokens"])
+        give_back()  # the worker lives on through other stages
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, text_column).mapInArrow(
