@@ -173,6 +173,7 @@ def fill(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray
     order = np.argsort(-demand[:, 0], kind="stable")
     whole = np.ascontiguousarray(demand[order], dtype=np.float64)
     need = whole / limits
+    others = [np.ascontiguousarray(x) for x in whole[:, 1:].T]
     smaller = -whole[:, 0]  # ascending, so the items that fit in tokens are a tail
     free = np.ones(len(order), bool)
     bins = np.zeros(len(order), dtype=np.int64)
@@ -182,7 +183,9 @@ def fill(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray
         residual = limits.astype(np.float64)
         start = int(np.argmax(free))
         while start < len(order):
-            fits = free[start:] & (whole[start:, 1:] <= residual[1:]).all(axis=1)
+            fits = free[start:].copy()
+            for amount, left in zip(others, residual[1:]):
+                fits &= amount[start:] <= left
             value = np.where(fits, need[start:] @ (residual / limits), -1.0)
             best = int(np.argmax(value))
             if value[best] < 0:
