@@ -230,7 +230,9 @@ def near_words(words: DataFrame, symbols: int = SYMBOLS, least_length: int = LEA
     """(word, near, near_n): every ordered pair of words one edit apart, once."""
     have = land(vocabulary_keys(words, symbols), "reduced-words")
     asked = neighbour_keys(words, symbols, least_length, bloom_of_hashes(have, "key"))
-    met = asked.join(have, "key").where((F.col("word") != F.col("near")) & (F.expr("levenshtein(word, near, 1)") == 1))
+    # Plans size neighbours by the words they come from, and written tables by their compressed files: both may be
+    # taken for small enough to broadcast when they are not, so these joins are by shuffles.
+    met = asked.join(have.hint("merge"), "key").where((F.col("word") != F.col("near")) & (F.expr("levenshtein(word, near, 1)") == 1))
     return met.select("word", "near", "near_n").repartition("word").distinct()
 
 
@@ -239,7 +241,7 @@ def roots(forms: DataFrame) -> DataFrame:
     state = land(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         further = state.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        state = land(state.join(further, "root", "left").select(
+        state = land(state.join(further.hint("merge"), "root", "left").select(
             "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         if state.where("moved").isEmpty():
             return state.select("word", "root")
@@ -254,10 +256,10 @@ def spelling_variants(docs: DataFrame, symbols: int = SYMBOLS, least_length: int
     words = land(count_runs(plain, least_length, drop_modulus).where(F.col("n") >= least_count), "words")
     best = F.min(F.struct((-F.col("near_n")).alias("n"), F.col("near").alias("near")))
     near = near_words(words, symbols, least_length).groupBy("word").agg(F.count("*").alias("n_near"), best.alias("best"))
-    found = words.join(near, "word", "left").withColumn("most", -F.col("best.n"))
+    found = words.join(near.hint("merge"), "word", "left").withColumn("most", -F.col("best.n"))
     has = F.col("most") >= factor * F.col("n")
     found = land(found.select("word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
                               F.when(has, F.col("best.near")).alias("form"), F.when(has, F.col("most")).alias("form_n")), "forms")
     ends = roots(found.where("form is not null"))
-    return found.join(ends, "word", "left").select(
+    return found.join(ends.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

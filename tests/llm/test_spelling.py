@@ -89,3 +89,12 @@ def test_checksums_put_together():
 
 def test_empty_table(spark):
     assert spelling.spelling_variants(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_no_side_of_a_join_is_sized_by_a_guess(spark):
+    words = spark.createDataFrame([(w, 5) for w in ("colour", "colours", "honour")], "word string, n long")
+    near = spelling.near_words(words)
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    assert {(r.word, r.near) for r in near.collect()} == {("colour", "colours"), ("colours", "colour")}
+    found = spelling.spelling_variants(spark.createDataFrame([(1, "colour colours " * 6 + "colour " * 9)], "doc_id long, text string"))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 2
