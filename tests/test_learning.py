@@ -191,6 +191,29 @@ def test_group_split(rows):
     assert found["mae"].min() <= found.loc["pooled", "mae"] <= found["mae"].max()
 
 
+def test_group_split_is_validated_out_of_fold(rows):
+    """Boosted models and forests of each group predict rows that they have not seen; a group of one row has no folds."""
+    one = rows.unionByName(rows.limit(1).withColumns({"id": F.lit(9999).cast(rows.schema["id"].dataType), "c": F.lit("alone")}))
+    args = ("value", None, ["x", "z"], ["c"], ["id"], SMALL)
+    got = learning.fit_groups(one, [], "c", "alone", *args, k=2)[1].toPandas().set_index("id")
+    assert len(got) == 401 and got.loc[9999, ["oof_prediction", "forest_prediction"]].isna().all()
+    rest = got.drop(index=9999)
+    for model in ("oof_prediction", "forest_prediction"):
+        assert rest[model].notna().all() and 0.3 < np.corrcoef(np.log(rest[model]), np.log(rest["value"]))[0, 1]
+    assert not np.allclose(rest["oof_prediction"], rest["model_value"]) and not np.allclose(rest["oof_prediction"], rest["forest_prediction"])
+    again = learning.out_of_fold(learning.with_group(rows, "c", "alone"), ["fit_group"], *args, k=2).toPandas().set_index("id")
+    assert np.allclose(again["oof_prediction"].sort_index(), rest["oof_prediction"].sort_index())
+
+
+def test_constant_features_of_a_group_are_not_read(rows):
+    """Whether a value is missing tells much here, but the group knows one value of it only."""
+    told = rows.withColumn("told", F.when(F.col("value") > 100, 7.0)).withColumn("group", F.when(F.col("id") % 2 == 0, "even").otherwise("odd"))
+    told = told.withColumn("told", F.when(F.col("group") == "odd", F.coalesce("told", F.lit(3.0))).otherwise(F.col("told")))
+    fits, got = learning.fit_groups(told, [], "group", "even", "value", None, ["x", "told"], ["c"], ["id"], SMALL, k=2)
+    read = {b: {int(f) for t in fits.models.trees for f in t.feature[2 * i]} for i, (b,) in enumerate(fits.models.boards)}
+    assert 1 not in read["even"] and 1 in read["rest"] and got.count() == told.count()
+
+
 def test_registered_fits_are_full_ones():
     from assetboard.plans import learning as plans
 
